@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..constants import MONTHS, TITLE_PATTERN
 from .text import UNICODE
 
-# Text that is a plain decimal number. Checked before the cast, which would
-# also take forms such as '1.5d' or 'Infinity'.
-NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+# Text that is a plain number with at most one decimal comma or dot. Checked before
+# the cast, which would also take forms such as '1.5d' or 'Infinity'.
+NUMBER = r"^\s*[+-]?([0-9]+[.,]?[0-9]*|[.,][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 YEAR_MONTH = r"(\d{4})[.-](\d{1,2})"
 MONTH_YEAR = r"([A-Z]{3})/(\d{4})"
 
@@ -50,8 +50,7 @@ def strip(col: Column) -> Column:
 
 def parse_number(text: Column) -> Column:
     """Double from text with a decimal comma or dot; null if it is no number."""
-    dotted = F.regexp_replace(text, r"^([^,]*),", "$1.")  # the first comma only
-    return F.when(dotted.rlike(NUMBER), F.trim(dotted).try_cast("double"))
+    return F.when(text.rlike(NUMBER), F.translate(text, ",", ".").try_cast("double"))
 
 
 def _month_number(abbreviation: Column) -> Column:

@@ -26,13 +26,15 @@ def clean_name(col: Column, unicode_space: bool = False) -> Column:
 
 
 def alias_name(col: Column, aliases: Sequence[tuple[str, str]] = GROUP_ALIASES) -> Column:
-    """Label of the first alias whose prefix starts the name, else the name itself."""
+    """Label of the first alias whose prefix starts the name, else the name itself.
+
+    One alternation finds the prefix, so the name is evaluated twice at most.
+    """
     if not aliases:
         return col
-    chain = F
-    for prefix, label in aliases:
-        chain = chain.when(col.startswith(prefix), F.lit(label))
-    return chain.otherwise(col)
+    prefixes = "|".join(rf"\Q{prefix}\E" for prefix, _ in aliases)
+    labels = F.create_map(*[F.lit(v) for pair in dict(reversed(aliases)).items() for v in pair])
+    return F.coalesce(F.try_element_at(labels, F.regexp_extract(col, f"^({prefixes})", 1)), col)
 
 
 def group_name(col: Column) -> Column:

@@ -49,11 +49,15 @@ def consolidate(
     """The measures by month, service code and final group name.
 
     Names are cleaned here, on the summary, and spellings of one group meet in a
-    second maximum.
+    second maximum. Rows without group or service belong to no dimension and go
+    first; the names are then declared never null, or Spark would repeat the
+    cleaning as a null filter of later joins, pushed down to the staging rows.
     """
+    name = alias_name(clean_name(F.col("grupo_economico")), aliases)
     return (
-        summary.withColumn("nome_grupo", alias_name(clean_name(F.col("grupo_economico")), aliases))
-        .withColumn("codigo_servico", F.upper("servico"))
+        summary.filter(F.col("grupo_economico").isNotNull() & F.col("servico").isNotNull())
+        .withColumn("nome_grupo", F.coalesce(name, F.lit("")))
+        .withColumn("codigo_servico", F.coalesce(F.upper("servico"), F.lit("")))
         .groupBy("ano_mes", "codigo_servico", "nome_grupo")
         .agg(*[F.max(m).alias(m) for m in MEASURES])
     )

@@ -97,18 +97,17 @@ def unpivot_rows(rows: DataFrame, layouts: DataFrame) -> DataFrame:
     metric = F.when(F.col("metric_pos").isNull(), F.lit(DEFAULT_METRIC)).otherwise(
         F.get("cells", F.col("metric_pos"))
     )
-    return (
-        data.select(
-            "arquivo", "row_idx", "cells",
-            F.get("cells", F.col("group_pos")).alias("grupo_economico"),
-            metric.alias("variavel"),
-            F.explode("periods").alias("p"),
-        )
-        .select(
-            "arquivo", "row_idx", "grupo_economico", "variavel", "p.*",
-            parse_number(F.get("cells", F.col("p.col_idx"))).alias("valor"),
-        )
-        .filter(F.col("valor").isNotNull() & F.col("grupo_economico").isNotNull())
+    # Values are parsed in the array, before it is exploded: once per cell, where a
+    # filter on a parsed column would parse it again.
+    numbers = F.filter(
+        F.transform("periods", lambda p: F.struct(
+            p.col_idx.alias("col_idx"), p.periodo.alias("periodo"), p.ano.alias("ano"), p.mes.alias("mes"),
+            parse_number(F.get("cells", p.col_idx)).alias("valor"))),
+        lambda p: p.valor.isNotNull(),
+    )
+    group = F.get("cells", F.col("group_pos"))
+    return data.filter(group.isNotNull()).select(
+        "arquivo", "row_idx", group.alias("grupo_economico"), metric.alias("variavel"), F.inline(numbers)
     )
 
 

@@ -36,7 +36,11 @@ def market_means(rows: DataFrame) -> DataFrame:
 def market_variation(market: DataFrame) -> DataFrame:
     """Percent change from the month before. The window sees one row per month."""
     before = F.lag("valor_mercado").over(Window.orderBy(*_MONTH_ORDER))
-    return market.withColumn("var_mercado", pct_change(F.col("valor_mercado"), before))
+    return (
+        market.withColumn("antes", before)
+        .withColumn("var_mercado", pct_change(F.col("valor_mercado"), F.col("antes")))
+        .drop("antes")
+    )
 
 
 def individual_variation(
@@ -44,7 +48,11 @@ def individual_variation(
 ) -> DataFrame:
     """Percent change from the previous observed row of the same keys."""
     order = Window.partitionBy(*keys).orderBy(*_MONTH_ORDER, *tie_break)
-    return rows.withColumn("var_individual", pct_change(F.col("ida"), F.lag("ida").over(order)))
+    return (
+        rows.withColumn("antes", F.lag("ida").over(order))
+        .withColumn("var_individual", pct_change(F.col("ida"), F.col("antes")))
+        .drop("antes")
+    )
 
 
 def row_lag_market(rows: DataFrame, market: DataFrame, order_in_month: Sequence[str]) -> DataFrame:

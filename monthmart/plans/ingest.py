@@ -15,11 +15,11 @@ LONG_SCHEMA = (
     "grupo_economico string, variavel string, periodo string, valor double, ano int, mes int, "
     "servico string, arquivo_origem string, ano_mes string"
 )
-# A cached row also says which version of its file it is from, which run wrote it,
-# and how many rows that run wrote for the file.
-CACHE_SCHEMA = LONG_SCHEMA + ", length bigint, modificationTime timestamp, lote string, linhas bigint"
-_VERSION = ("arquivo_origem", "length", "modificationTime")
-_ENTRY = (*_VERSION, "lote")
+# The cache has two tables: rows, tagged with the version of their file and the run
+# that wrote them, and entries, written after the rows, with the row count of each file.
+VERSION = ("arquivo_origem", "length", "modificationTime")
+ROWS_SCHEMA = LONG_SCHEMA + ", length bigint, modificationTime timestamp, lote string"
+ENTRIES_SCHEMA = "arquivo_origem string, length bigint, modificationTime timestamp, lote string, linhas bigint"
 
 
 def read_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -32,45 +32,46 @@ def empty_long(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LONG_SCHEMA)
 
 
-def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """Cached rows; parts that cannot be read are left out."""
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Table of the cache; parts that cannot be read are left out."""
     try:
-        return spark.read.schema(CACHE_SCHEMA).option("ignoreCorruptFiles", "true").parquet(path)
+        return spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(path)
     except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing.getCondition()):
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], CACHE_SCHEMA)
+        return spark.createDataFrame([], schema)
 
 
-def complete_entries(cache: DataFrame) -> DataFrame:
-    """Files of the cache with all the rows their run wrote; one run each."""
-    whole = (
-        cache.groupBy(*_ENTRY).agg(F.count(F.lit(1)).alias("n"), F.max("linhas").alias("linhas"))
-        .filter("n = linhas")
+def _row_counts(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*VERSION, "lote").agg(F.count(F.lit(1)).alias("linhas"))
+
+
+def complete_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Entries whose rows are all there, one run for each version of a file."""
+    entries = _stored(spark, f"{path}/entradas", ENTRIES_SCHEMA)
+    present = _row_counts(_stored(spark, f"{path}/linhas", ROWS_SCHEMA))
+    return entries.join(present, [*VERSION, "lote", "linhas"], "left_semi").groupBy(*VERSION).agg(
+        F.min("lote").alias("lote")
     )
-    return whole.groupBy(*_VERSION).agg(F.min("lote").alias("lote"))
 
 
 def cached_long_rows(files: DataFrame, path: str) -> DataFrame:
     """Long rows of the files (arquivo, length, modificationTime, content), from the cache where it has them.
 
     Only files that are new, changed or incomplete in the cache are parsed, and
-    their rows appended. Entries of files no longer listed are passed over.
+    their rows appended. Rows of files no longer listed are passed over.
     """
     spark = files.sparkSession
     listed = files.withColumnRenamed("arquivo", "arquivo_origem")
-    known = complete_entries(read_cache(spark, path))
-    pending = listed.join(known, list(_VERSION), "left_anti")
-    rows = materialize(
-        sheet_rows(pending.withColumnRenamed("arquivo_origem", "arquivo")), "sheet-rows"
-    )
-    long = grid.grid_to_long(rows)
-    versions = listed.select(*_VERSION)
-    counted = long.groupBy("arquivo_origem").agg(F.count(F.lit(1)).alias("linhas"))
-    entry = versions.join(counted, "arquivo_origem").withColumn("lote", F.lit(uuid.uuid4().hex))
-    fresh = long.join(entry, "arquivo_origem")
-    (rebalanced(fresh.selectExpr(*[c.split()[0] for c in CACHE_SCHEMA.split(", ")]), "servico", "ano")
-     .write.mode("append").partitionBy("servico", "ano").parquet(path))
-    cache = read_cache(spark, path)
-    current = complete_entries(cache).join(versions, list(_VERSION), "left_semi")
-    return cache.join(current, list(_ENTRY), "left_semi")
+    versions = listed.select(*VERSION)
+    pending = listed.join(complete_entries(spark, path), list(VERSION), "left_anti")
+    rows = materialize(sheet_rows(pending.withColumnRenamed("arquivo_origem", "arquivo")), "sheet-rows")
+    if not rows.isEmpty():
+        run = uuid.uuid4().hex
+        fresh = grid.grid_to_long(rows).join(versions, "arquivo_origem").withColumn("lote", F.lit(run))
+        (rebalanced(fresh, "ano").write.mode("append").partitionBy("lote", "ano")
+         .parquet(f"{path}/linhas"))
+        written = _stored(spark, f"{path}/linhas", ROWS_SCHEMA).filter(F.col("lote") == run)
+        _row_counts(written).write.mode("append").parquet(f"{path}/entradas")
+    current = complete_entries(spark, path).join(versions, list(VERSION), "left_semi")
+    return _stored(spark, f"{path}/linhas", ROWS_SCHEMA).join(current, [*VERSION, "lote"], "left_semi")

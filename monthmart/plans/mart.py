@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ..constants import STAGING_COLUMNS
 from ..functions import nonnegative
 from ..operators import dimensions, fact, pivot, quality, report, variation
-from ..sources import bulk_load, save_table
+from ..sources import save_table
 
 
 @dataclass(frozen=True)
@@ -67,16 +68,23 @@ def build_mart(staging: DataFrame, path: str) -> Mart | None:
     """Full reload of all tables under path; nothing is transformed if there are no rows.
 
     Each table is written once and the next ones read the written table, so a lost
-    executor repeats no earlier step, and staging is scanned once.
+    executor repeats no earlier step, and staging is computed and scanned once. The
+    dimensions do not depend on each other and are written side by side.
     """
-    spark = staging.sparkSession
-    if not bulk_load(staging.filter(nonnegative(F.col("valor"))), f"{path}/staging_ida"):
+    rows = staging.select(*STAGING_COLUMNS).filter(nonnegative(F.col("valor")))
+    loaded = save_table(rows, f"{path}/staging_ida", ["ano"]).select(*STAGING_COLUMNS)
+    if not quality.has_rows(loaded):
         return None
-    loaded = spark.read.parquet(f"{path}/staging_ida").select(*STAGING_COLUMNS)
     summary = save_table(fact.summarise_staging(loaded), f"{path}/resumo_ida")
-    tempo = save_table(dimensions.build_dim_tempo(summary), f"{path}/dim_tempo")
-    grupo = save_table(dimensions.build_dim_grupo(summary), f"{path}/dim_grupo_economico")
-    servico = save_table(dimensions.build_dim_servico(summary), f"{path}/dim_servico")
-    rows = fact.build_fact(summary, tempo, grupo, servico, with_surrogates=True)
-    fato = save_table(rows, f"{path}/fato_ida", ["ano"])
+    builds = {
+        "dim_tempo": dimensions.build_dim_tempo,
+        "dim_grupo_economico": dimensions.build_dim_grupo,
+        "dim_servico": dimensions.build_dim_servico,
+    }
+    with ThreadPoolExecutor(len(builds)) as pool:
+        tempo, grupo, servico = pool.map(
+            lambda b: save_table(b[1](summary), f"{path}/{b[0]}"), builds.items()
+        )
+    facts = fact.build_fact(summary, tempo, grupo, servico, with_surrogates=True)
+    fato = save_table(facts, f"{path}/fato_ida", ["ano"])
     return Mart(loaded, summary, tempo, grupo, servico, fato)

@@ -129,7 +129,7 @@ def cache_incremental(spark, sf_dir):
 
 def staging_load(spark, sf_dir):
     path = run_path(spark, "staging")
-    bulk_load(fixture.staging(spark, sf_dir), path)
+    bulk_load(fixture.staging(spark, sf_dir), path, truncate=False)
     return plain(spark.read.parquet(path).select(*STAGING_COLUMNS).withColumn("valor", six("valor")))
 
 
@@ -144,7 +144,8 @@ def table_inventory(spark, sf_dir):
 # --- sheets to long rows ---------------------------------------------------------------
 
 def grid_to_long(spark, sf_dir):
-    return grid.grid_to_long(fixture.sheet_grid(mart(spark, sf_dir).staging))
+    sheets = materialize(fixture.sheet_grid(mart(spark, sf_dir).staging), "sheets")
+    return grid.grid_to_long(sheets)
 
 
 def number_parse(spark, sf_dir):

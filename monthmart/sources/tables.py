@@ -34,14 +34,17 @@ def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns) if columns else df.hint("rebalance")
 
 
-def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Full reload of a Parquet table; only the partitions present are replaced if it has any.
+def save_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), only_partitions: bool = False
+) -> DataFrame:
+    """Reload a Parquet table and return it: as a whole, or only the partitions that df holds.
 
     ``path`` must not be an input of ``df``.
     """
     writer = rebalanced(df, *partition_by).write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        mode = "dynamic" if only_partitions else "static"
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", mode)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -64,18 +67,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def bulk_load(
     df: DataFrame, path: str, columns: Sequence[str] = STAGING_COLUMNS, truncate: bool = True
-) -> bool:
+) -> None:
     """Load the columns into the staging table at path, one folder per year.
 
-    An input without rows loads nothing and leaves the table as it is.
+    An input without rows leaves the table as it is. It is only looked into where
+    rows could get lost, as that may cost as much as computing it.
     """
-    if df.isEmpty():
-        return False
-    rows = rebalanced(df.select(*columns), "ano")
+    if truncate and df.isEmpty():
+        return
     mode = "overwrite" if truncate else "append"
     # A reload replaces the whole table, whatever the session says about partitions.
-    rows.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("ano").parquet(path)
-    return True
+    (rebalanced(df.select(*columns), "ano").write.mode(mode)
+     .option("partitionOverwriteMode", "static").partitionBy("ano").parquet(path))
 
 
 def first_existing(spark: SparkSession, names: Sequence[str]) -> DataFrame | None:

@@ -10,17 +10,22 @@ are passed on in batches and it is never held as a whole table.
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import WORKBOOK_SIGNATURE, WORKBOOK_SUFFIX
 from ..functions import file_service, file_year
 
+# The reader travels with the plan, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # A file gives its sheet rows and, last, one status row without row_idx; its
 # erro is null if the whole sheet was read.
 ROW_SCHEMA = "arquivo string, row_idx int, cells array<string>, erro string"

@@ -38,11 +38,16 @@ def header_positions(rows: DataFrame, sentinel: str = HEADER_SENTINEL, skip_rows
     """Per file: first row with the sentinel (null if none) and the sheet's width.
 
     The first sheet row holds the column names of the raw grid and is not searched.
+    Files with a reading error are left out, also if some of their rows were read.
     """
     found = F.exists("cells", lambda c: strip(F.upper(c)) == sentinel)
     header = F.when((F.col("row_idx") >= skip_rows) & found, F.col("row_idx"))
-    return rows.groupBy("arquivo").agg(
-        F.min(header).alias("header_row"), F.max(F.size("cells")).alias("width")
+    failed = F.col("erro").isNotNull() if "erro" in rows.columns else F.lit(False)
+    return (
+        rows.groupBy("arquivo")
+        .agg(F.min(header).alias("header_row"), F.max(F.size("cells")).alias("width"),
+             F.max(failed).alias("failed"))
+        .filter("not failed").drop("failed")
     )
 
 
@@ -127,7 +132,6 @@ def keep_first(cells: DataFrame) -> DataFrame:
 
 def grid_to_long(rows: DataFrame, sentinel: str = HEADER_SENTINEL, skip_rows: int = 1) -> DataFrame:
     """Long rows of all recognised sheets, tagged with service, source file and month key."""
-    rows = rows.filter(F.col("row_idx").isNotNull()).select("arquivo", "row_idx", "cells")
     long = keep_first(unpivot_rows(rows, sheet_layouts(rows, sentinel, skip_rows)))
     return (
         long.withColumn("servico", file_service(F.col("arquivo")))
@@ -166,10 +170,9 @@ def layout_report(rows: DataFrame) -> DataFrame:
     per_file = rows.groupBy("arquivo").agg(
         F.count("row_idx").alias("linhas"), F.max("erro").alias("erro")
     )
-    sheet = rows.filter(F.col("row_idx").isNotNull()).select("arquivo", "row_idx", "cells")
-    layouts = sheet_layouts(sheet).select("arquivo", "header_row", "group_pos", "recognised")
+    layouts = sheet_layouts(rows).select("arquivo", "header_row", "group_pos", "recognised")
     nameless = (
-        sheet.join(layouts.filter("recognised"), "arquivo")
+        rows.join(layouts.filter("recognised"), "arquivo")
         .filter((F.col("row_idx") > F.col("header_row"))
                 & F.get("cells", F.col("group_pos")).isNull())
         .groupBy("arquivo").agg(F.count(F.lit(1)).alias("sem_grupo"))

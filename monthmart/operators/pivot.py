@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import MARKET_COLUMN
@@ -37,17 +37,17 @@ def pivot_report(
     """One row per month: the market's variation and each group's difference.
 
     All columns come from one aggregate over the variation rows. A group without a
-    value in a month shows ``fill``; None leaves it null.
+    value in a month shows ``fill``; None leaves it null. Differences are rounded
+    before their maximum is taken, which is the same and needs one rounding only.
     """
-    def shown(col):
-        value = rounded(col, digits)
-        return value if fill is None else F.coalesce(value, F.lit(fill).cast(f"decimal(18,{digits})"))
+    def shown(col: Column) -> Column:
+        return col if fill is None else F.coalesce(col, F.lit(fill).cast(f"decimal(18,{digits})"))
 
     combine = {"max": F.max, "avg": F.avg}[market]
-    group = F.col("nome_grupo")
-    change = F.col("diferenca").cast("double")
-    return delta.groupBy(F.col("ano_mes").alias("Mes")).agg(
-        shown(combine(F.col("var_mercado").cast("double"))).alias(market_column),
+    group, change = F.col("nome_grupo"), F.col("mudanca")
+    rows = delta.withColumn("mudanca", rounded(F.col("diferenca"), digits))
+    return rows.groupBy(F.col("ano_mes").alias("Mes")).agg(
+        shown(rounded(combine(F.col("var_mercado").cast("double")), digits)).alias(market_column),
         *[shown(F.max(F.when(group == g, change))).alias(g) for g in groups],
     )
 
@@ -58,9 +58,11 @@ def ordered(report: DataFrame) -> DataFrame:
 
 
 def to_long(report: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """(Mes, Operadora, Delta), nulls kept."""
-    typed = report.select("Mes", *[quoted(g).cast("double").alias(g) for g in groups])
-    return typed.unpivot(["Mes"], [quoted(g) for g in groups], "Operadora", "Delta")
+    """(Mes, Operadora, Delta) of the groups, missing values kept."""
+    pairs = F.array(*[
+        F.struct(F.lit(g).alias("Operadora"), quoted(g).cast("double").alias("Delta")) for g in groups
+    ])
+    return report.select("Mes", F.inline(pairs))
 
 
 def heat_matrix(long: DataFrame, months: Sequence[str]) -> DataFrame:

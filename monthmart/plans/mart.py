@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ class Mart:
     def spark(self) -> SparkSession:
         return self.fato.sparkSession
 
+    @cached_property
     def groups(self) -> list[str]:
         return pivot.pivot_values(self.dim_grupo, "nome_grupo")
 
@@ -40,10 +42,10 @@ class Mart:
 
     def pivot_view(self) -> DataFrame:
         """Benchmark report: one row per month, one column per group."""
-        return pivot.pivot_report(self.variation(), self.groups())
+        return pivot.pivot_report(self.variation(), self.groups)
 
     def report_long(self) -> DataFrame:
-        return report.report_long(self.pivot_view(), self.groups())
+        return report.report_long(self.pivot_view(), self.groups)
 
     def trend(self, surrogate: bool = False) -> DataFrame:
         return report.trend(

@@ -338,30 +338,30 @@ def pivot_view(spark, sf_dir):
 
 def pivot_view_row_lag(spark, sf_dir):
     m = mart(spark, sf_dir)
-    return plain(pivot.ordered(pivot.pivot_report(m.variation(mode="row"), m.groups())))
+    return plain(pivot.ordered(pivot.pivot_report(m.variation(mode="row"), m.groups)))
 
 
 def pivot_avg(spark, sf_dir):
     m = mart(spark, sf_dir)
-    return plain(pivot.ordered(pivot.pivot_report(m.long_delta(), m.groups(), market="avg")))
+    return plain(pivot.ordered(pivot.pivot_report(m.long_delta(), m.groups, market="avg")))
 
 
 def pivot_avg_row_lag(spark, sf_dir):
     m = mart(spark, sf_dir)
     delta = m.long_delta(mode="row", by_service=False)
-    return plain(pivot.ordered(pivot.pivot_report(delta, m.groups(), market="avg")))
+    return plain(pivot.ordered(pivot.pivot_report(delta, m.groups, market="avg")))
 
 
 def pivot_unfilled(spark, sf_dir):
     m = mart(spark, sf_dir)
-    return plain(pivot.ordered(pivot.pivot_report(m.variation(), m.groups(), fill=None)))
+    return plain(pivot.ordered(pivot.pivot_report(m.variation(), m.groups, fill=None)))
 
 
 # --- reports ---------------------------------------------------------------------------
 
 def signed_masked_delta(spark, sf_dir):
     m = mart(spark, sf_dir)
-    return report.signed_masked(pivot.to_long(m.pivot_view(), m.groups()))
+    return report.signed_masked(pivot.to_long(m.pivot_view(), m.groups))
 
 
 def merged_names(spark, sf_dir):

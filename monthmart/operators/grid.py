@@ -1,7 +1,7 @@
 """Irregular wide sheets to long rows, one plan for all layouts.
 
-Input are sheet rows (arquivo, row_idx, cells). What differs between files is kept
-as data: a layout table holds, per file, the header row, the positions of the two
+Input are sheet rows (arquivo, row_idx, cells) with one status row per file, as the
+workbook reader gives them. What differs between files is kept as data: a layout table holds, per file, the header row, the positions of the two
 id columns and an array of period columns. Data rows meet it in one join on the
 file and are unpivoted by exploding that array, so id columns are read by position
 and no cell is shuffled on its own.
@@ -34,21 +34,24 @@ def is_id_header(name: Column) -> Column:
     return ~is_period_header(name) & ~name.contains(UNNAMED_HEADER) & (strip(name) != "")
 
 
-def header_positions(rows: DataFrame, sentinel: str = HEADER_SENTINEL, skip_rows: int = 1) -> DataFrame:
-    """Per file: first row with the sentinel (null if none) and the sheet's width.
+def file_status(rows: DataFrame) -> DataFrame:
+    """(arquivo, linhas, largura, erro) of each file; does not touch the cells."""
+    return rows.filter(F.col("row_idx").isNull()).select("arquivo", "linhas", "largura", "erro")
+
+
+def header_rows(rows: DataFrame, sentinel: str = HEADER_SENTINEL, skip_rows: int = 1) -> DataFrame:
+    """(arquivo, header_row, cells): the first row of each file that holds the sentinel.
 
     The first sheet row holds the column names of the raw grid and is not searched.
-    Files with a reading error are left out, also if some of their rows were read.
+    Few rows pass the filter, so little is sorted or shuffled.
     """
-    found = F.exists("cells", lambda c: strip(F.upper(c)) == sentinel)
-    header = F.when((F.col("row_idx") >= skip_rows) & found, F.col("row_idx"))
-    failed = F.col("erro").isNotNull() if "erro" in rows.columns else F.lit(False)
-    return (
-        rows.groupBy("arquivo")
-        .agg(F.min(header).alias("header_row"), F.max(F.size("cells")).alias("width"),
-             F.max(failed).alias("failed"))
-        .filter("not failed").drop("failed")
-    )
+    def is_sentinel(cell: Column) -> Column:
+        text = F.upper(cell)
+        return text.contains(sentinel) & (strip(text) == sentinel)
+
+    hits = rows.filter((F.col("row_idx") >= skip_rows) & F.exists("cells", is_sentinel))
+    first = F.min_by(F.struct(F.col("row_idx").alias("header_row"), "cells"), "row_idx")
+    return hits.groupBy("arquivo").agg(first.alias("h")).select("arquivo", "h.*")
 
 
 def sheet_layouts(rows: DataFrame, sentinel: str = HEADER_SENTINEL, skip_rows: int = 1) -> DataFrame:
@@ -56,14 +59,13 @@ def sheet_layouts(rows: DataFrame, sentinel: str = HEADER_SENTINEL, skip_rows: i
 
     periods lists the columns whose header is a period of the file's year, as
     (col_idx, periodo, ano, mes). Files without any id or any period column are
-    kept, with recognised = false.
+    kept, with recognised = false; files with a reading error are left out, also if
+    some of their rows were read.
     """
-    positions = header_positions(rows, sentinel, skip_rows)
-    headers = rows.join(
-        positions.withColumnRenamed("header_row", "row_idx"), ["arquivo", "row_idx"]
-    )
+    whole = file_status(rows).filter(F.col("erro").isNull()).select("arquivo", "largura")
+    headers = header_rows(rows, sentinel, skip_rows).join(whole, "arquivo")
     columns = F.transform(
-        F.sequence(F.lit(0), F.col("width") - 1),
+        F.sequence(F.lit(0), F.col("largura") - 1),
         lambda i: F.struct(
             i.alias("col_idx"),
             F.coalesce(strip(F.get("cells", i)), F.concat(F.lit("c"), i.cast("string"))).alias("periodo"),
@@ -76,7 +78,7 @@ def sheet_layouts(rows: DataFrame, sentinel: str = HEADER_SENTINEL, skip_rows: i
                            parse_period(c.periodo, year).alias("p")),
     )
     return (
-        headers.select("arquivo", F.col("row_idx").alias("header_row"),
+        headers.select("arquivo", "header_row",
                        file_year(F.col("arquivo")).alias("ano_arquivo"), columns.alias("columns"))
         .withColumn("ids", F.filter("columns", lambda c: is_id_header(c.periodo)))
         .withColumn("candidates", F.filter("columns", lambda c: is_period_header(c.periodo)))
@@ -167,9 +169,6 @@ def layout_report(rows: DataFrame) -> DataFrame:
 
     Also counts the data rows without a group, which give no long rows.
     """
-    per_file = rows.groupBy("arquivo").agg(
-        F.count("row_idx").alias("linhas"), F.max("erro").alias("erro")
-    )
     layouts = sheet_layouts(rows).select("arquivo", "header_row", "group_pos", "recognised")
     nameless = (
         rows.join(layouts.filter("recognised"), "arquivo")
@@ -184,7 +183,7 @@ def layout_report(rows: DataFrame) -> DataFrame:
         .otherwise("ok")
     )
     return (
-        per_file.join(layouts.select("arquivo", "recognised"), "arquivo", "left")
+        file_status(rows).join(layouts.select("arquivo", "recognised"), "arquivo", "left")
         .join(nameless, "arquivo", "left")
         .select("arquivo", status.alias("status"), "linhas",
                 F.coalesce("sem_grupo", F.lit(0).cast("bigint")).alias("sem_grupo"), "erro")

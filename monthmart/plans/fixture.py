@@ -13,6 +13,7 @@ from pyspark.sql.types import BinaryType
 
 from ..constants import MONTHS
 from ..functions import month_key, rounded
+from ..sources import with_status
 
 # Spellings given to the first nations; the others keep their name in lower case.
 SPELLINGS = (
@@ -102,7 +103,7 @@ def cell_text(metric: Column, value: Column) -> Column:
 
 
 def sheet_grid(long: DataFrame) -> DataFrame:
-    """Sheets, one per service and year, as rows (arquivo, row_idx, cells).
+    """Sheets, one per service and year, as sheet rows with status rows.
 
     Two title rows, the header row, a row per group and metric, and one repeated
     row at the end. Holds text instead of a number, a negative value, a column that
@@ -145,7 +146,7 @@ def sheet_grid(long: DataFrame) -> DataFrame:
     repeated = F.array(F.concat(ids(first.grupo_economico, first.variavel),
                                 F.array_repeat(F.lit("999"), 12), F.array(F.lit("x"))))
     grid = F.concat(top, F.transform("rows", data), repeated)
-    return sheets.select("arquivo", F.posexplode(grid).alias("row_idx", "cells"))
+    return with_status(sheets.select("arquivo", F.posexplode(grid).alias("row_idx", "cells")))
 
 
 _XML_HEAD = (
@@ -183,7 +184,8 @@ def workbook_files(rows: DataFrame) -> DataFrame:
     ordered = F.array_sort(F.collect_list(F.struct("row_idx", row_xml.alias("xml"))))
     body = F.array_join(F.transform(ordered, lambda r: r.xml), "")
     return (
-        rows.groupBy("arquivo").agg(F.concat(F.lit(_XML_HEAD), body, F.lit(_XML_TAIL)).alias("xml"))
+        rows.filter("row_idx is not null").groupBy("arquivo")
+        .agg(F.concat(F.lit(_XML_HEAD), body, F.lit(_XML_TAIL)).alias("xml"))
         .select("arquivo", _zipped("xml").alias("content"))
         .select("arquivo", F.octet_length("content").cast("bigint").alias("length"),
                 F.lit("2024-01-01 00:00:00").cast("timestamp").alias("modificationTime"), "content")

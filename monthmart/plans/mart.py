@@ -12,7 +12,11 @@ from pyspark.sql import functions as F
 from ..constants import STAGING_COLUMNS
 from ..functions import nonnegative
 from ..operators import dimensions, fact, pivot, quality, report, variation
-from ..sources import save_table
+from ..sources import save_table, save_view, scan_workbooks
+from .ingest import cached_long_rows
+
+# Pivot reports by group means and by fact rows; a reader takes the first that exists.
+REPORT_VIEWS = ("view_taxa_resolucao_5_dias", "pivot_variacao")
 
 
 @dataclass(frozen=True)
@@ -62,6 +66,17 @@ class Mart:
             "long_delta": self.long_delta(),
         }
 
+    def create_views(self) -> list[str]:
+        """The tables and both pivot reports as views, for use from SQL."""
+        views = {
+            **self.tables(),
+            REPORT_VIEWS[0]: pivot.ordered(self.pivot_view()),
+            REPORT_VIEWS[1]: pivot.ordered(pivot.pivot_report(self.long_delta(), self.groups, market="avg")),
+        }
+        for name, df in views.items():
+            save_view(df, name)
+        return list(views)
+
     def checks(self) -> DataFrame:
         return quality.run_checks(self.tables(), quality.mart_checks())
 
@@ -88,5 +103,11 @@ def build_mart(staging: DataFrame, path: str) -> Mart | None:
             lambda b: save_table(b[1](summary), f"{path}/{b[0]}"), builds.items()
         )
     facts = fact.build_fact(summary, tempo, grupo, servico, with_surrogates=True)
-    fato = save_table(facts, f"{path}/fato_ida", ["ano"])
+    fato = save_table(dimensions.with_load_time(facts), f"{path}/fato_ida", ["ano"])
     return Mart(loaded, summary, tempo, grupo, servico, fato)
+
+
+def load_folder(spark: SparkSession, folder: str, path: str) -> Mart | None:
+    """From a folder of workbooks to the mart; files already in the cache under path are not parsed again."""
+    long = cached_long_rows(scan_workbooks(spark, folder), f"{path}/cache")
+    return build_mart(long, f"{path}/mart")

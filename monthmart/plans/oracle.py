@@ -384,6 +384,12 @@ _SELECTS = {
       FROM ds""",
     "mart_load": "SELECT * FROM fato",
     "fact_build": "SELECT * FROM fato",
+    "fact_reload": "SELECT * REPLACE (CASE WHEN ano = 2000 THEN total_solicitacoes + 1 "
+    "ELSE total_solicitacoes END AS total_solicitacoes) FROM fato",
+    "column_defaults": "SELECT count(DISTINCT grp) AS ativos, count(DISTINCT grp) AS datados FROM refined",
+    "load_gate": """SELECT 'todas' AS linhas, count(*) > 0 AS segue FROM staging WHERE valor >= 0
+      UNION ALL SELECT 'negativas', count(*) > 0 FROM staging WHERE NOT valor >= 0""",
+    "report_source": pivot("ld", "avg") + " ORDER BY 1",
     "market_mean_groups": f"SELECT ano_mes, {num('v')} AS valor_mercado FROM mg",
     "market_mean_flat": f"SELECT ano_mes, {num('v')} AS valor_mercado FROM mf",
     "variation_market": f"SELECT ano_mes, {num('v')} AS valor_mercado, {num('var_mercado')} AS var_mercado FROM vmg",

@@ -6,7 +6,6 @@ order tables once per session and folder; the load itself is a query as well.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,8 +19,8 @@ from ..functions import (
 from ..operators import dimensions, fact, grid, pivot, quality, report, variation
 from ..operators.quality import AcceptedValues, NotNull, Relationship, Unique
 from ..sources import (
-    build_or_reuse, bulk_load, file_metadata, headings, inventory, is_workbook, load_summary, materialize,
-    resource_catalog, save_view, shared_dir, sheet_rows,
+    build_or_reuse, bulk_load, file_metadata, first_existing, headings, inventory, is_workbook, load_summary, materialize,
+    resource_catalog, save_table, save_view, scratch_path, sheet_rows,
 )
 from . import fixture
 from .ingest import cached_long_rows
@@ -38,14 +37,10 @@ SERVICE = "Serviço Móvel Pessoal"
 PAGE_CODE = r"/(en|fr|de|es)/(\d{1,9})"
 
 
-def run_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def mart(spark: SparkSession, sf_dir: str) -> Mart:
     return build_or_reuse(
         spark, f"mart {sf_dir}",
-        lambda: build_mart(fixture.staging(spark, sf_dir), run_path(spark, "mart")),
+        lambda: build_mart(fixture.staging(spark, sf_dir), scratch_path(spark, "mart")),
     )
 
 
@@ -117,7 +112,7 @@ def workbook_long(spark, sf_dir):
 
 def cache_incremental(spark, sf_dir):
     """Two runs over one cache: files up to 1998, then all files."""
-    path, files = run_path(spark, "cache"), materialize(_files(spark, sf_dir), "files")
+    path, files = scratch_path(spark, "cache"), materialize(_files(spark, sf_dir), "files")
     early = file_metadata(files).filter("ano_arquivo < 1999").drop("servico", "ano_arquivo")
     first = cached_long_rows(early, path).select("lote").distinct().withColumnRenamed("lote", "primeiro")
     rows = cached_long_rows(files, path)
@@ -128,7 +123,7 @@ def cache_incremental(spark, sf_dir):
 
 
 def staging_load(spark, sf_dir):
-    path = run_path(spark, "staging")
+    path = scratch_path(spark, "staging")
     bulk_load(fixture.staging(spark, sf_dir), path, truncate=False)
     return plain(spark.read.parquet(path).select(*STAGING_COLUMNS).withColumn("valor", six("valor")))
 
@@ -261,8 +256,8 @@ def dim_upsert(spark, sf_dir):
 
 def mart_load(spark, sf_dir):
     """The whole load from the order tables, into tables of its own."""
-    m = build_mart(fixture.staging(spark, sf_dir), run_path(spark, "mart"))
-    return plain(m.fato.drop("id_grupo", "id_servico"))
+    m = build_mart(fixture.staging(spark, sf_dir), scratch_path(spark, "mart"))
+    return plain(m.fato.drop("id_grupo", "id_servico", "data_carga"))
 
 
 def fact_build(spark, sf_dir):
@@ -271,6 +266,31 @@ def fact_build(spark, sf_dir):
     return plain(fact.build_fact(summary, m.dim_tempo, m.dim_grupo, m.dim_servico))
 
 
+def fact_reload(spark, sf_dir):
+    """All years, then one year again with other values: the other years stay."""
+    rows = mart(spark, sf_dir).fato.drop("id_grupo", "id_servico", "data_carga")
+    path = scratch_path(spark, "fato")
+    save_table(rows, path, ["ano"])
+    again = rows.filter(F.col("ano") == int(YEAR)).withColumn(
+        "total_solicitacoes", F.col("total_solicitacoes") + 1
+    )
+    return plain(save_table(again, path, ["ano"], only_partitions=True))
+
+
+def column_defaults(spark, sf_dir):
+    """Groups are active and rows carry their load time unless stated otherwise."""
+    groups = dimensions.with_load_time(dimensions.build_dim_grupo(mart(spark, sf_dir).summary))
+    return groups.agg(F.count_if("ativo").alias("ativos"), F.count("data_carga").alias("datados"))
+
+
+def load_gate(spark, sf_dir):
+    """Whether a load would go on: with all rows, and with those the value filter takes away."""
+    staging = mart(spark, sf_dir).staging
+    gates = [("todas", quality.has_rows(staging)),
+             ("negativas", quality.has_rows(staging.filter(~nonnegative(F.col("valor")))))]
+    return spark.createDataFrame(gates, "linhas string, segue boolean")
+
+
 # --- variation -------------------------------------------------------------------------
 
 def _rows(spark, sf_dir) -> DataFrame:
@@ -357,6 +377,13 @@ def pivot_unfilled(spark, sf_dir):
     return plain(pivot.ordered(pivot.pivot_report(m.variation(), m.groups, fill=None)))
 
 
+def report_source(spark, sf_dir):
+    """The first report view that exists: the preferred one does not."""
+    m = mart(spark, sf_dir)
+    save_view(pivot.ordered(pivot.pivot_report(m.long_delta(), m.groups, market="avg")), "variacao_por_linha")
+    return plain(first_existing(spark, ["variacao_por_grupo_inexistente", "variacao_por_linha"]))
+
+
 # --- reports ---------------------------------------------------------------------------
 
 def signed_masked_delta(spark, sf_dir):
@@ -527,11 +554,12 @@ QUERIES: dict[str, Query] = {
         grid_to_long, number_parse, period_parse, nonneg_filter,
         group_clean, group_alias, report_name_clean,
         dim_time, dim_group, dim_group_keys, dim_service, dim_insert_absent, dim_upsert,
-        mart_load, fact_build,
+        mart_load, fact_build, fact_reload, column_defaults, load_gate,
         market_mean_groups, market_mean_flat, variation_market, variation_group,
         variation_group_service, variation_group_mixed, variation_month, variation_row_lag,
         variation_flat_market, long_delta, long_delta_row_lag,
         pivot_view, pivot_view_row_lag, pivot_avg, pivot_avg_row_lag, pivot_unfilled,
+        report_source,
         signed_masked_delta, merged_names, trend_natural, trend_surrogate, service_series,
         distinct_values, default_selection, default_trend_selection, ranking, best_worst, latest_row,
         market_kpi, market_column_kpi, kpi_counts, delta_long, heat_matrix, tabular_extract,

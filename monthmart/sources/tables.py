@@ -49,18 +49,35 @@ def save_table(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def save_catalog_table(df: DataFrame, name: str, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Full reload of a table that the catalog knows by name, with its files at path."""
+    writer = rebalanced(df, *partition_by).write.mode("overwrite").option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def save_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """New path in the shared folder, deleted when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result once to the shared folder and go on from the file.
 
     Cuts the lineage, survives the loss of executors and gives later joins the
     true size of the data to choose their strategy by.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -26,13 +26,15 @@ from ..functions import file_service, file_year
 # The reader travels with the plan, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# A file gives its sheet rows and, last, one status row without row_idx; its
-# erro is null if the whole sheet was read.
-ROW_SCHEMA = "arquivo string, row_idx int, cells array<string>, erro string"
+# A file gives its sheet rows and, last, one status row without row_idx: number of
+# rows, width of the sheet, and the error if it could not be read to the end.
+ROW_SCHEMA = "arquivo string, row_idx int, cells array<string>, linhas bigint, largura int, erro string"
 _ARROW_SCHEMA = pa.schema([
     ("arquivo", pa.string()),
     ("row_idx", pa.int32()),
     ("cells", pa.list_(pa.string())),
+    ("linhas", pa.int64()),
+    ("largura", pa.int32()),
     ("erro", pa.string()),
 ])
 ROWS_PER_BATCH = 2000
@@ -76,6 +78,14 @@ def sheet_rows(files: DataFrame) -> DataFrame:
     return files.select("arquivo", "content").mapInArrow(_read_batches, ROW_SCHEMA)
 
 
+def with_status(rows: DataFrame) -> DataFrame:
+    """Sheet rows (arquivo, row_idx, cells) from elsewhere, with the status rows a reader gives."""
+    status = rows.groupBy("arquivo").agg(
+        F.count(F.lit(1)).alias("linhas"), F.max(F.size("cells")).alias("largura")
+    ).withColumn("erro", F.lit(None).cast("string"))
+    return rows.unionByName(status, allowMissingColumns=True)
+
+
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for name, content in zip(batch.column("arquivo"), batch.column("content")):
@@ -83,28 +93,21 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _read_file(name: str, content: pa.Scalar) -> Iterator[pa.RecordBatch]:
-    index, cells, error = [], [], None
+    rows, count, width, error = [], 0, 0, None
     try:
         data = content.as_buffer()
         with zipfile.ZipFile(pa.BufferReader(data) if data else io.BytesIO()) as book:
             with book.open("content.xml") as xml:
-                for i, row in _first_sheet(xml):
-                    index.append(i)
-                    cells.append(row)
-                    if len(index) == ROWS_PER_BATCH:
-                        yield _batch(name, index, cells)
-                        index, cells = [], []
+                for number, cells in _first_sheet(xml):
+                    rows.append({"arquivo": name, "row_idx": number, "cells": cells})
+                    count, width = count + 1, max(width, len(cells))
+                    if len(rows) == ROWS_PER_BATCH:
+                        yield pa.RecordBatch.from_pylist(rows, _ARROW_SCHEMA)
+                        rows = []
     except Exception as exc:  # any defect of the file goes to the report
         error = f"{type(exc).__name__}: {exc}"
-    yield _batch(name, [*index, None], [*cells, None], error)
-
-
-def _batch(name: str, index: list, cells: list, error: str | None = None) -> pa.RecordBatch:
-    errors = [None] * (len(index) - 1) + [error]
-    return pa.RecordBatch.from_pydict(
-        {"arquivo": [name] * len(index), "row_idx": index, "cells": cells, "erro": errors},
-        schema=_ARROW_SCHEMA,
-    )
+    rows.append({"arquivo": name, "linhas": count, "largura": width, "erro": error})
+    yield pa.RecordBatch.from_pylist(rows, _ARROW_SCHEMA)
 
 
 def _first_sheet(xml) -> Iterator[tuple[int, list[str | None]]]:

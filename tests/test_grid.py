@@ -1,6 +1,5 @@
-from pyspark.sql import functions as F
-
 from monthmart.operators import grid
+from monthmart.sources import with_status
 
 SCHEMA = "arquivo string, row_idx int, cells array<string>"
 HEADER = ["Grupo Econômico", "Variável", "2015-01", "2015-02"]
@@ -9,7 +8,7 @@ HEADER = ["Grupo Econômico", "Variável", "2015-01", "2015-02"]
 def rows(spark, *sheets):
     """Each sheet is (file name, list of rows)."""
     data = [(name, i, row) for name, sheet in sheets for i, row in enumerate(sheet)]
-    return spark.createDataFrame(data, SCHEMA)
+    return with_status(spark.createDataFrame(data, SCHEMA))
 
 
 def long(spark, *sheets):
@@ -94,7 +93,7 @@ def test_duplicates_are_per_file(spark):
 def test_missing_group_is_dropped_and_counted(spark):
     sheet = rows(spark, ("SMP2015.ods", [["t"], HEADER, ["OI", "M", "1", "2"], [None, "M", "3", "4"]]))
     assert grid.grid_to_long(sheet).count() == 2
-    report = grid.layout_report(sheet.withColumn("erro", F.lit(None).cast("string"))).first()
+    report = grid.layout_report(sheet).first()
     assert (report.status, report.sem_grupo) == ("ok", 1)
 
 
@@ -102,13 +101,13 @@ def test_status_of_each_layout(spark):
     sheets = rows(
         spark, ("A2015.ods", [["t"], HEADER, ["OI", "M", "1", "2"]]), ("B2015.ods", [["t"], ["x"]]),
         ("C2015.ods", [["t"], ["Grupo Econômico", "Nome"], ["OI", "M"]]),
-    ).withColumn("erro", F.lit(None).cast("string"))
+    )
     found = {r.arquivo: r.status for r in grid.layout_report(sheets).collect()}
     assert found == {"A2015.ods": "ok", "B2015.ods": "no_header", "C2015.ods": "unknown_layout"}
 
 
 def test_empty_input(spark):
-    assert grid.grid_to_long(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert grid.grid_to_long(with_status(spark.createDataFrame([], SCHEMA))).count() == 0
 
 
 def test_cell_table_round_trip(spark):

@@ -5,7 +5,8 @@ from test_workbook import row, text, write
 
 from monthmart.operators import grid
 from monthmart.plans.ingest import cached_long_rows, empty_long, read_folder
-from monthmart.sources import scan_workbooks
+from monthmart.plans.mart import REPORT_VIEWS, load_folder
+from monthmart.sources import first_existing, inventory, scan_workbooks, with_status
 from monthmart.streaming.ingest import load_arriving
 
 
@@ -98,7 +99,28 @@ def test_hot_file_is_deduplicated_whole(spark):
         F.when(F.col("id") < 2000, "A2015.ods").when(F.col("id") < 4000, "B2015.ods").otherwise("C2015.ods").alias("arquivo"),
         (F.col("id") + 2).cast("int").alias("row_idx"),
         F.array(F.concat(F.lit("g"), (F.col("id") % 1000).cast("string")), F.lit("m"), F.col("id").cast("string")).alias("cells"))
-    long = grid.grid_to_long(header.unionByName(data)).groupBy("arquivo_origem").agg(
+    long = grid.grid_to_long(with_status(header.unionByName(data))).groupBy("arquivo_origem").agg(
         F.count(F.lit(1)).alias("n"), F.max("valor").alias("m"), F.min("valor").alias("l"))
     assert sorted(tuple(r) for r in long.collect()) == [
         ("A2015.ods", 1000, 999.0, 0.0), ("B2015.ods", 1000, 2999.0, 2000.0), ("C2015.ods", 1000, 4999.0, 4000.0)]
+
+
+def test_folder_to_report(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    metric = "Taxa de Resolvidas em 5 dias úteis"
+    for service, factor in (("SMP", 1), ("SCM", 2)):
+        write(folder / f"{service}2015.ods", row(text("t")),
+              row(text("Grupo Econômico"), text("Variável"), text("2015-01"), text("FEV/2015"), text("mar")),
+              row(text("Oi (a)"), text(metric), text("10,0"), text("15"), text("15")),
+              row(text("TIM *"), text(metric), text(str(10 * factor)), text("-1"), text("30")))
+    mart = load_folder(spark, str(folder), str(tmp_path / "out"))
+    names = mart.create_views()
+    assert set(REPORT_VIEWS) < set(names)
+    counts = dict(tuple(r) for r in inventory(spark, ["staging_ida", "fato_ida", REPORT_VIEWS[0]]).collect())
+    # Negative values never reach staging; TIM has no row for February.
+    assert counts == {"staging_ida": 10, "fato_ida": 10, REPORT_VIEWS[0]: 2}
+    found = first_existing(spark, REPORT_VIEWS).collect()
+    assert [tuple(float(v) for v in r[1:]) for r in found] == [(20.0, -30.0, 0.0), (50.0, 50.0, -50.0)]
+    assert mart.checks().filter("should_error").count() == 0
+    assert "data_carga" in mart.fato.columns

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from monthmart.operators import dimensions, fact, pivot
 from monthmart.plans import fixture, queries
 from monthmart.plans.mart import build_mart
+from monthmart.sources import scratch_path
 
 STAGING = (
     "ano int, mes int, ano_mes string, servico string, grupo_economico string, variavel string, "
@@ -144,12 +145,12 @@ def test_pivot_fills_and_keeps_empty_groups(spark):
 
 @pytest.fixture(scope="module")
 def path(spark):
-    return queries.run_path(spark, "test-mart")
+    return scratch_path(spark, "test-mart")
 
 
 def test_no_rows_no_transformation(spark):
     empty = staging(spark, ("2015-01", "SMP", "OI", "x", -1.0))
-    assert build_mart(empty, queries.run_path(spark, "test-mart")) is None
+    assert build_mart(empty, scratch_path(spark, "test-mart")) is None
 
 
 def test_reload_replaces_everything(spark, path):
@@ -199,5 +200,5 @@ def test_staging_is_computed_once_for_the_load(spark, sf_dir):
             calls.add(batch.num_rows)
             yield batch
 
-    build_mart(base.mapInArrow(count, base.schema), queries.run_path(spark, f"once-{uuid.uuid4().hex}"))
+    build_mart(base.mapInArrow(count, base.schema), scratch_path(spark, f"once-{uuid.uuid4().hex}"))
     assert calls.value == base.count()

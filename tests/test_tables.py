@@ -1,6 +1,6 @@
 from monthmart.constants import STAGING_COLUMNS
 from monthmart.sources import (
-    build_or_reuse, bulk_load, first_existing, inventory, materialize, save_table, save_view, shared_dir,
+    build_or_reuse, bulk_load, first_existing, inventory, materialize, save_catalog_table, save_table, save_view, shared_dir,
 )
 
 ROW = (2015, 1, "2015-01", "SMP", "OI", "x", 1.0, "f.ods")
@@ -29,6 +29,17 @@ def test_partition_reload(spark, tmp_path):
     assert [tuple(r) for r in save_table(new, path, ["ano"]).collect()] == [(3, 2015)]
 
 
+def test_catalog_table(spark, tmp_path):
+    name, path = "monthmart_table", str(tmp_path / "t")
+    try:
+        for v in (1, 2):
+            df = spark.createDataFrame([(v, 2015), (v, 2016)], "v int, ano int")
+            save_catalog_table(df, name, path, ["ano"])
+            assert sorted(tuple(r) for r in spark.table(name).collect()) == [(v, 2015), (v, 2016)]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_first_existing_even_if_empty(spark):
     save_view(spark.range(0), "monthmart_empty")
     save_view(spark.range(2), "monthmart_full")

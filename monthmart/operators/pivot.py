@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import MARKET_COLUMN
@@ -36,20 +36,27 @@ def pivot_report(
 ) -> DataFrame:
     """One row per month: the market's variation and each group's difference.
 
-    All columns come from one aggregate over the variation rows. A group without a
-    value in a month shows ``fill``; None leaves it null. Differences are rounded
-    before their maximum is taken, which is the same and needs one rounding only.
+    Market and groups come from one pass over the variation rows: each row counts
+    once for its group and once for the market, which is a column like the groups. A
+    group without a value in a month shows ``fill``; None leaves it null. Differences
+    are rounded before their maximum is taken, which gives the same.
     """
-    def shown(col: Column) -> Column:
-        return col if fill is None else F.coalesce(col, F.lit(fill).cast(f"decimal(18,{digits})"))
-
     combine = {"max": F.max, "avg": F.avg}[market]
-    group, change = F.col("nome_grupo"), F.col("mudanca")
-    rows = delta.withColumn("mudanca", rounded(F.col("diferenca"), digits))
-    return rows.groupBy(F.col("ano_mes").alias("Mes")).agg(
-        shown(rounded(combine(F.col("var_mercado").cast("double")), digits)).alias(market_column),
-        *[shown(F.max(F.when(group == g, change))).alias(g) for g in groups],
+    change = rounded(F.col("diferenca"), digits)
+    level = F.col("var_mercado").cast("double")
+    columns = F.array(
+        F.struct(F.col("nome_grupo").alias("coluna"), change.alias("d"), F.lit(None).cast("double").alias("m")),
+        F.struct(F.lit(market_column).alias("coluna"), F.lit(None).cast(f"decimal(18,{digits})").alias("d"), level.alias("m")),
+    )
+    names = [market_column, *groups]
+    wide = (
+        delta.select(F.col("ano_mes").alias("Mes"), F.inline(columns))
+        .groupBy("Mes").pivot("coluna", names).agg(F.max("d").alias("d"), combine("m").alias("m"))
     )
+    report = wide.select(
+        "Mes", rounded(quoted(f"{market_column}_m"), digits), *[quoted(f"{g}_d") for g in groups]
+    ).toDF("Mes", *names)
+    return report if fill is None else report.na.fill(fill)
 
 
 def ordered(report: DataFrame) -> DataFrame:

@@ -89,7 +89,7 @@ def build_mart(staging: DataFrame, path: str) -> Mart | None:
     dimensions do not depend on each other and are written side by side.
     """
     rows = staging.select(*STAGING_COLUMNS).filter(nonnegative(F.col("valor")))
-    loaded = save_table(rows, f"{path}/staging_ida", ["ano"]).select(*STAGING_COLUMNS)
+    loaded = save_table(rows, f"{path}/staging_ida")
     if not quality.has_rows(loaded):
         return None
     summary = save_table(fact.summarise_staging(loaded), f"{path}/resumo_ida")

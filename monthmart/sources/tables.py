@@ -30,8 +30,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
-    """Even output files, one partition value per file; hot values are split by AQE."""
-    return df.hint("rebalance", *columns) if columns else df.hint("rebalance")
+    """One partition value per file; AQE splits values that hold too many rows."""
+    return df.hint("rebalance", *columns)
+
+
+def _overwriting(df: DataFrame, partition_by: Sequence[str]):
+    """Writer that replaces. Only tables with partitions are shuffled for their layout."""
+    if not partition_by:
+        return df.write.mode("overwrite")
+    return rebalanced(df, *partition_by).write.mode("overwrite").partitionBy(*partition_by)
 
 
 def save_table(
@@ -41,20 +48,15 @@ def save_table(
 
     ``path`` must not be an input of ``df``.
     """
-    writer = rebalanced(df, *partition_by).write.mode("overwrite")
-    if partition_by:
-        mode = "dynamic" if only_partitions else "static"
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", mode)
-    writer.parquet(path)
+    # Said for each write, so that a setting of the session changes nothing.
+    mode = "dynamic" if only_partitions else "static"
+    _overwriting(df, partition_by).option("partitionOverwriteMode", mode).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def save_catalog_table(df: DataFrame, name: str, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Full reload of a table that the catalog knows by name, with its files at path."""
-    writer = rebalanced(df, *partition_by).write.mode("overwrite").option("path", path)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    _overwriting(df, partition_by).option("path", path).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
@@ -85,17 +87,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def bulk_load(
     df: DataFrame, path: str, columns: Sequence[str] = STAGING_COLUMNS, truncate: bool = True
 ) -> None:
-    """Load the columns into the staging table at path, one folder per year.
+    """Load the columns into the staging table at path; every task writes its own rows.
 
     An input without rows leaves the table as it is. It is only looked into where
     rows could get lost, as that may cost as much as computing it.
     """
     if truncate and df.isEmpty():
         return
-    mode = "overwrite" if truncate else "append"
-    # A reload replaces the whole table, whatever the session says about partitions.
-    (rebalanced(df.select(*columns), "ano").write.mode(mode)
-     .option("partitionOverwriteMode", "static").partitionBy("ano").parquet(path))
+    df.select(*columns).write.mode("overwrite" if truncate else "append").parquet(path)
 
 
 def first_existing(spark: SparkSession, names: Sequence[str]) -> DataFrame | None:

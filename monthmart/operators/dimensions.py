@@ -48,8 +48,7 @@ def month_attributes(months: DataFrame) -> DataFrame:
     mes = F.col("mes")
     return months.select("ano", "mes", "ano_mes").distinct().select(
         "ano", "mes", "ano_mes",
-        F.when(mes.between(1, 3), 1).when(mes.between(4, 6), 2).when(mes.between(7, 9), 3)
-        .otherwise(4).alias("trimestre"),
+        F.when(mes.between(1, 9), F.ceil(mes / 3).cast("int")).otherwise(4).alias("trimestre"),
         F.when(mes.between(1, 6), 1).otherwise(2).alias("semestre"),
     )
 

@@ -1,5 +1,9 @@
 """The registered queries as plain SQL over the same tables, to compare results with.
 
+The SQL takes its own way to the results: group names follow from the nation, facts
+from the counts by month, service and group, cleaned names and parsed periods from how
+the texts were composed, with none of the patterns the operators use.
+
 Each query is a chain of common table expressions from the order tables down;
 ``_sql`` puts the ones a query needs in front of its select.
 """
@@ -8,7 +12,8 @@ from __future__ import annotations
 
 import re
 
-NOISE = r"\s*\([^)]*\)|\*+"
+from ..constants import OTHER_SERVICE_DESCRIPTION, SERVICES
+
 GROUPS = (
     "ALGAR", "CLARO", *sorted(f"NATION_{k}" for k in range(8, 25)), "OI", "SERCOMTEL", "TIM", "VIVO",
 )
@@ -27,25 +32,6 @@ def num(x: str, n: int = 6) -> str:
     return f"CAST({dec(x, n)} AS DOUBLE)"
 
 
-def clean(c: str) -> str:
-    return rf"regexp_replace(trim(regexp_replace(upper({c}), '{NOISE}', '', 'g')), '\s+', ' ', 'g')"
-
-
-def alias(c: str) -> str:
-    return (
-        f"CASE WHEN {c} LIKE 'OI%' THEN 'OI' WHEN {c} LIKE 'CLARO%' THEN 'CLARO' "
-        f"WHEN {c} LIKE 'VIVO%' OR {c} LIKE 'TELEFÔNICA%' THEN 'VIVO' WHEN {c} LIKE 'TIM%' THEN 'TIM' "
-        f"WHEN {c} LIKE 'CTBC%' OR {c} LIKE 'ALGAR%' THEN 'ALGAR' "
-        f"WHEN {c} LIKE 'SERCOMTEL%' THEN 'SERCOMTEL' ELSE {c} END"
-    )
-
-
-def report_name(c: str) -> str:
-    bare = rf"regexp_replace(regexp_replace(coalesce({c}, ''), '\s*\([^)]*\)', '', 'g'), '\*+', '', 'g')"
-    name = rf"upper(trim(regexp_replace({bare}, '\s+', ' ', 'g')))"
-    return f"CASE WHEN {name} LIKE 'SERCOMTEL%' THEN 'SERCOMTEL' ELSE {name} END"
-
-
 def pct(now: str, before: str) -> str:
     return f"CASE WHEN {before} > 0 THEN ({now} - {before}) / {before} * 100 END"
 
@@ -62,12 +48,15 @@ CTES = {
           WHEN 2 THEN 'Telefônica Brasil' WHEN 3 THEN 'CTBC *' WHEN 4 THEN 'Tim (a)'
           WHEN 5 THEN 'Sercomtel (b)' WHEN 6 THEN 'vivo' WHEN 7 THEN 'Algar'
           ELSE lower(n_name) END AS grupo_economico,
+        CASE n_nationkey WHEN 0 THEN 'OI' WHEN 1 THEN 'CLARO' WHEN 2 THEN 'VIVO' WHEN 3 THEN 'ALGAR'
+          WHEN 4 THEN 'TIM' WHEN 5 THEN 'SERCOMTEL' WHEN 6 THEN 'VIVO' WHEN 7 THEN 'ALGAR'
+          ELSE n_name END AS nome_grupo,
         count(*) AS q_tot,
         sum(CASE WHEN l_quantity <= 40 THEN 1 ELSE 0 END) AS q_res,
         sum(CASE WHEN l_quantity <= 5 THEN 1 ELSE 0 END) AS q_5d
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey
       JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-      GROUP BY 1, 2, 3, 4, 5""",
+      GROUP BY 1, 2, 3, 4, 5, 6""",
     "metrics": """SELECT *, 'Total de Solicitações' AS variavel, CAST(q_tot AS DOUBLE) AS valor FROM w
       UNION ALL SELECT *, 'Taxa de Resolvidas no Período', CAST(100 AS DOUBLE) * q_res / q_tot FROM w
       UNION ALL SELECT *, 'Taxa de Resolvidas em 5 dias úteis', CAST(100 AS DOUBLE) * q_5d / q_tot FROM w
@@ -117,35 +106,25 @@ CTES = {
       FROM m WHERE arquivo <> 'SMP1996.ods'
         AND (rn = 1 OR TRY_CAST(replace(texto, ',', '.') AS DOUBLE) IS NOT NULL)""",
     # Mart.
-    "refined": f"""SELECT ano_mes, upper(servico) AS svc, {alias(clean('grupo_economico'))} AS grp,
-        max(CASE WHEN variavel ILIKE 'Indicador de Desempenho%' OR variavel ILIKE 'Índice de Desempenho%'
-          THEN valor END) AS val_ida,
-        max(CASE WHEN variavel ILIKE 'Taxa de Resolvidas em 5 dias%' THEN valor END) AS tx_5d,
-        max(CASE WHEN variavel ILIKE 'Taxa de Resolvidas no Período' THEN valor END) AS tx_tot,
-        max(CASE WHEN variavel IN ('Total de Solicitações', 'Quantidade de Solicitações',
-          'Quantidade de reclamações', 'Quantidade de Reclamações', 'Quantidade de Reclamações no Período',
-          'Total de Reclamações') THEN valor END) AS sol_tot,
-        max(CASE WHEN variavel IN ('Quantidade de resolvidas', 'Quantidade de Sol. Resolvidas no Período',
-          'Quantidade de Respondidas') THEN valor END) AS sol_res
-      FROM staging GROUP BY 1, 2, 3""",
     "dt": """SELECT CAST(row_number() OVER (ORDER BY ano, mes) AS INTEGER) AS id_tempo, ano, mes, ano_mes,
-        CASE WHEN mes BETWEEN 1 AND 3 THEN 1 WHEN mes BETWEEN 4 AND 6 THEN 2
-          WHEN mes BETWEEN 7 AND 9 THEN 3 ELSE 4 END AS trimestre,
-        CASE WHEN mes BETWEEN 1 AND 6 THEN 1 ELSE 2 END AS semestre
+        CAST((mes + 2) // 3 AS INTEGER) AS trimestre, CAST((mes + 5) // 6 AS INTEGER) AS semestre
       FROM (SELECT DISTINCT ano, mes, ano_mes FROM w)""",
-    "ds": """SELECT svc AS codigo_servico,
-        CASE svc WHEN 'SMP' THEN 'Serviço Móvel Pessoal' WHEN 'STFC' THEN 'Serviço Telefônico Fixo Comutado'
-          WHEN 'SCM' THEN 'Serviço de Comunicação Multimídia' ELSE svc END AS nome_servico,
-        CASE svc WHEN 'SMP' THEN 'Telefonia Celular' WHEN 'STFC' THEN 'Telefonia Fixa'
-          WHEN 'SCM' THEN 'Banda Larga Fixa' ELSE 'Outros' END AS descricao
-      FROM (SELECT DISTINCT upper(servico) AS svc FROM w)""",
-    "fato": f"""SELECT id_tempo, grp AS nome_grupo, svc AS codigo_servico,
-        {num('coalesce(val_ida, tx_5d, 0)', 2)} AS {RATE},
-        {num('coalesce(tx_tot, 0)', 2)} AS taxa_solicitacoes_resolvidas,
-        CAST(round(coalesce(sol_tot, 0)) AS INTEGER) AS total_solicitacoes,
-        CAST(round(coalesce(sol_res, round(sol_tot * tx_tot / 100), 0)) AS INTEGER) AS solicitacoes_resolvidas,
-        ano
-      FROM refined JOIN dt USING (ano_mes)""",
+    "svc": "SELECT * FROM (VALUES " + ", ".join(
+        f"('{code}', '{name}', '{text}')" for code, (name, text) in SERVICES.items()
+    ) + ") AS v(codigo_servico, nome_servico, descricao)",
+    "ds": f"""SELECT servico AS codigo_servico, coalesce(nome_servico, servico) AS nome_servico,
+        coalesce(descricao, '{OTHER_SERVICE_DESCRIPTION}') AS descricao
+      FROM (SELECT DISTINCT servico FROM w) LEFT JOIN svc ON servico = codigo_servico""",
+    # Spellings of one group meet at the maximum; fixed-line services publish an index of
+    # twice the rate, and only broadband counts its resolved requests.
+    "fato": f"""SELECT id_tempo, nome_grupo, servico AS codigo_servico,
+        {num("max(CASE servico WHEN 'STFC' THEN 200.0::DOUBLE ELSE 100.0::DOUBLE END * q_5d / q_tot)", 2)} AS {RATE},
+        {num("max(100.0::DOUBLE * q_res / q_tot)", 2)} AS taxa_solicitacoes_resolvidas,
+        CAST(max(q_tot) AS INTEGER) AS total_solicitacoes,
+        CAST(CASE servico WHEN 'SCM' THEN max(q_res)
+          ELSE round(max(q_tot) * max(100.0::DOUBLE * q_res / q_tot) / 100) END AS INTEGER) AS solicitacoes_resolvidas,
+        dt.ano
+      FROM w JOIN dt USING (ano_mes) GROUP BY id_tempo, nome_grupo, servico, dt.ano""",
     # Variation.
     "r": f"SELECT id_tempo, ano_mes, nome_grupo, codigo_servico, {RATE} AS ida FROM fato JOIN dt USING (id_tempo)",
     "gm": "SELECT id_tempo, ano_mes, nome_grupo, avg(ida) AS ida FROM r GROUP BY ALL",
@@ -203,12 +182,11 @@ CTES["melted"] = (
       ON {", ".join(f'"{g}"' for g in GROUPS)} INTO NAME name VALUE value)"""
 )
 CTES["rl"] = """SELECT "Mes", "Operadora", CASE WHEN abs(d) <= 200 THEN 0.0::DOUBLE - d END AS "Delta" FROM melted"""
-CTES["tr"] = f"""SELECT ano_mes, {report_name('nome_grupo')} AS nome_grupo, nome_servico, ida
-      FROM r JOIN ds USING (codigo_servico)"""
+CTES["tr"] = "SELECT ano_mes, nome_grupo, nome_servico, ida FROM r JOIN ds USING (codigo_servico)"
 # Quality: the mart with known bad rows.
 CTES["dt_bad"] = """SELECT id_tempo, ano, mes, ano_mes FROM dt UNION ALL SELECT NULL, NULL, NULL, NULL
       UNION ALL SELECT -1, ano, mes, ano_mes FROM dt WHERE ano_mes = '1996-01'"""
-CTES["dg_bad"] = """SELECT DISTINCT grp AS nome_grupo FROM refined UNION ALL SELECT NULL
+CTES["dg_bad"] = """SELECT DISTINCT nome_grupo FROM w UNION ALL SELECT NULL
       UNION ALL SELECT repeat('X', 101)"""
 CTES["ds_bad"] = "SELECT codigo_servico FROM ds UNION ALL SELECT 'XXX'"
 CTES["f_bad"] = f"""SELECT id_tempo, nome_grupo, codigo_servico, {RATE} FROM fato
@@ -303,11 +281,6 @@ def _box(q: float) -> str:
     return num(f'quantile_cont("Delta", {q})')
 
 
-SPELLED = """SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN ' Sercomtel  ' || c_name || ' (a) (b)'
-    WHEN 'HOUSEHOLD' THEN c_name || ' **' WHEN 'MACHINERY' THEN NULL
-    ELSE c_name || ' (' || lower(c_mktsegment) || ') *  s.a. ' END AS nome FROM customer"""
-NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-TITLE = r"(SCM|SMP|STFC)\s*-\s*(\d{4})"
 PAGE = r"/(en|fr|de|es)/(\d{1,9})"
 SVC = "CASE o_orderstatus WHEN 'F' THEN 'SMP' WHEN 'O' THEN 'STFC' ELSE 'SCM' END"
 ORDER_MONTH = f"{MONTHS}[month(o_orderdate)]"
@@ -323,16 +296,12 @@ _SELECTS = {
       FROM (SELECT *, unnest(range(1, len(h) + 1)) AS pos FROM (SELECT page_id, url,
         regexp_extract_all(html, '(?is)<h1\b[^>]*>(.*?)</h1>', 1) AS h FROM pages))
       WHERE regexp_matches(url, '{PAGE}')""",
-    "title_parse": rf"""SELECT titulo, n, regexp_extract(titulo, '{TITLE}', 1) AS servico,
-        CAST(regexp_extract(titulo, '{TITLE}', 2) AS INTEGER) AS ano,
-        regexp_extract(titulo, '{TITLE}', 1) || regexp_extract(titulo, '{TITLE}', 2) || '.ods' AS filename
-      FROM (SELECT titulo, count(*) AS n FROM (SELECT CASE o_orderpriority
-          WHEN '1-URGENT' THEN 'Índice - ' || {SVC} || ' - ' || year(o_orderdate)
-          WHEN '2-HIGH' THEN 'Índice ' || {SVC} || '-' || year(o_orderdate)
-          WHEN '3-MEDIUM' THEN 'Relatório ' || year(o_orderdate)
-          WHEN '4-NOT SPECIFIED' THEN lower({SVC}) || ' - ' || year(o_orderdate)
-          ELSE 'x' || {SVC} || '  -  ' || year(o_orderdate) || ' (v2)' END AS titulo FROM orders) GROUP BY 1)
-      WHERE regexp_matches(titulo, '{TITLE}')""",
+    "title_parse": f"""SELECT titulo, count(*) AS n, servico, ano, servico || ano || '.ods' AS filename
+      FROM (SELECT {SVC} AS servico, CAST(year(o_orderdate) AS INTEGER) AS ano, CASE o_orderpriority
+          WHEN '1-URGENT' THEN 'Índice - ' || servico || ' - ' || ano
+          WHEN '2-HIGH' THEN 'Índice ' || servico || '-' || ano
+          WHEN '5-LOW' THEN 'x' || servico || '  -  ' || ano || ' (v2)' END AS titulo FROM orders)
+      WHERE titulo IS NOT NULL GROUP BY ALL""",
     "workbook_signature": """SELECT arquivo, servico, ano AS ano_arquivo, true AS valido FROM sheets
       UNION ALL SELECT DISTINCT servico || '0000.ods', servico, 0, false FROM sheets""",
     "load_count": "SELECT count(*) AS ok, count(*) + count(DISTINCT servico) AS total FROM sheets",
@@ -349,16 +318,11 @@ _SELECTS = {
     "table_inventory": """SELECT 'staging_ida' AS tabela, count(*) AS n FROM staging
       UNION ALL SELECT 'fato_ida', count(*) FROM fato UNION ALL SELECT 'view_variacao', count(*) FROM pv""",
     "grid_to_long": "SELECT * FROM longrows",
-    "number_parse": rf"""SELECT forma, count(*) AS n, count(v) AS lidos,
-        CAST(sum(CAST(v AS DECIMAL(18,2))) AS DOUBLE) AS soma
-      FROM (SELECT forma, CASE WHEN regexp_matches(t, '{NUMBER}') THEN TRY_CAST(trim(t) AS DOUBLE) END AS v
-        FROM (SELECT forma, regexp_replace(CASE forma WHEN 'AF' THEN c WHEN 'AO' THEN ' ' || p || ' '
-            WHEN 'NF' THEN c || ',5' WHEN 'NO' THEN 'n/d' WHEN 'RF' THEN c || 'e1' ELSE '-' || c END,
-            ',', '.') AS t
-          FROM (SELECT l_returnflag || l_linestatus AS forma,
-            CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS p, replace(p, '.', ',') AS c
-            FROM lineitem)))
-      GROUP BY forma""",
+    "number_parse": """SELECT l_returnflag || l_linestatus AS forma, count(*) AS n,
+        CASE WHEN forma IN ('NF', 'NO') THEN 0 ELSE count(*) END AS lidos,
+        CAST(CASE WHEN forma IN ('AF', 'AO') THEN sum(p) WHEN forma = 'RF' THEN sum(p * 10)
+          WHEN forma = 'RO' THEN -sum(p) END AS DOUBLE) AS soma
+      FROM (SELECT *, CAST(l_extendedprice AS DECIMAL(12,2)) AS p FROM lineitem) GROUP BY forma""",
     "period_parse": f"""SELECT texto, CAST(y AS INTEGER) AS ano_arquivo, count(*) AS n,
         CASE WHEN kind IN (1, 2, 3, 4, 6) THEN CAST(y AS INTEGER) END AS ano,
         CASE WHEN kind IN (1, 2, 3, 4) THEN CAST(m AS INTEGER) WHEN kind = 6 THEN 1 END AS mes
@@ -371,13 +335,17 @@ _SELECTS = {
       GROUP BY ALL""",
     "nonneg_filter": """SELECT c_custkey, c_acctbal AS valor FROM customer
       WHERE c_mktsegment <> 'HOUSEHOLD' AND c_acctbal >= 0""",
-    "group_clean": f"SELECT c_custkey, {clean('nome')} AS nome FROM ({SPELLED})",
-    "group_alias": f"SELECT DISTINCT grupo_economico, {alias(clean('grupo_economico'))} AS nome_grupo FROM staging",
-    "report_name_clean": f"SELECT c_custkey, {report_name('nome')} AS nome FROM ({SPELLED})",
+    "group_clean": """SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'SERCOMTEL ' || upper(c_name)
+        WHEN 'HOUSEHOLD' THEN upper(c_name) WHEN 'MACHINERY' THEN NULL
+        ELSE upper(c_name) || ' S.A.' END AS nome FROM customer""",
+    "group_alias": "SELECT DISTINCT grupo_economico, nome_grupo FROM w",
+    "report_name_clean": """SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'SERCOMTEL'
+        WHEN 'HOUSEHOLD' THEN upper(c_name) WHEN 'MACHINERY' THEN ''
+        ELSE upper(c_name) || ' S.A.' END AS nome FROM customer""",
     "dim_time": "SELECT * FROM dt",
-    "dim_group": "SELECT DISTINCT grp AS nome_grupo, true AS ativo FROM refined",
-    "dim_group_keys": """SELECT count(DISTINCT grp) AS n, count(DISTINCT grp) AS distintos, 1 AS menor,
-        CAST(count(DISTINCT grp) AS INTEGER) AS maior FROM refined""",
+    "dim_group": "SELECT DISTINCT nome_grupo, true AS ativo FROM w",
+    "dim_group_keys": """SELECT count(DISTINCT nome_grupo) AS n, count(DISTINCT nome_grupo) AS distintos, 1 AS menor,
+        CAST(count(DISTINCT nome_grupo) AS INTEGER) AS maior FROM w""",
     "dim_service": "SELECT * FROM ds",
     "dim_insert_absent": "SELECT * FROM dt",
     "dim_upsert": """SELECT CASE codigo_servico WHEN 'SMP' THEN 7 WHEN 'STFC' THEN 9 ELSE 10 END AS id_servico, *
@@ -386,7 +354,7 @@ _SELECTS = {
     "fact_build": "SELECT * FROM fato",
     "fact_reload": "SELECT * REPLACE (CASE WHEN ano = 2000 THEN total_solicitacoes + 1 "
     "ELSE total_solicitacoes END AS total_solicitacoes) FROM fato",
-    "column_defaults": "SELECT count(DISTINCT grp) AS ativos, count(DISTINCT grp) AS datados FROM refined",
+    "column_defaults": "SELECT count(DISTINCT nome_grupo) AS ativos, count(DISTINCT nome_grupo) AS datados FROM w",
     "load_gate": """SELECT 'todas' AS linhas, count(*) > 0 AS segue FROM staging WHERE valor >= 0
       UNION ALL SELECT 'negativas', count(*) > 0 FROM staging WHERE NOT valor >= 0""",
     "report_source": pivot("ld", "avg") + " ORDER BY 1",

@@ -22,6 +22,8 @@ LONG_COLUMNS = (
     "grupo_economico", "variavel", "periodo", "valor", "ano", "mes",
     "servico", "arquivo_origem", "ano_mes",
 )
+# Rows of a sheet meet its layout in blocks of this many rows.
+ROWS_PER_BLOCK = 100_000
 PERIOD_HEADER = "|".join((r"\d{4}", *MONTHS))
 
 
@@ -35,8 +37,8 @@ def is_id_header(name: Column) -> Column:
 
 
 def file_status(rows: DataFrame) -> DataFrame:
-    """(arquivo, linhas, largura, erro) of each file; does not touch the cells."""
-    return rows.filter(F.col("row_idx").isNull()).select("arquivo", "linhas", "largura", "erro")
+    """(arquivo, linhas, ultima, largura, erro) of each file; does not touch the cells."""
+    return rows.filter(F.col("row_idx").isNull()).select("arquivo", "linhas", "ultima", "largura", "erro")
 
 
 def header_rows(rows: DataFrame, sentinel: str = HEADER_SENTINEL, skip_rows: int = 1) -> DataFrame:
@@ -62,7 +64,7 @@ def sheet_layouts(rows: DataFrame, sentinel: str = HEADER_SENTINEL, skip_rows: i
     kept, with recognised = false; files with a reading error are left out, also if
     some of their rows were read.
     """
-    whole = file_status(rows).filter(F.col("erro").isNull()).select("arquivo", "largura")
+    whole = file_status(rows).filter(F.col("erro").isNull()).select("arquivo", "ultima", "largura")
     headers = header_rows(rows, sentinel, skip_rows).join(whole, "arquivo")
     columns = F.transform(
         F.sequence(F.lit(0), F.col("largura") - 1),
@@ -78,7 +80,7 @@ def sheet_layouts(rows: DataFrame, sentinel: str = HEADER_SENTINEL, skip_rows: i
                            parse_period(c.periodo, year).alias("p")),
     )
     return (
-        headers.select("arquivo", "header_row",
+        headers.select("arquivo", "header_row", "ultima",
                        file_year(F.col("arquivo")).alias("ano_arquivo"), columns.alias("columns"))
         .withColumn("ids", F.filter("columns", lambda c: is_id_header(c.periodo)))
         .withColumn("candidates", F.filter("columns", lambda c: is_period_header(c.periodo)))
@@ -86,6 +88,7 @@ def sheet_layouts(rows: DataFrame, sentinel: str = HEADER_SENTINEL, skip_rows: i
         .select(
             "arquivo",
             "header_row",
+            "ultima",
             F.get("ids", F.lit(0)).col_idx.alias("group_pos"),
             F.get("ids", F.lit(1)).col_idx.alias("metric_pos"),
             ((F.size("ids") > 0) & (F.size("candidates") > 0)).alias("recognised"),
@@ -98,9 +101,27 @@ def sheet_layouts(rows: DataFrame, sentinel: str = HEADER_SENTINEL, skip_rows: i
     )
 
 
+def data_rows(rows: DataFrame, layouts: DataFrame) -> DataFrame:
+    """Rows below the header of each recognised sheet, with its layout.
+
+    The layout is repeated for each block of the sheet, once for all but the longest
+    sheets, so that a file with most of the rows is spread over tasks where the
+    layouts are too many to broadcast.
+    """
+    def block(row: Column) -> Column:
+        return F.floor(row / ROWS_PER_BLOCK)
+
+    blocks = layouts.filter("recognised").withColumn(
+        "bloco", F.explode(F.sequence(F.lit(0).cast("bigint"), block(F.col("ultima"))))
+    )
+    return rows.withColumn("bloco", block(F.col("row_idx"))).join(
+        blocks, ["arquivo", "bloco"]
+    ).filter("row_idx > header_row")
+
+
 def unpivot_rows(rows: DataFrame, layouts: DataFrame) -> DataFrame:
     """One row per data cell that holds a number, with its group, metric and period."""
-    data = rows.join(layouts.filter("recognised"), "arquivo").filter("row_idx > header_row")
+    data = data_rows(rows.select("arquivo", "row_idx", "cells"), layouts)
     metric = F.when(F.col("metric_pos").isNull(), F.lit(DEFAULT_METRIC)).otherwise(
         F.get("cells", F.col("metric_pos"))
     )
@@ -169,11 +190,10 @@ def layout_report(rows: DataFrame) -> DataFrame:
 
     Also counts the data rows without a group, which give no long rows.
     """
-    layouts = sheet_layouts(rows).select("arquivo", "header_row", "group_pos", "recognised")
+    layouts = sheet_layouts(rows)
     nameless = (
-        rows.join(layouts.filter("recognised"), "arquivo")
-        .filter((F.col("row_idx") > F.col("header_row"))
-                & F.get("cells", F.col("group_pos")).isNull())
+        data_rows(rows.select("arquivo", "row_idx", "cells"), layouts)
+        .filter(F.get("cells", F.col("group_pos")).isNull())
         .groupBy("arquivo").agg(F.count(F.lit(1)).alias("sem_grupo"))
     )
     status = (

@@ -27,13 +27,17 @@ from ..functions import file_service, file_year
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # A file gives its sheet rows and, last, one status row without row_idx: number of
-# rows, width of the sheet, and the error if it could not be read to the end.
-ROW_SCHEMA = "arquivo string, row_idx int, cells array<string>, linhas bigint, largura int, erro string"
+# rows, number of the last one, width of the sheet, and the error if it could not be
+# read to the end.
+ROW_SCHEMA = (
+    "arquivo string, row_idx int, cells array<string>, linhas bigint, ultima int, largura int, erro string"
+)
 _ARROW_SCHEMA = pa.schema([
     ("arquivo", pa.string()),
     ("row_idx", pa.int32()),
     ("cells", pa.list_(pa.string())),
     ("linhas", pa.int64()),
+    ("ultima", pa.int32()),
     ("largura", pa.int32()),
     ("erro", pa.string()),
 ])
@@ -81,7 +85,8 @@ def sheet_rows(files: DataFrame) -> DataFrame:
 def with_status(rows: DataFrame) -> DataFrame:
     """Sheet rows (arquivo, row_idx, cells) from elsewhere, with the status rows a reader gives."""
     status = rows.groupBy("arquivo").agg(
-        F.count(F.lit(1)).alias("linhas"), F.max(F.size("cells")).alias("largura")
+        F.count(F.lit(1)).alias("linhas"), F.max("row_idx").alias("ultima"),
+        F.max(F.size("cells")).alias("largura"),
     ).withColumn("erro", F.lit(None).cast("string"))
     return rows.unionByName(status, allowMissingColumns=True)
 
@@ -93,20 +98,20 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _read_file(name: str, content: pa.Scalar) -> Iterator[pa.RecordBatch]:
-    rows, count, width, error = [], 0, 0, None
+    rows, count, last, width, error = [], 0, None, 0, None
     try:
         data = content.as_buffer()
         with zipfile.ZipFile(pa.BufferReader(data) if data else io.BytesIO()) as book:
             with book.open("content.xml") as xml:
-                for number, cells in _first_sheet(xml):
-                    rows.append({"arquivo": name, "row_idx": number, "cells": cells})
+                for last, cells in _first_sheet(xml):
+                    rows.append({"arquivo": name, "row_idx": last, "cells": cells})
                     count, width = count + 1, max(width, len(cells))
                     if len(rows) == ROWS_PER_BATCH:
                         yield pa.RecordBatch.from_pylist(rows, _ARROW_SCHEMA)
                         rows = []
     except Exception as exc:  # any defect of the file goes to the report
         error = f"{type(exc).__name__}: {exc}"
-    rows.append({"arquivo": name, "linhas": count, "largura": width, "erro": error})
+    rows.append({"arquivo": name, "linhas": count, "ultima": last, "largura": width, "erro": error})
     yield pa.RecordBatch.from_pylist(rows, _ARROW_SCHEMA)
 
 

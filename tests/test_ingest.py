@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from test_workbook import row, text, write
 
@@ -90,8 +91,10 @@ def test_arriving_files_are_loaded_once(spark, tmp_path):
     assert load() == [("SCM2014.ods", "m0", 3.0, 2014), ("SMP2015.ods", "m0", 1.0, 2015)]
 
 
-def test_hot_file_is_deduplicated_whole(spark):
+@pytest.mark.parametrize("block", [grid.ROWS_PER_BLOCK, 7])
+def test_hot_file_is_deduplicated_whole(spark, monkeypatch, block):
     """A third of all rows in one file, every key twice: the earlier row wins, nothing is lost."""
+    monkeypatch.setattr(grid, "ROWS_PER_BLOCK", block)
     header = spark.createDataFrame(
         [(f"{k}2015.ods", 1, ["Grupo Econômico", "Variável", "2015-01"]) for k in "ABC"],
         "arquivo string, row_idx int, cells array<string>")

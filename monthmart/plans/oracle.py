@@ -352,6 +352,19 @@ _SELECTS = {
       FROM ds""",
     "mart_load": "SELECT * FROM fato",
     "fact_build": "SELECT * FROM fato",
+    "workbook_mart": f"""SELECT id_tempo, nome_grupo, codigo_servico, {num('coalesce(i, t5, 0)', 2)} AS {RATE},
+        {num('coalesce(t, 0)', 2)} AS taxa_solicitacoes_resolvidas,
+        CAST(round(coalesce(p, 0)) AS INTEGER) AS total_solicitacoes,
+        CAST(round(coalesce(q, round(p * t / 100), 0)) AS INTEGER) AS solicitacoes_resolvidas, ano
+      FROM (SELECT ano, CAST(dense_rank() OVER (ORDER BY ano, mes) AS INTEGER) AS id_tempo, nome_grupo,
+          servico AS codigo_servico,
+          max(valor) FILTER (variavel = 'Índice de Desempenho no Atendimento') AS i,
+          max(valor) FILTER (variavel = 'Taxa de Resolvidas em 5 dias úteis') AS t5,
+          max(valor) FILTER (variavel = 'Taxa de Resolvidas no Período') AS t,
+          max(valor) FILTER (variavel = 'Total de Solicitações') AS p,
+          max(valor) FILTER (variavel = 'Quantidade de resolvidas') AS q
+        FROM longrows JOIN (SELECT DISTINCT grupo_economico, nome_grupo FROM w) USING (grupo_economico)
+        WHERE valor >= 0 GROUP BY ano, mes, nome_grupo, servico)""",
     "fact_reload": "SELECT * REPLACE (CASE WHEN ano = 2000 THEN total_solicitacoes + 1 "
     "ELSE total_solicitacoes END AS total_solicitacoes) FROM fato",
     "column_defaults": "SELECT count(DISTINCT nome_grupo) AS ativos, count(DISTINCT nome_grupo) AS datados FROM w",

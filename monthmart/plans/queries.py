@@ -82,6 +82,7 @@ def title_parse(spark, sf_dir):
 
 
 def _files(spark, sf_dir) -> DataFrame:
+    """Workbook files that hold the staging rows, and some that are none."""
     staging = mart(spark, sf_dir).staging
     books = fixture.workbook_files(fixture.sheet_grid(staging))
     return books.unionByName(fixture.broken_files(staging))
@@ -260,6 +261,14 @@ def mart_load(spark, sf_dir):
     return plain(m.fato.drop("id_grupo", "id_servico", "data_carga"))
 
 
+def workbook_mart(spark, sf_dir):
+    """From workbook files through the cache to the fact table."""
+    files = materialize(_files(spark, sf_dir), "files")
+    long = cached_long_rows(files, scratch_path(spark, "cache"))
+    m = build_mart(long, scratch_path(spark, "mart"))
+    return plain(m.fato.drop("id_grupo", "id_servico", "data_carga"))
+
+
 def fact_build(spark, sf_dir):
     m = mart(spark, sf_dir)
     summary = fact.summarise_staging(m.staging)
@@ -554,7 +563,7 @@ QUERIES: dict[str, Query] = {
         grid_to_long, number_parse, period_parse, nonneg_filter,
         group_clean, group_alias, report_name_clean,
         dim_time, dim_group, dim_group_keys, dim_service, dim_insert_absent, dim_upsert,
-        mart_load, fact_build, fact_reload, column_defaults, load_gate,
+        mart_load, workbook_mart, fact_build, fact_reload, column_defaults, load_gate,
         market_mean_groups, market_mean_flat, variation_market, variation_group,
         variation_group_service, variation_group_mixed, variation_month, variation_row_lag,
         variation_flat_market, long_delta, long_delta_row_lag,

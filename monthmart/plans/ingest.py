@@ -16,7 +16,8 @@ LONG_SCHEMA = (
     "servico string, arquivo_origem string, ano_mes string"
 )
 # The cache has two tables: rows, tagged with the version of their file and the run
-# that wrote them, and entries, written after the rows, with the row count of each file.
+# that wrote them, and entries, written after the rows, with the row count of each file,
+# which is 0 for files that give no rows.
 VERSION = ("arquivo_origem", "length", "modificationTime")
 ROWS_SCHEMA = LONG_SCHEMA + ", length bigint, modificationTime timestamp, lote string"
 ENTRIES_SCHEMA = "arquivo_origem string, length bigint, modificationTime timestamp, lote string, linhas bigint"
@@ -43,15 +44,17 @@ def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def _row_counts(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*VERSION, "lote").agg(F.count(F.lit(1)).alias("linhas"))
+    return rows.groupBy(*VERSION, "lote").agg(F.count(F.lit(1)).alias("n"))
 
 
 def complete_entries(spark: SparkSession, path: str) -> DataFrame:
     """Entries whose rows are all there, one run for each version of a file."""
     entries = _stored(spark, f"{path}/entradas", ENTRIES_SCHEMA)
     present = _row_counts(_stored(spark, f"{path}/linhas", ROWS_SCHEMA))
-    return entries.join(present, [*VERSION, "lote", "linhas"], "left_semi").groupBy(*VERSION).agg(
-        F.min("lote").alias("lote")
+    return (
+        entries.join(present, [*VERSION, "lote"], "left")
+        .filter(F.coalesce("n", F.lit(0)) == F.col("linhas"))
+        .groupBy(*VERSION).agg(F.min("lote").alias("lote"))
     )
 
 
@@ -59,7 +62,7 @@ def cached_long_rows(files: DataFrame, path: str) -> DataFrame:
     """Long rows of the files (arquivo, length, modificationTime, content), from the cache where it has them.
 
     Only files that are new, changed or incomplete in the cache are parsed, and
-    their rows appended. Rows of files no longer listed are passed over.
+    their rows appended; a file that gave no rows is not tried again until it changes. Rows of files no longer listed are passed over.
     """
     spark = files.sparkSession
     listed = files.withColumnRenamed("arquivo", "arquivo_origem")
@@ -72,6 +75,11 @@ def cached_long_rows(files: DataFrame, path: str) -> DataFrame:
         (rebalanced(fresh, "ano").write.mode("append").partitionBy("lote", "ano")
          .parquet(f"{path}/linhas"))
         written = _stored(spark, f"{path}/linhas", ROWS_SCHEMA).filter(F.col("lote") == run)
-        _row_counts(written).write.mode("append").parquet(f"{path}/entradas")
+        parsed = grid.file_status(rows).select(F.col("arquivo").alias("arquivo_origem")).join(
+            versions, "arquivo_origem"
+        )
+        (parsed.join(_row_counts(written).drop("lote"), list(VERSION), "left")
+         .select(*VERSION, F.lit(run).alias("lote"), F.coalesce("n", F.lit(0)).alias("linhas"))
+         .write.mode("append").parquet(f"{path}/entradas"))
     current = complete_entries(spark, path).join(versions, list(VERSION), "left_semi")
     return _stored(spark, f"{path}/linhas", ROWS_SCHEMA).join(current, [*VERSION, "lote"], "left_semi")

@@ -40,6 +40,13 @@ def test_cache(spark, tmp_path):
     def load():
         return cached_long_rows(scan_workbooks(spark, str(folder)), path)
 
+    # A file without rows is remembered as well.
+    (folder / "BAD2015.ods").write_bytes(b"x")
+    assert found(load()) == [] and runs(spark, path) == 1
+    assert found(load()) == [] and runs(spark, path) == 1
+    (folder / "BAD2015.ods").rename(tmp_path / "bad")
+    path = str(tmp_path / "second cache")
+    (folder / "BAD2014.ods").write_bytes(b"x")
     book(folder, "SMP2015.ods", "1")
     assert found(load()) == [("SMP2015.ods", "m0", 1.0)]
     assert found(load()) == [("SMP2015.ods", "m0", 1.0)] and runs(spark, path) == 1

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import ORACLE, QUERIES, entry, queries
 
 TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
@@ -29,16 +29,16 @@ def canonical(rows):
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, sf_dir, name):
     df = queries()[name](spark, sf_dir)
     columns = sorted(df.columns)
-    found = duck.execute(f"SELECT {', '.join(f'{chr(34)}{c}{chr(34)}' for c in columns)} FROM ({oracle_sql()[name]})")
+    found = duck.execute(f"SELECT {', '.join(f'{chr(34)}{c}{chr(34)}' for c in columns)} FROM ({ORACLE[name]})")
     expected = found.fetchall()
-    types = {d[0]: d[1] for d in duck.execute(f"DESCRIBE {oracle_sql()[name]}").fetchall()}
+    types = {d[0]: d[1] for d in duck.execute(f"DESCRIBE {ORACLE[name]}").fetchall()}
     assert {c: TYPES[t] for c, t in df.dtypes} == types
     rows = [tuple(r) for r in df.select(*[f"`{c}`" for c in columns]).collect()]
     assert rows and canonical(rows) == canonical(expected)

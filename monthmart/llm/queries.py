@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neardup, packing, sharding
+from . import decontamination, neardup, packing, sharding
 
 
 def tokenizer_path() -> str:
@@ -38,9 +38,15 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "item_windows", "found_windows", "share", "slots", "consistent")
+
+
 QUERIES = {
     "op2_probminhash": op2_probminhash,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLE: dict[str, str] = {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 # Fixed value: a word is a run of digits, ASCII letters (lower case by then) and characters beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FIND = re.compile(WORD)
 _FOLD = str.maketrans(UPPER, LOWER)
@@ -18,8 +20,22 @@ _M64 = (1 << 64) - 1
 
 
 def fold(text: Column) -> Column:
-    """Text with A-Z in lower case; null gives the empty text."""
-    return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    """Text in lower case; null gives the empty text.
+
+    Words (WORD) start and end where they do with only A-Z lowered, as letters beyond ASCII stay beyond it, but for the
+    Kelvin sign, which becomes k, and the dotted capital I, which becomes i and a mark; both stay in their word.
+    """
+    return F.lower(F.coalesce(text, F.lit("")))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def word_array(folded: Column) -> Column:
+    """Words of a folded text. Splitting at what lies between them takes a third of the time of matching them."""
+    return F.array_remove(F.split(folded, BETWEEN), "")
 
 
 def words_of(text: str | None) -> list[str]:

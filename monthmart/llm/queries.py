@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, neardup, packing, quality, sharding
+from . import decontamination, neardup, packing, quality, sharding, toxicity
 
 
 def tokenizer_path() -> str:
@@ -42,6 +42,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("text_hash")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("text_hash")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "item_windows", "found_windows", "share", "slots", "consistent")
@@ -52,6 +56,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
     "op7_quality": op7_quality,
+    "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, neardup, packing, quality, sharding, toxicity
+from . import decontamination, licenses, neardup, packing, quality, sharding, toxicity
 
 
 def tokenizer_path() -> str:
@@ -18,6 +18,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents")).drop("findings")
+
+
 def op2_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "class_texts")
 
@@ -52,6 +56,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licenses": op1_licenses,
     "op2_probminhash": op2_probminhash,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,

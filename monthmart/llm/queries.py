@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, licenses, neardup, packing, quality, sharding, toxicity
+from . import decontamination, extraction, licenses, neardup, packing, quality, sharding, toxicity
 
 
 def tokenizer_path() -> str:
@@ -26,6 +26,10 @@ def op2_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "class_texts")
 
 
+def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(read(spark, sf_dir, "pages"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -58,6 +62,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_probminhash": op2_probminhash,
+    "op3_extraction": op3_extraction,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
     "op7_quality": op7_quality,

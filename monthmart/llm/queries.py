@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, extraction, licenses, neardup, packing, quality, sharding, toxicity
+from . import decontamination, extraction, licenses, nearest, neardup, packing, quality, sharding, toxicity
 
 
 def tokenizer_path() -> str:
@@ -50,6 +50,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("text_hash")
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(read(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("text_hash")
 
@@ -66,6 +70,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
     "op7_quality": op7_quality,
+    "op8_nearest": op8_nearest,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }

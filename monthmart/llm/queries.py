@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, extraction, licenses, nearest, neardup, packing, quality, sharding, toxicity
+from . import chat, decontamination, extraction, licenses, nearest, neardup, packing, quality, sharding, toxicity
 
 
 def tokenizer_path() -> str:
@@ -46,6 +46,38 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tool_log(conversations: DataFrame) -> DataFrame:
+    """The conversations as a log with tool calls: every reply becomes the result of a call made for it.
+
+    The assistant's message at turn t turns into a call "c<t>" of tool reply, whose arguments are the turn, the length of
+    the reply, and a reference to the call of two turns before; its text becomes the result. The result of every third
+    call stands before it, as in logs written out of order.
+    """
+    replies = conversations.filter("role = 'assistant'")
+    turn = F.col("turn").cast("string")
+    after = F.when(F.col("turn") >= 3, F.concat(F.lit(',"after":"$c'), (F.col("turn") - 2).cast("string"), F.lit('"')))
+    call = F.concat(
+        F.lit('{"tool_calls":[{"id":"c'), turn, F.lit('","name":"reply","arguments":{"turn":'), turn, F.lit(',"length":'),
+        F.length("text").cast("string"), F.coalesce(after, F.lit("")), F.lit("}}]}"),
+    )
+    result = F.to_json(F.struct(F.concat(F.lit("c"), turn).alias("tool_call_id"), F.col("text").alias("content")))
+    early = (F.col("turn") % 3 == 0).cast("int")
+    at = F.col("turn") * 4
+    return (
+        conversations.filter("role IS NULL OR role != 'assistant'").select("conv_id", at.alias("turn"), "role", "text")
+        .unionByName(replies.select("conv_id", (at + early * 2).alias("turn"), "role", F.coalesce(call, F.lit("")).alias("text")))
+        .unionByName(replies.select("conv_id", (at + 1).alias("turn"), F.lit("tool").alias("role"), result.alias("text")))
+    )
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schemas = spark.createDataFrame(
+        [("reply", ["turn", "length"], {"turn": "integer", "length": "integer", "after": "string"})], chat.SCHEMAS_SCHEMA
+    )
+    formatted = chat.format_chats(tool_log(read(spark, sf_dir, "conversations")), schemas)
+    return formatted.withColumn("call_ids", F.array_join("call_ids", ","))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("text_hash")
 
@@ -69,6 +101,7 @@ QUERIES = {
     "op3_extraction": op3_extraction,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
+    "op6_chat": op6_chat,
     "op7_quality": op7_quality,
     "op8_nearest": op8_nearest,
     "op9_toxicity": op9_toxicity,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import GROUP_ALIASES, OTHER_SERVICE_DESCRIPTION, SERVICES
 from ..functions import alias_name, clean_name
+from ..sources import materialize
 
 KEY_BUCKETS = 256
 
@@ -107,8 +108,9 @@ def build_dim_servico(
 def insert_absent(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of old as they are, and the rows of new whose key is not among them.
 
-    A column that new lacks is null in its rows: a key column for assign_keys.
+    One row of each new key is taken. A column that new lacks is null in its rows: a key column for assign_keys.
     """
+    new = new.dropDuplicates(list(keys))
     return old.unionByName(new.join(old, list(keys), "left_anti"), allowMissingColumns=True)
 
 
@@ -123,7 +125,8 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], surrogate: str |
 
 
 def assign_keys(dimension: DataFrame, key: str, natural_key: str, chronological: bool = False) -> DataFrame:
-    """Numbers the rows whose key is null, on from the highest key in use."""
+    """Numbers the rows whose key is null, on from the highest key in use. The dimension is computed once."""
+    dimension = materialize(dimension, "dimension")
     last = dimension.agg(F.coalesce(F.max(key), F.lit(0)).alias("m")).first()["m"]
     missing = dimension.filter(F.col(key).isNull()).drop(key)
     if chronological:

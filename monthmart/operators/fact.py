@@ -71,11 +71,16 @@ def derive_measures(measures: DataFrame, missing: float | None = 0) -> DataFrame
     def filled(*cols: Column) -> Column:
         return F.coalesce(*cols, F.lit(missing).cast("double"))
 
+    # A value that its column cannot hold fails the load, whatever the session does about overflows.
     def rate(col: Column) -> Column:
-        return rounded(col, 2).cast(RATE_TYPE)
+        value = rounded(col, 2)
+        return F.when(F.abs(value) >= 1000, F.raise_error(F.lit("NUMERIC_VALUE_OUT_OF_RANGE: a rate of 1000 or more"))).otherwise(value.cast(RATE_TYPE))
 
     def total(col: Column) -> Column:
-        return F.round(col).cast("int")
+        value = F.round(col)
+        return F.when(
+            F.abs(value) > 2147483647, F.raise_error(F.lit("NUMERIC_VALUE_OUT_OF_RANGE: a total beyond 2147483647"))
+        ).otherwise(value.cast("int"))
 
     estimated = F.round(F.col("sol_tot") * F.col("tx_tot") / 100)
     return measures.select(

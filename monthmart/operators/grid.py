@@ -3,8 +3,8 @@
 Input are sheet rows (arquivo, row_idx, cells) with one status row per file, as the
 workbook reader gives them. What differs between files is kept as data: a layout table holds, per file, the header row, the positions of the two
 id columns and an array of period columns. Data rows meet it in one join on the
-file and are unpivoted by exploding that array, so id columns are read by position
-and no cell is shuffled on its own.
+file and are unpivoted by exploding that array, so id columns are read by position. Cells are
+shuffled once, as partial aggregates of their keys.
 """
 
 from __future__ import annotations
@@ -139,23 +139,26 @@ def unpivot_rows(rows: DataFrame, layouts: DataFrame) -> DataFrame:
     )
 
 
-def keep_first(cells: DataFrame) -> DataFrame:
+def keep_first(cells: DataFrame, layouts: DataFrame) -> DataFrame:
     """One value per file, month, group and metric: the first in column, then row order.
 
-    An aggregate, not a window, so copies of one key shrink before the shuffle.
+    An aggregate of fixed-width values, which is hashed, so copies of one key shrink before the shuffle and nothing is
+    sorted. The text of the period follows from the file's column.
     """
     order = F.shiftleft(F.col("col_idx").cast("bigint"), 32) + F.col("row_idx")
-    first = F.min_by(F.struct("periodo", "valor"), order)
-    return (
-        cells.groupBy("arquivo", "ano", "mes", "grupo_economico", "variavel")
-        .agg(first.alias("f"))
-        .select("arquivo", "ano", "mes", "grupo_economico", "variavel", "f.periodo", "f.valor")
+    first = cells.groupBy("arquivo", "ano", "mes", "grupo_economico", "variavel").agg(
+        F.min(order).alias("ordem"), F.min_by("valor", order).alias("valor")
+    )
+    names = layouts.filter("recognised").select("arquivo", F.inline("periods")).select("arquivo", "col_idx", "periodo")
+    return first.withColumn("col_idx", F.shiftright("ordem", 32).cast("int")).join(names, ["arquivo", "col_idx"]).select(
+        "arquivo", "ano", "mes", "grupo_economico", "variavel", "periodo", "valor"
     )
 
 
 def grid_to_long(rows: DataFrame, sentinel: str = HEADER_SENTINEL, skip_rows: int = 1) -> DataFrame:
     """Long rows of all recognised sheets, tagged with service, source file and month key."""
-    long = keep_first(unpivot_rows(rows, sheet_layouts(rows, sentinel, skip_rows)))
+    layouts = sheet_layouts(rows, sentinel, skip_rows)
+    long = keep_first(unpivot_rows(rows, layouts), layouts)
     return (
         long.withColumn("servico", file_service(F.col("arquivo")))
         .withColumn("ano_mes", month_key(F.col("ano"), F.col("mes")))

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..constants import MARKET_COLUMN, OUTLIER_BOUND
 from ..functions import clean_report_name, quoted, rounded
-from .pivot import to_long
 from .variation import RATE
 
 
@@ -46,9 +45,24 @@ def merge_names(long: DataFrame) -> DataFrame:
     )
 
 
-def report_long(report: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """Long report from the pivot report."""
-    return merge_names(signed_masked(to_long(report, groups)))
+def long_cells(delta: DataFrame, dim_grupo: DataFrame, digits: int = 1, fill: float | None = 0) -> DataFrame:
+    """(Mes, Operadora, Delta): what the pivot report shows, without its columns.
+
+    Every group of the dimension has a row for every month of the variation rows; one without a value shows ``fill``.
+    The months are one list, so groups meet them without a join.
+    """
+    months = delta.agg(F.array_sort(F.collect_set("ano_mes")).alias("m")).scalar()
+    names = dim_grupo.filter(F.col("nome_grupo").isNotNull()).select(F.upper(F.trim("nome_grupo")).alias("Operadora")).distinct()
+    cells = names.select(F.explode(months).alias("Mes"), "Operadora")
+    found = delta.groupBy(F.col("ano_mes").alias("Mes"), F.col("nome_grupo").alias("Operadora")).agg(
+        F.max(rounded(F.col("diferenca"), digits)).cast("double").alias("Delta")
+    )
+    return cells.join(found, ["Mes", "Operadora"], "left").withColumn("Delta", F.coalesce("Delta", F.lit(fill).cast("double")))
+
+
+def report_long(delta: DataFrame, dim_grupo: DataFrame) -> DataFrame:
+    """Long report from the variation rows."""
+    return merge_names(signed_masked(long_cells(delta, dim_grupo)))
 
 
 def filter_long(

@@ -1,4 +1,11 @@
-"""Workbook files to long rows, with a cache of what was already read."""
+"""Workbook files to long rows, with a cache of what was already read.
+
+The cache has three tables. ``linhas`` holds rows, tagged with the version of their file and the run (lote) that wrote them;
+``partes`` lists the files of each run with their lengths; ``entradas`` has a row for each version that a run read to
+the end. They are written in this order, so an entry says that its rows and their listing are there. A run whose
+files are no longer as listed is passed over and its workbooks are read anew; what is delivered is read without
+leaving anything out, so a part that is damaged afterwards gives an error, never fewer rows.
+"""
 
 from __future__ import annotations
 
@@ -9,18 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import grid
-from ..sources import materialize, rebalanced, scan_workbooks, sheet_rows
+from ..sources import delete_path, materialize, rebalanced, scan_workbooks, sheet_rows
 
 LONG_SCHEMA = (
     "grupo_economico string, variavel string, periodo string, valor double, ano int, mes int, "
     "servico string, arquivo_origem string, ano_mes string"
 )
-# The cache has two tables: rows, tagged with the version of their file and the run
-# that wrote them, and entries, written after the rows, with the row count of each file,
-# which is 0 for files that give no rows.
 VERSION = ("arquivo_origem", "length", "modificationTime")
 ROWS_SCHEMA = LONG_SCHEMA + ", length bigint, modificationTime timestamp, lote string"
 ENTRIES_SCHEMA = "arquivo_origem string, length bigint, modificationTime timestamp, lote string, linhas bigint"
+PARTS_SCHEMA = "lote string, parte string, tamanho bigint"
 
 
 def read_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -34,52 +39,95 @@ def empty_long(spark: SparkSession) -> DataFrame:
 
 
 def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Table of the cache; parts that cannot be read are left out."""
     try:
-        return spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
-def _row_counts(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*VERSION, "lote").agg(F.count(F.lit(1)).alias("n"))
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    """(lote, parte, tamanho) of the files of rows, by their names and lengths; no file is opened."""
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+            "recursiveFileLookup", "true").load(f"{path}/linhas")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], PARTS_SCHEMA)
+    run = F.regexp_extract("path", "/lote=([^/]+)/", 1)
+    part = F.regexp_extract("path", "/lote=[^/]+/(.+)$", 1)
+    return files.select(run.alias("lote"), part.alias("parte"), F.col("length").alias("tamanho"))
 
 
 def complete_entries(spark: SparkSession, path: str) -> DataFrame:
-    """Entries whose rows are all there, one run for each version of a file."""
+    """Entries whose run is there as its listing says, one run for each version of a file. Rows are not read."""
     entries = _stored(spark, f"{path}/entradas", ENTRIES_SCHEMA)
-    present = _row_counts(_stored(spark, f"{path}/linhas", ROWS_SCHEMA))
-    return (
-        entries.join(present, [*VERSION, "lote"], "left")
-        .filter(F.coalesce("n", F.lit(0)) == F.col("linhas"))
-        .groupBy(*VERSION).agg(F.min("lote").alias("lote"))
+    parts = _stored(spark, f"{path}/partes", PARTS_SCHEMA)
+    damaged = parts.join(_listing(spark, path), ["lote", "parte", "tamanho"], "left_anti").select("lote").distinct()
+    return entries.join(damaged, "lote", "left_anti").groupBy(*VERSION).agg(F.min("lote").alias("lote"))
+
+
+def _append(pending: DataFrame, files: DataFrame, path: str) -> DataFrame | None:
+    """Reads the pending versions into the cache and returns their load report."""
+    spark = files.sparkSession
+    span = pending.agg(F.min("modificationTime").alias("a"), F.max("modificationTime").alias("b")).first()
+    if span["a"] is None:
+        return None
+    # The source skips files outside the times of the pending ones without opening them.
+    recent = files.filter(F.col("modificationTime").between(F.lit(span["a"]), F.lit(span["b"])))
+    wanted = recent.withColumnRenamed("arquivo", "arquivo_origem").join(pending, list(VERSION), "left_semi")
+    rows = materialize(sheet_rows(wanted.withColumnRenamed("arquivo_origem", "arquivo")), "sheet-rows")
+    run = uuid.uuid4().hex
+    fresh = grid.grid_to_long(rows).join(pending, "arquivo_origem").withColumn("lote", F.lit(run))
+    rebalanced(fresh, "ano").write.mode("append").partitionBy("lote", "ano").parquet(f"{path}/linhas")
+    _listing(spark, path).filter(F.col("lote") == run).coalesce(1).write.mode("append").parquet(f"{path}/partes")
+    # A file that could not be read is tried again at the next load; one without a known layout stays as it is.
+    status = grid.file_status(rows)
+    read = status.filter(F.col("erro").isNull()).select(F.col("arquivo").alias("arquivo_origem"), "linhas")
+    read.join(pending, "arquivo_origem").select(*VERSION, F.lit(run).alias("lote"), "linhas").write.mode("append").parquet(
+        f"{path}/entradas"
     )
+    return grid.layout_report(rows)
 
 
-def cached_long_rows(files: DataFrame, path: str) -> DataFrame:
-    """Long rows of the files (arquivo, length, modificationTime, content), from the cache where it has them.
+def _rows_of(current: DataFrame, path: str) -> DataFrame:
+    """Rows of the entries. Runs, one short name for each load, select the folders, so damaged ones are not opened."""
+    runs = [r["lote"] for r in current.select("lote").distinct().collect()]
+    rows = _stored(current.sparkSession, f"{path}/linhas", ROWS_SCHEMA).filter(F.col("lote").isin(runs))
+    return rows.join(current, [*VERSION, "lote"], "left_semi")
+
+
+def load_cached(files: DataFrame, path: str) -> tuple[DataFrame, DataFrame | None]:
+    """(long rows, load report of the files read now) of files (arquivo, length, modificationTime, content).
 
-    Only files that are new, changed or incomplete in the cache are parsed, and
-    their rows appended; a file that gave no rows is not tried again until it changes. Rows of files no longer listed are passed over.
+    Only files that are new, changed, unread or damaged in the cache are opened. Rows of files no longer listed are passed
+    over. Two files of one name cannot be told apart by the rows they give and are refused.
     """
     spark = files.sparkSession
-    listed = files.withColumnRenamed("arquivo", "arquivo_origem")
-    versions = listed.select(*VERSION)
-    pending = listed.join(complete_entries(spark, path), list(VERSION), "left_anti")
-    rows = materialize(sheet_rows(pending.withColumnRenamed("arquivo_origem", "arquivo")), "sheet-rows")
-    if not rows.isEmpty():
-        run = uuid.uuid4().hex
-        fresh = grid.grid_to_long(rows).join(versions, "arquivo_origem").withColumn("lote", F.lit(run))
-        (rebalanced(fresh, "ano").write.mode("append").partitionBy("lote", "ano")
-         .parquet(f"{path}/linhas"))
-        written = _stored(spark, f"{path}/linhas", ROWS_SCHEMA).filter(F.col("lote") == run)
-        parsed = grid.file_status(rows).select(F.col("arquivo").alias("arquivo_origem")).join(
-            versions, "arquivo_origem"
-        )
-        (parsed.join(_row_counts(written).drop("lote"), list(VERSION), "left")
-         .select(*VERSION, F.lit(run).alias("lote"), F.coalesce("n", F.lit(0)).alias("linhas"))
-         .write.mode("append").parquet(f"{path}/entradas"))
-    current = complete_entries(spark, path).join(versions, list(VERSION), "left_semi")
-    return _stored(spark, f"{path}/linhas", ROWS_SCHEMA).join(current, [*VERSION, "lote"], "left_semi")
+    listed = materialize(files.select(F.col("arquivo").alias("arquivo_origem"), "length", "modificationTime"), "listed-files")
+    twice = listed.groupBy("arquivo_origem").count().filter("count > 1").select("arquivo_origem").head(3)
+    if twice:
+        raise ValueError(f"several files of one name: {', '.join(r[0] for r in twice)}")
+    pending = materialize(listed.join(complete_entries(spark, path), list(VERSION), "left_anti"), "pending-files")
+    report = _append(pending, files, path)
+    current = materialize(complete_entries(spark, path).join(listed, list(VERSION), "left_semi"), "current-entries")
+    return _rows_of(current, path), report
+
+
+def cached_long_rows(files: DataFrame, path: str) -> DataFrame:
+    return load_cached(files, path)[0]
+
+
+def compact(spark: SparkSession, files: DataFrame, path: str, target: str) -> None:
+    """Writes a cache that holds only the current versions of the files to the empty path target."""
+    delete_path(spark, target)
+    listed = files.select(F.col("arquivo").alias("arquivo_origem"), "length", "modificationTime")
+    current = materialize(complete_entries(spark, path).join(listed, list(VERSION), "left_semi"), "current-entries")
+    run = F.lit(uuid.uuid4().hex)
+    kept = _rows_of(current, path).withColumn("lote", run)
+    rebalanced(kept, "ano").write.partitionBy("lote", "ano").parquet(f"{target}/linhas")
+    _listing(spark, target).coalesce(1).write.parquet(f"{target}/partes")
+    entries = _stored(spark, f"{path}/entradas", ENTRIES_SCHEMA).join(current, [*VERSION, "lote"], "left_semi")
+    entries.dropDuplicates(list(VERSION)).withColumn("lote", run).write.parquet(f"{target}/entradas")

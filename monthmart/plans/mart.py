@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import STAGING_COLUMNS
 from ..functions import nonnegative
 from ..operators import dimensions, fact, pivot, quality, report, variation
-from ..sources import save_table, save_view, scan_workbooks
-from .ingest import cached_long_rows
+from ..sources import delete_path, save_table, save_view, scan_workbooks
+from .ingest import load_cached
 
 # Pivot reports by group means and by fact rows; a reader takes the first that exists.
 REPORT_VIEWS = ("view_taxa_resolucao_5_dias", "pivot_variacao")
@@ -29,6 +32,7 @@ class Mart:
     dim_grupo: DataFrame
     dim_servico: DataFrame
     fato: DataFrame
+    base: str
 
     @property
     def spark(self) -> SparkSession:
@@ -49,7 +53,8 @@ class Mart:
         return pivot.pivot_report(self.variation(), self.groups)
 
     def report_long(self) -> DataFrame:
-        return report.report_long(self.pivot_view(), self.groups)
+        """(Mes, Operadora, Delta) of every month and group, own minus market; no column for each group is made."""
+        return report.report_long(self.variation(), self.dim_grupo)
 
     def trend(self, surrogate: bool = False) -> DataFrame:
         return report.trend(
@@ -77,37 +82,116 @@ class Mart:
             save_view(df, name)
         return list(views)
 
+    def publish(self, prefix: str = "") -> list[str]:
+        """The stored tables under their names in the catalogue, for later sessions; their files stay where they are."""
+        for field, name in TABLES.items():
+            self.spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")
+            self.spark.catalog.createTable(f"{prefix}{name}", path=f"{self.base}/{name}", source="parquet")
+            if field == "fato":
+                self.spark.catalog.recoverPartitions(f"{prefix}{name}")
+        return [f"{prefix}{name}" for name in TABLES.values()]
+
     def checks(self) -> DataFrame:
         return quality.run_checks(self.tables(), quality.mart_checks())
 
+    def constraints(self) -> DataFrame:
+        """Keys, required columns, references and lengths, which a load must keep."""
+        return quality.run_checks(self.tables(), quality.table_constraints())
+
+
+class ConstraintError(ValueError):
+    """A load that breaks the constraints of its tables; the mart stays as it was."""
+
+
+# Tables of a mart below its version.
+TABLES = {
+    "staging": "staging_ida", "summary": "resumo_ida", "dim_tempo": "dim_tempo", "dim_grupo": "dim_grupo_economico",
+    "dim_servico": "dim_servico", "fato": "fato_ida",
+}
+VERSIONS_SCHEMA = "versao string, numero bigint"
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Finished versions, latest first: one short row for each load."""
+    try:
+        found = spark.read.schema(VERSIONS_SCHEMA).parquet(f"{path}/versoes")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return [r["versao"] for r in found.orderBy(F.desc("numero"), F.desc("versao")).collect()]
+
+
+def open_mart(spark: SparkSession, path: str) -> Mart | None:
+    """The mart of the last finished load under path, from its files alone; None if there is none."""
+    versions = _versions(spark, path)
+    if not versions:
+        return None
+    base = f"{path}/{versions[0]}"
+    return Mart(**{field: spark.read.parquet(f"{base}/{name}") for field, name in TABLES.items()}, base=base)
+
+
+def delete_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Deletes the files of all but the last versions; a reader of one of those fails from then on."""
+    for version in _versions(spark, path)[max(1, keep):]:
+        delete_path(spark, f"{path}/{version}")
+
+
+def _dimensions(summary: DataFrame, old: Mart | None) -> dict[str, Callable[[], DataFrame]]:
+    """Dimension builds: anew, or on from those of the mart before, whose rows and keys stay."""
+    if old is None:
+        return {
+            "dim_tempo": lambda: dimensions.build_dim_tempo(summary),
+            "dim_grupo_economico": lambda: dimensions.build_dim_grupo(summary),
+            "dim_servico": lambda: dimensions.build_dim_servico(summary),
+        }
+    months, services = dimensions.month_attributes(summary), dimensions.service_attributes(summary)
+    groups = dimensions.group_names(summary).withColumn("ativo", F.lit(True))
+    absent, keyed = dimensions.insert_absent, dimensions.assign_keys
+    return {
+        "dim_tempo": lambda: keyed(absent(old.dim_tempo, months, ["ano_mes"]), "id_tempo", "ano_mes", chronological=True),
+        "dim_grupo_economico": lambda: keyed(absent(old.dim_grupo, groups, ["nome_grupo"]), "id_grupo", "nome_grupo"),
+        "dim_servico": lambda: keyed(
+            dimensions.upsert(old.dim_servico, services, ["codigo_servico"], "id_servico"), "id_servico", "codigo_servico"
+        ),
+    }
+
 
 def build_mart(staging: DataFrame, path: str) -> Mart | None:
-    """Full reload of all tables under path; nothing is transformed if there are no rows.
+    """Full reload of all tables under path, on the dimensions that are there; None and no change if there are no rows.
 
-    Each table is written once and the next ones read the written table, so a lost
-    executor repeats no earlier step, and staging is computed and scanned once. The
-    dimensions do not depend on each other and are written side by side.
+    Each load writes a version of its own. Its constraints are checked before one last row makes it the current one, so a
+    load that fails or is refused (ConstraintError) leaves the mart before as it is. Each table is written once and the
+    next ones read the written table, so a lost executor repeats no earlier step, and staging is computed and scanned
+    once. The dimensions do not depend on each other and are written side by side.
     """
+    spark = staging.sparkSession
     rows = staging.select(*STAGING_COLUMNS).filter(nonnegative(F.col("valor")))
-    loaded = save_table(rows, f"{path}/staging_ida")
-    if not quality.has_rows(loaded):
+    if not quality.has_rows(rows):
         return None
-    summary = save_table(fact.summarise_staging(loaded), f"{path}/resumo_ida")
-    builds = {
-        "dim_tempo": dimensions.build_dim_tempo,
-        "dim_grupo_economico": dimensions.build_dim_grupo,
-        "dim_servico": dimensions.build_dim_servico,
-    }
+    old, version = open_mart(spark, path), f"v-{uuid.uuid4().hex}"
+    base = f"{path}/{version}"
+    loaded = save_table(dimensions.with_load_time(rows), f"{base}/staging_ida")
+    summary = save_table(fact.summarise_staging(loaded), f"{base}/resumo_ida")
+    builds = _dimensions(summary, old)
     with ThreadPoolExecutor(len(builds)) as pool:
-        tempo, grupo, servico = pool.map(
-            lambda b: save_table(b[1](summary), f"{path}/{b[0]}"), builds.items()
-        )
+        tempo, grupo, servico = pool.map(lambda b: save_table(b[1](), f"{base}/{b[0]}"), builds.items())
     facts = fact.build_fact(summary, tempo, grupo, servico, with_surrogates=True)
-    fato = save_table(dimensions.with_load_time(facts), f"{path}/fato_ida", ["ano"])
-    return Mart(loaded, summary, tempo, grupo, servico, fato)
+    fato = save_table(dimensions.with_load_time(facts), f"{base}/fato_ida", ["ano"])
+    mart = Mart(loaded, summary, tempo, grupo, servico, fato, base)
+    broken = mart.constraints().filter("should_error").select("checagem", "tabela", "coluna", "failures").collect()
+    if broken:
+        delete_path(spark, base)
+        raise ConstraintError("; ".join(f"{r.tabela}.{r.coluna} {r.checagem}: {r.failures}" for r in broken))
+    number = len(_versions(spark, path))
+    spark.createDataFrame([(version, number)], VERSIONS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/versoes")
+    return mart
 
 
-def load_folder(spark: SparkSession, folder: str, path: str) -> Mart | None:
-    """From a folder of workbooks to the mart; files already in the cache under path are not parsed again."""
-    long = cached_long_rows(scan_workbooks(spark, folder), f"{path}/cache")
-    return build_mart(long, f"{path}/mart")
+def load_folder(spark: SparkSession, folder: str, path: str) -> tuple[Mart | None, DataFrame | None]:
+    """(mart, load report) from a folder of workbooks; files in the cache under path are not opened again.
+
+    The report has the files that this load read: their status, rows and errors. None where no file was read.
+    """
+    long, report = load_cached(scan_workbooks(spark, folder), f"{path}/cache")
+    return build_mart(long, f"{path}/mart"), report

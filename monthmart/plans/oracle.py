@@ -281,21 +281,21 @@ def _box(q: float) -> str:
     return num(f'quantile_cont("Delta", {q})')
 
 
-PAGE = r"/(en|fr|de|es)/(\d{1,9})"
 SVC = "CASE o_orderstatus WHEN 'F' THEN 'SMP' WHEN 'O' THEN 'STFC' ELSE 'SCM' END"
 ORDER_MONTH = f"{MONTHS}[month(o_orderdate)]"
 VARIED = f"{num('var_mercado')} AS var_mercado, {num('var_individual')} AS var_individual, {num('diferenca')} AS diferenca"
 IN_YEAR = f""""Mes" LIKE '2000%' AND "Operadora" IN ({text_list(CHOSEN)})"""
 
 _SELECTS = {
-    "headings_catalog": rf"""SELECT page_id, CAST(pos - 1 AS INTEGER) AS pos,
-        trim(regexp_replace(h[pos], '<[^>]*>', '', 'g')) AS titulo, regexp_extract(url, '{PAGE}', 1) AS servico,
-        CAST(regexp_extract(url, '{PAGE}', 2) AS INTEGER) AS ano,
-        regexp_extract(url, '{PAGE}', 1) || CAST(CAST(regexp_extract(url, '{PAGE}', 2) AS INTEGER) AS VARCHAR)
-          || '.ods' AS filename
-      FROM (SELECT *, unnest(range(1, len(h) + 1)) AS pos FROM (SELECT page_id, url,
-        regexp_extract_all(html, '(?is)<h1\b[^>]*>(.*?)</h1>', 1) AS h FROM pages))
-      WHERE regexp_matches(url, '{PAGE}')""",
+    "headings_catalog": r"""SELECT page_id, CAST(k - 1 AS INTEGER) AS pos,
+        trim(regexp_replace(replace(replace(replace(replace(replace(inner_html, '&quot;', '"'), '&lt;', '<'),
+          '&gt;', '>'), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g')) AS titulo, servico, ano,
+        servico || ano || '.ods' AS filename
+      FROM (SELECT page_id, k, split_part(substr(parts[k + 1], strpos(parts[k + 1], '>') + 1), '</h1>', 1) AS inner_html,
+          url_parts[4] AS servico, TRY_CAST(regexp_extract(url_parts[5], '^[0-9]+') AS INTEGER) AS ano
+        FROM (SELECT *, unnest(range(1, len(parts))) AS k FROM (SELECT page_id, string_split(url, '/') AS url_parts,
+          string_split(html, '<h1') AS parts FROM pages)))
+      WHERE servico IN ('en', 'fr', 'de', 'es') AND ano IS NOT NULL""",
     "title_parse": f"""SELECT titulo, count(*) AS n, servico, ano, servico || ano || '.ods' AS filename
       FROM (SELECT {SVC} AS servico, CAST(year(o_orderdate) AS INTEGER) AS ano, CASE o_orderpriority
           WHEN '1-URGENT' THEN 'Índice - ' || servico || ' - ' || ano
@@ -367,6 +367,16 @@ _SELECTS = {
         WHERE valor >= 0 GROUP BY ano, mes, nome_grupo, servico)""",
     "fact_reload": "SELECT * REPLACE (CASE WHEN ano = 2000 THEN total_solicitacoes + 1 "
     "ELSE total_solicitacoes END AS total_solicitacoes) FROM fato",
+    "mart_reload": """SELECT DISTINCT nome_grupo, nome_grupo IN (SELECT nome_grupo FROM w
+          WHERE lower(grupo_economico) < 'm' AND ano < 1996) AS antiga, true AS mantida, true AS no_fato FROM w""",
+    "load_guard": """SELECT passo, tabela, n FROM (VALUES ('antes'), ('vazia'), ('recusada')) p(passo), (
+        SELECT 'staging' AS tabela, count(*) AS n FROM staging WHERE valor >= 0
+        UNION ALL SELECT 'dim_tempo', count(DISTINCT ano_mes) FROM staging
+        UNION ALL SELECT 'dim_grupo', count(DISTINCT nome_grupo) FROM w
+        UNION ALL SELECT 'dim_servico', count(DISTINCT servico) FROM staging
+        UNION ALL SELECT 'fato', count(*) FROM fato)""",
+    "mart_reopened": "SELECT * FROM tr",
+    "staging_truncate": "SELECT ano, count(*) AS n FROM staging WHERE ano < 1998 GROUP BY ano",
     "column_defaults": "SELECT count(DISTINCT nome_grupo) AS ativos, count(DISTINCT nome_grupo) AS datados FROM w",
     "load_gate": """SELECT 'todas' AS linhas, count(*) > 0 AS segue FROM staging WHERE valor >= 0
       UNION ALL SELECT 'negativas', count(*) > 0 FROM staging WHERE NOT valor >= 0""",

@@ -7,6 +7,7 @@ order tables once per session and folder; the load itself is a query as well.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +20,12 @@ from ..functions import (
 from ..operators import dimensions, fact, grid, pivot, quality, report, variation
 from ..operators.quality import AcceptedValues, NotNull, Relationship, Unique
 from ..sources import (
-    build_or_reuse, bulk_load, file_metadata, first_existing, headings, inventory, is_workbook, load_summary, materialize,
+    bulk_load, file_metadata, first_existing, headings, inventory, is_workbook, load_summary, materialize,
     resource_catalog, save_table, save_view, scratch_path, sheet_rows,
 )
 from . import fixture
 from .ingest import cached_long_rows
-from .mart import Mart, build_mart
+from .mart import ConstraintError, Mart, build_mart, open_mart
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,7 +35,22 @@ LAST_MONTHS = ("2000-10", "2000-11", "2000-12")
 CHOSEN = ("ALGAR", "OI", "TIM", "VIVO")
 SERVICE = "Serviço Móvel Pessoal"
 # The pages carry a language and a number in their address, and headings of level 1.
-PAGE_CODE = r"/(en|fr|de|es)/(\d{1,9})"
+PAGE_CODE = r"/(en|fr|de|es)/(\d+)"
+
+
+_built: dict[tuple, object] = {}
+
+
+def build_or_reuse(spark: SparkSession, key: str, build: Callable[[], object]) -> object:
+    """Result of ``build`` for this key, made once per Spark application; forget() makes it anew."""
+    full = (spark.sparkContext.applicationId, key)
+    if full not in _built:
+        _built[full] = build()
+    return _built[full]
+
+
+def forget() -> None:
+    _built.clear()
 
 
 def mart(spark: SparkSession, sf_dir: str) -> Mart:
@@ -261,6 +277,59 @@ def mart_load(spark, sf_dir):
     return plain(m.fato.drop("id_grupo", "id_servico", "data_carga"))
 
 
+def mart_reload(spark, sf_dir):
+    """A mart of some groups and years, then all of them under the same path: keys given before stay."""
+    path, staging = scratch_path(spark, "mart"), mart(spark, sf_dir).staging
+    named = staging.filter("lower(grupo_economico) < 'm' AND ano < 1996")
+    before = build_mart(named, path).dim_grupo.select("nome_grupo", F.col("id_grupo").alias("antes"))
+    after = build_mart(staging, path)
+    groups = after.dim_grupo.join(before, "nome_grupo", "left")
+    used = after.fato.select(F.col("id_grupo").alias("usado"), "nome_grupo").distinct()
+    return groups.join(used, "nome_grupo").select(
+        "nome_grupo", F.col("antes").isNotNull().alias("antiga"),
+        F.coalesce(F.col("antes") == F.col("id_grupo"), F.lit(True)).alias("mantida"),
+        (F.col("usado") == F.col("id_grupo")).alias("no_fato"),
+    )
+
+
+def load_guard(spark, sf_dir):
+    """Rows of a mart before, after a load without rows, and after one that breaks a constraint."""
+    path, staging = scratch_path(spark, "mart"), mart(spark, sf_dir).staging
+    build_mart(staging, path)
+    counts = []
+
+    def count(step: str) -> None:
+        opened = open_mart(spark, path)
+        for name in ("staging", "dim_tempo", "dim_grupo", "dim_servico", "fato"):
+            counts.append(getattr(opened, name).agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(step).alias("passo"), F.lit(name).alias("tabela"), "n"))
+
+    count("antes")
+    build_mart(staging.filter(F.lit(False)), path)
+    count("vazia")
+    try:
+        build_mart(staging.withColumn("servico", F.repeat("servico", F.lit(9))), path)
+    except ConstraintError:
+        count("recusada")
+    return reduce(DataFrame.unionByName, counts)
+
+
+def mart_reopened(spark, sf_dir):
+    """The trend set of a mart that is read back from its path alone."""
+    path = scratch_path(spark, "mart")
+    build_mart(mart(spark, sf_dir).staging, path)
+    return open_mart(spark, path).trend()
+
+
+def staging_truncate(spark, sf_dir):
+    """A truncating load of all rows, one of the first years, then one without rows, which leaves the table as it is."""
+    path, rows = scratch_path(spark, "staging"), mart(spark, sf_dir).staging
+    bulk_load(rows, path)
+    bulk_load(rows.filter("ano < 1998"), path)
+    bulk_load(rows.limit(0), path)
+    return spark.read.parquet(path).groupBy("ano").agg(F.count(F.lit(1)).alias("n"))
+
+
 def workbook_mart(spark, sf_dir):
     """From workbook files through the cache to the fact table."""
     files = materialize(_files(spark, sf_dir), "files")
@@ -397,7 +466,7 @@ def report_source(spark, sf_dir):
 
 def signed_masked_delta(spark, sf_dir):
     m = mart(spark, sf_dir)
-    return report.signed_masked(pivot.to_long(m.pivot_view(), m.groups))
+    return report.signed_masked(report.long_cells(m.variation(), m.dim_grupo))
 
 
 def merged_names(spark, sf_dir):
@@ -563,7 +632,7 @@ QUERIES: dict[str, Query] = {
         grid_to_long, number_parse, period_parse, nonneg_filter,
         group_clean, group_alias, report_name_clean,
         dim_time, dim_group, dim_group_keys, dim_service, dim_insert_absent, dim_upsert,
-        mart_load, workbook_mart, fact_build, fact_reload, column_defaults, load_gate,
+        mart_load, mart_reload, load_guard, mart_reopened, staging_truncate, workbook_mart, fact_build, fact_reload, column_defaults, load_gate,
         market_mean_groups, market_mean_flat, variation_market, variation_group,
         variation_group_service, variation_group_mixed, variation_month, variation_row_lag,
         variation_flat_market, long_delta, long_delta_row_lag,

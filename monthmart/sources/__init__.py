@@ -1,13 +1,13 @@
 from .catalog import headings, load_summary, resource_catalog
 from .tables import (
-    build_or_reuse, bulk_load, first_existing, inventory, materialize, rebalanced, save_catalog_table, save_table,
+    bulk_load, delete_path, first_existing, inventory, materialize, rebalanced, save_catalog_table, save_table,
     save_view, scratch_path,
     shared_dir,
 )
 from .workbook import file_metadata, is_workbook, scan_workbooks, sheet_rows, with_status
 
 __all__ = [
-    "build_or_reuse", "bulk_load", "file_metadata", "first_existing", "headings", "inventory",
+    "bulk_load", "delete_path", "file_metadata", "first_existing", "headings", "inventory",
     "is_workbook", "load_summary", "materialize", "rebalanced", "resource_catalog",
     "save_catalog_table", "save_table", "save_view", "scratch_path", "scan_workbooks", "shared_dir", "sheet_rows",
     "with_status",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +11,39 @@ from ..constants import TITLE_PATTERN, WORKBOOK_SUFFIX
 from ..functions import title_service, title_year
 
 
+# Character references: by number, or by one of the names that stand for a single character.
+_REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+
+
+def decoded(text: Column) -> Column:
+    """Text with its character references decoded; unknown ones stay as they are."""
+    names = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))])
+
+    def character(reference: Column) -> Column:
+        body = F.substring(reference, F.lit(2), F.length(reference) - 2)
+        code = F.when(F.lower(body).startswith("#x"), F.conv(F.substring(body, 3, 6), 16, 10)).when(
+            body.startswith("#"), F.substring(body, 2, 7)
+        ).cast("int")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        number = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        return F.coalesce(number, F.try_element_at(names, body), reference)
+
+    between = F.split(text, _REFERENCE)
+    found = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
+    return F.array_join(
+        F.zip_with(between, found, lambda t, r: F.concat(t, F.coalesce(character(r), F.lit("")))), ""
+    )
+
+
 def headings(pages: DataFrame, *keys: str, html: str = "html", level: int = 4) -> DataFrame:
-    """One row per heading of the level, in page order: (keys, pos, titulo), without inner tags."""
+    """One row per heading of the level, in page order: (keys, pos, titulo).
+
+    The title is as a page shows it: without inner tags, references decoded, blanks of any kind as single spaces.
+    """
     found = F.regexp_extract_all(html, F.lit(rf"(?is)<h{level}\b[^>]*>(.*?)</h{level}>"), F.lit(1))
+    shown = decoded(F.regexp_replace("bruto", r"<[^>]*>", ""))
     return pages.select(*keys, F.posexplode(found).alias("pos", "bruto")).select(
-        *keys, "pos", F.trim(F.regexp_replace("bruto", r"<[^>]*>", "")).alias("titulo")
+        *keys, "pos", F.trim(F.regexp_replace(shown, r"[\s\u00a0]+", " ")).alias("titulo")
     )
 
 

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,18 +14,12 @@ from ..constants import STAGING_COLUMNS
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors see, as the session names it in spark.checkpoint.dir.
 
-    Only a local session without the setting gets a folder of its own.
+    A session without the setting uses a folder of its warehouse, which is shared as well.
     """
     conf = spark.sparkContext.getConf()
     folder = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
     folder = folder or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="monthmart-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
@@ -73,6 +66,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Removes a table's files, if there are any."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result once to the shared folder and go on from the file.
 
@@ -119,14 +118,3 @@ def inventory(spark: SparkSession, names: Sequence[str] | None = None) -> DataFr
     for c in counts[1:]:
         result = result.unionByName(c)
     return result
-
-
-_built: dict[tuple, object] = {}
-
-
-def build_or_reuse(spark: SparkSession, key: str, build: Callable[[], object]) -> object:
-    """Result of ``build`` for this key, made once per Spark application."""
-    full = (spark.sparkContext.applicationId, key)
-    if full not in _built:
-        _built[full] = build()
-    return _built[full]

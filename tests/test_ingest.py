@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from test_workbook import row, text, write
 
 from monthmart.operators import grid
-from monthmart.plans.ingest import cached_long_rows, empty_long, read_folder
-from monthmart.plans.mart import REPORT_VIEWS, load_folder
+from monthmart.plans.ingest import cached_long_rows, compact, empty_long, read_folder
+from monthmart.plans.mart import REPORT_VIEWS, ConstraintError, build_mart, delete_old_versions, load_folder, open_mart
 from monthmart.sources import first_existing, inventory, scan_workbooks, with_status
 from monthmart.streaming.ingest import load_arriving
 
@@ -40,13 +40,17 @@ def test_cache(spark, tmp_path):
     def load():
         return cached_long_rows(scan_workbooks(spark, str(folder)), path)
 
-    # A file without rows is remembered as well.
+    # A file that cannot be read is tried again; once it is whole, its rows are there.
     (folder / "BAD2015.ods").write_bytes(b"x")
-    assert found(load()) == [] and runs(spark, path) == 1
+    assert found(load()) == [] and found(load()) == []
+    assert spark.read.parquet(f"{path}/entradas").count() == 0
+    # One without a known layout is remembered.
+    write(folder / "SCM2013.ods", row(text("t")), row(text("nothing")))
     assert found(load()) == [] and runs(spark, path) == 1
     (folder / "BAD2015.ods").rename(tmp_path / "bad")
+    assert found(load()) == [] and runs(spark, path) == 1
+    (folder / "SCM2013.ods").rename(tmp_path / "unknown")
     path = str(tmp_path / "second cache")
-    (folder / "BAD2014.ods").write_bytes(b"x")
     book(folder, "SMP2015.ods", "1")
     assert found(load()) == [("SMP2015.ods", "m0", 1.0)]
     assert found(load()) == [("SMP2015.ods", "m0", 1.0)] and runs(spark, path) == 1
@@ -124,7 +128,7 @@ def test_folder_to_report(spark, tmp_path):
               row(text("Grupo Econômico"), text("Variável"), text("2015-01"), text("FEV/2015"), text("mar")),
               row(text("Oi (a)"), text(metric), text("10,0"), text("15"), text("15")),
               row(text("TIM *"), text(metric), text(str(10 * factor)), text("-1"), text("30")))
-    mart = load_folder(spark, str(folder), str(tmp_path / "out"))
+    mart, report = load_folder(spark, str(folder), str(tmp_path / "out"))
     names = mart.create_views()
     assert set(REPORT_VIEWS) < set(names)
     counts = dict(tuple(r) for r in inventory(spark, ["staging_ida", "fato_ida", REPORT_VIEWS[0]]).collect())
@@ -134,3 +138,77 @@ def test_folder_to_report(spark, tmp_path):
     assert [tuple(float(v) for v in r[1:]) for r in found] == [(20.0, -30.0, 0.0), (50.0, 50.0, -50.0)]
     assert mart.checks().filter("should_error").count() == 0
     assert "data_carga" in mart.fato.columns
+
+
+def damage(path):
+    for base, _, names in os.walk(path / "linhas"):
+        for name in names:
+            if name.endswith(".parquet"):
+                with open(os.path.join(base, name), "r+b") as file:
+                    file.truncate(20)
+                os.remove(os.path.join(base, f".{name}.crc"))
+
+
+def test_damage_after_the_load_is_an_error(spark, tmp_path):
+    folder, path = tmp_path / "in", tmp_path / "cache"
+    folder.mkdir()
+    book(folder, "SMP2015.ods", "1", "2")
+    rows = cached_long_rows(scan_workbooks(spark, str(folder)), str(path))
+    damage(path)
+    with pytest.raises(Exception):
+        rows.collect()
+
+
+def test_content_is_read_behind_pushed_filters(spark, tmp_path):
+    files = scan_workbooks(spark, str(tmp_path)).filter("modificationTime >= timestamp'2020-01-01'")
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(modificationTime" in plan
+
+
+def test_compaction_keeps_current_rows(spark, tmp_path):
+    folder, path, target = tmp_path / "in", str(tmp_path / "cache"), str(tmp_path / "compact")
+    folder.mkdir()
+    book(folder, "SMP2015.ods", "1")
+    cached_long_rows(scan_workbooks(spark, str(folder)), path)
+    book(folder, "SMP2015.ods", "4", "5")
+    files = scan_workbooks(spark, str(folder))
+    cached_long_rows(files, path)
+    compact(spark, files, path, target)
+    assert spark.read.parquet(f"{target}/linhas").count() == 2
+    assert len(found(cached_long_rows(files, target))) == 2 and runs(spark, target) == 1
+
+
+def test_files_of_one_name_are_refused(spark, tmp_path):
+    files = scan_workbooks(spark, str(tmp_path))
+    twice = spark.createDataFrame([("a.ods", 1, None, b"x"), ("a.ods", 2, None, b"y")], files.schema)
+    with pytest.raises(ValueError, match="a.ods"):
+        cached_long_rows(twice, str(tmp_path / "cache"))
+
+
+def test_versions(spark, tmp_path):
+    """A refused or failing load leaves the mart as it is; old groups keep keys and state over loads."""
+    path = str(tmp_path / "mart")
+    base = [(2015, 1, "2015-01", "SMP", g, "Taxa de Resolvidas em 5 dias úteis", 10.0, "SMP2015.ods") for g in ("bb", "cc")]
+    schema = "ano int, mes int, ano_mes string, servico string, grupo_economico string, variavel string, valor double, arquivo_origem string"
+    first = build_mart(spark.createDataFrame(base, schema), path)
+    keys = {r.nome_grupo: r.id_grupo for r in first.dim_grupo.collect()}
+    more = [(2014, 12, "2014-12", "SCM", g, *base[0][5:]) for g in ("aa", "cc", "dd")]
+    build_mart(spark.createDataFrame(more, schema), path)
+    opened = open_mart(spark, path)
+    now = {r.nome_grupo: r.id_grupo for r in opened.dim_grupo.collect()}
+    assert set(now) == {"AA", "BB", "CC", "DD"} and all(now[k] == v for k, v in keys.items())
+    assert sorted(r.id_tempo for r in opened.dim_tempo.collect()) == [1, 2]
+    assert build_mart(spark.createDataFrame([], schema), path) is None
+    with pytest.raises(ConstraintError):
+        build_mart(spark.createDataFrame([(2015, 1, "2015-01", "TOO LONG A CODE", "aa", "x", 1.0, "f")], schema), path)
+    with pytest.raises(Exception, match="1000"):
+        build_mart(spark.createDataFrame([base[0][:6] + (1000.0, "f")], schema), path)
+    assert open_mart(spark, path).fato.count() == 3
+    delete_old_versions(spark, path, keep=1)
+    assert open_mart(spark, path).fato.count() == 3
+    names = opened.publish("teste_")
+    try:
+        assert spark.newSession().table("teste_fato_ida").count() == 3
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -153,12 +153,12 @@ def test_no_rows_no_transformation(spark):
     assert build_mart(empty, scratch_path(spark, "test-mart")) is None
 
 
-def test_reload_replaces_everything(spark, path):
+def test_reload_replaces_rows_and_keeps_dimensions(spark, path):
     first = build_mart(staging(spark, ("2015-01", "SMP", "OI", "x", 1.0), ("2014-01", "SMP", "TIM", "x", 1.0)), path)
     assert (first.fato.count(), first.dim_grupo.count()) == (2, 2)
     second = build_mart(staging(spark, ("2015-03", "SCM", "OI", "x", 1.0), ("2015-03", "SCM", "OI", "y", float("nan"))), path)
-    assert [tuple(r) for r in second.fato.select("id_tempo", "nome_grupo", "codigo_servico").collect()] == [(1, "OI", "SCM")]
-    assert second.staging.count() == 1 and second.dim_tempo.count() == 1
+    assert [tuple(r) for r in second.fato.select("id_tempo", "nome_grupo", "codigo_servico").collect()] == [(3, "OI", "SCM")]
+    assert second.staging.count() == 1 and second.dim_tempo.count() == 3 and second.dim_grupo.count() == 2
 
 
 def test_checks_pass_on_the_built_mart(spark, sf_dir):

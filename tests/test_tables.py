@@ -1,6 +1,7 @@
 from monthmart.constants import STAGING_COLUMNS
+from monthmart.plans.queries import build_or_reuse
 from monthmart.sources import (
-    build_or_reuse, bulk_load, first_existing, inventory, materialize, save_catalog_table, save_table, save_view, shared_dir,
+    bulk_load, first_existing, inventory, materialize, save_catalog_table, save_table, save_view, shared_dir,
 )
 
 ROW = (2015, 1, "2015-01", "SMP", "OI", "x", 1.0, "f.ods")

@@ -10,7 +10,8 @@ Equal shingle sets are one node. Nodes that agree in all components of a band sh
 is a pair of nodes whose Jaccard similarity, computed from their texts, reaches the threshold. Buckets
 are searched without making all their pairs: members are first held against one member of the bucket, and
 then only members of different components against each other, until every pair that shares
-a bucket is either tested or known to be in one class.
+a bucket is either tested or known to be in one class. Large buckets are held against themselves in blocks of bounded
+size, inside the tasks.
 """
 
 from __future__ import annotations
@@ -30,9 +31,11 @@ from .text import as_signed, mix, texts, words_of
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 40, 6
-# A pair at the threshold shares no band with a probability below 1e-5; its share of equal components
-# (240 of them) stays above this with a probability beyond 1 - 1e-9.
-LEAST_AGREEMENT = 0.6
+# A pair at the threshold shares no band, or has a smaller share of equal components (of 240), with a probability
+# of about 1e-5 each.
+LEAST_AGREEMENT = 0.69
+# Buckets up to the first size give pairs (so at most 25 for each member), larger ones blocks of the second.
+PAIRED_BUCKET, BLOCK = 50, 800
 ELEMENTS_PER_STEP = 150_000
 WORDS_REMEMBERED = 1_000_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -68,7 +71,7 @@ def prob_minhash(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, set
     signature = np.zeros(sets * size, np.uint64)
     last = np.full(sets, np.inf)
     time = np.zeros(len(element))
-    turn = np.uint64(0)
+    turn = np.zeros(1, np.uint64)
     while len(element):
         turn += np.uint64(1)
         draw = mix(element + turn * _GOLDEN)
@@ -193,14 +196,84 @@ class _Search:
         return materialize(_similar(likely.join(text_a, "a").join(text_b, "b"), self.threshold, self.words), "links")
 
 
-def _open_buckets(members: DataFrame, label: DataFrame | None) -> DataFrame:
-    """Members (bucket, node) of buckets in which at least two labels meet, with their label."""
-    if label is not None:
-        members = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    else:
-        members = members.withColumn("label", F.col("node"))
-    mixed = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
-    return materialize(members.join(mixed.select("bucket"), "bucket"), "open-buckets")
+def _shared_buckets(nodes: DataFrame) -> DataFrame:
+    """(bucket, node) of buckets with several nodes."""
+    rows = nodes.select(F.explode("bands").alias("bucket"), "node")
+    several = rows.groupBy("bucket").count().filter("count > 1")
+    return materialize(rows.join(several.select("bucket"), "bucket"), "buckets")
+
+
+def _open_buckets(members: DataFrame, label: DataFrame) -> DataFrame:
+    """Members (bucket, node) of buckets in which at least two labels meet, with their label and the members' number."""
+    labelled = members.select("bucket", "node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = labelled.groupBy("bucket").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members")
+    ).filter("lo != hi")
+    return materialize(labelled.join(mixed.select("bucket", "members"), "bucket"), "open-buckets")
+
+
+def _block_links(table: pa.Table, bands: int, threshold: float, words: int) -> pa.Table:
+    """Links between the members of two blocks of a bucket (or of one with itself) that are in different components.
+
+    A pair that shares several buckets is tested in that of its first band. Links found join components at once.
+    """
+    lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+    node, label, block = (table.column(c).to_pylist() for c in ("node", "label", "block"))
+    count = table.column("shingles").to_numpy()
+    sketch = np.stack([np.frombuffer(x, np.uint8) for x in table.column("sketch").to_pylist()])
+    band = np.array(table.column("bands").to_pylist(), np.int64).reshape(len(node), bands)
+    at_band = int(np.flatnonzero(band[0] == table.column("bucket")[0].as_py())[0])
+    all_texts, hashes, sets = table.column("text"), _WordHashes(), {}
+    parent = {x: x for x in label}
+
+    def root(x: bytes) -> bytes:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    def shingles(k: int) -> np.ndarray:
+        if k not in sets:
+            sets[k] = np.unique(shingle_hashes(all_texts[k].as_py() or "", hashes, words))
+        return sets[k]
+
+    first = [k for k, b in enumerate(block) if b == lo]
+    second = np.array([k for k, b in enumerate(block) if b == hi])
+    links = []
+    for a in first:
+        others = second[second > a] if lo == hi else second
+        ratio = np.minimum(count[others], count[a]) / np.maximum(count[others], count[a])
+        others = others[ratio >= threshold]
+        others = others[(sketch[others] == sketch[a]).mean(axis=1) >= LEAST_AGREEMENT]
+        if at_band:
+            others = others[~(band[others, :at_band] == band[a, :at_band]).any(axis=1)]
+        for b in others:
+            if root(label[a]) != root(label[b]):
+                both = len(np.intersect1d(shingles(a), shingles(b), assume_unique=True))
+                similarity = both / (len(sets[a]) + len(sets[b]) - both)
+                if similarity >= threshold:
+                    links.append((node[a], node[b], similarity))
+                    parent[root(label[a])] = root(label[b])
+    types = (pa.binary(), pa.binary(), pa.float64())
+    return pa.table({n: pa.array([x[k] for x in links], t) for k, (n, t) in enumerate(zip(("a", "b", "similarity"), types))})
+
+
+def _large_bucket_links(members: DataFrame, search: _Search, bands: int) -> DataFrame:
+    """Links between components that meet in large buckets (members: bucket, node, label, members)."""
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    pairs_of_blocks = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(
+        F.least("block", k).alias("lo"), F.greatest("block", k).alias("hi")
+    ))
+    rows = (
+        members.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        .select("bucket", "node", "label", "block", F.explode(pairs_of_blocks).alias("of"))
+        .join(search.nodes.select("node", "shingles", "bands", "sketch"), "node").join(search.texts, "node")
+        .select("bucket", "of.lo", "of.hi", "block", "node", "label", "shingles", "bands", "sketch", "text")
+    )
+    threshold, words = search.threshold, search.words
+    found = rows.groupBy("bucket", "lo", "hi").applyInArrow(
+        lambda table: _block_links(table, bands, threshold, words), "a binary, b binary, similarity double"
+    )
+    return materialize(found, "links")
 
 
 def _stars(members: DataFrame) -> DataFrame:
@@ -237,23 +310,22 @@ def near_duplicates(
         ).select("node", "f.doc_id", "f.text_hash", "shingles", "bands", "sketch", "copies"),
         "nodes",
     )
-    in_bands = nodes.select(F.explode("bands").alias("bucket"), "node")
-    members = _open_buckets(in_bands, None).drop("label")
+    members = _shared_buckets(nodes)
     search = _Search(docs, nodes, members, threshold, words)
 
     # First each node with the star centre it meets most often, then with the other centres.
     stars = _stars(members.withColumn("label", F.col("node")))
     closest = stars.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
     links = search.links(closest)
-    label = _labels(links)
-    members = _open_buckets(members, label).drop("label")
-    links = links.union(search.links(_stars(members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))))
-    label = _labels(links)
+    members = _open_buckets(members, _labels(links))
+    links = links.union(search.links(_stars(members)))
     # Then whatever still meets in a bucket without being in one class.
-    members = _open_buckets(members, label)
-    left, right = (members.select("bucket", F.col("node").alias(s), F.col("label").alias(f"label_{s}")) for s in "ab")
+    members = _open_buckets(members, _labels(links))
+    small = members.filter(F.col("members") <= PAIRED_BUCKET)
+    left, right = (small.select("bucket", F.col("node").alias(s), F.col("label").alias(f"label_{s}")) for s in "ab")
     rest = left.join(right, "bucket").filter("a < b AND label_a != label_b").select("a", "b")
     links = links.union(search.links(rest))
+    links = links.union(_large_bucket_links(members.filter(F.col("members") > PAIRED_BUCKET), search, bands))
     label = _labels(links)
 
     placed = nodes.join(label, "node", "left").select(

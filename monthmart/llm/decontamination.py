@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..sources import materialize
 from .lexicon import NAMES, NUMBERS, UNITS
-from .text import fold, let, word_array
+from .text import fold, let, matching_rows, row_keys, word_array
 
 WINDOW, STRIDE = 6, 4
 LEAST_SHARE = 0.5
@@ -100,13 +100,14 @@ def leaks(
     item_windows = materialize(_slots(items, window, "item_values").distinct(), "item-windows")
     anchors = materialize(item_windows.select("window_hash").distinct(), "item-window-hashes")
 
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    keyed = row_keys(docs)
     hashes = let(marked_words(F.col("text")), lambda words: _hashes(words, window, stride))
     met = keyed.select("doc_id", "text_hash", F.explode(hashes).alias("window_hash")).join(anchors, "window_hash", "left_semi")
     held = materialize(met.select("doc_id", "text_hash").distinct(), "documents-that-meet-items")
-    one = held.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    same = keyed["doc_id"].eqNullSafe(one["_id"]) & (keyed["text_hash"] == one["_hash"])
-    again = keyed.join(one, same, "left_semi").select("doc_id", "text_hash", marked_words(F.col("text")).alias("words"))
+    again = matching_rows(docs.select("doc_id", "text"), held, "left_semi", few=True).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
+        marked_words(F.col("text")).alias("words"),
+    )
     doc_windows = _slots(again, window, "doc_values")
 
     pairs = ["doc_id", "text_hash", "item_id"]
@@ -145,9 +146,5 @@ def leaks(
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Rows of docs that hold no item; their columns are unchanged."""
-    found = materialize(leaks(docs, benchmark, **options).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
-    ).distinct(), "leaks")
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    same = hashed["doc_id"].eqNullSafe(found["_id"]) & (hashed["_text_hash"] == found["_hash"])
-    return hashed.join(found, same, "left_anti").select(*docs.columns)
+    found = leaks(docs, benchmark, **options).select("doc_id", "text_hash").distinct()
+    return matching_rows(docs, materialize(found, "leaks"), "left_anti")

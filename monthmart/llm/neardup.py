@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..sources import materialize
 from .components import components
-from .text import as_signed, mix, texts, words_of
+from .text import as_signed, matching_rows, mix, row_keys, texts, words_of
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 40, 6
@@ -123,13 +123,9 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int, bands: int, rows: i
         )
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-
-
 def sketches(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """SKETCH_SCHEMA of each row of docs (doc_id, text); node is null for a text without words."""
-    return _keyed(docs).mapInArrow(lambda b: _sketches(b, words, bands, rows), SKETCH_SCHEMA)
+    return row_keys(docs).mapInArrow(lambda b: _sketches(b, words, bands, rows), SKETCH_SCHEMA)
 
 
 def _similar(pairs: DataFrame, threshold: float, words: int) -> DataFrame:
@@ -169,7 +165,7 @@ class _Search:
     def __init__(self, docs: DataFrame, nodes: DataFrame, members: DataFrame, threshold: float, words: int):
         self.nodes, self.threshold, self.words = nodes, threshold, words
         wanted = members.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node")
-        keyed = _keyed(docs)
+        keyed = row_keys(docs)
         same = keyed["doc_id"].eqNullSafe(wanted["doc_id"]) & (keyed["text_hash"] == wanted["text_hash"])
         texts_of = keyed.join(wanted, same).select(wanted["node"].alias("node"), keyed["text"].alias("text"))
         self.texts = materialize(texts_of.dropDuplicates(["node"]), "node-texts")
@@ -349,12 +345,10 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     rows = found.groupBy("class_key", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
     least = rows.groupBy("class_key").agg(F.min(order).alias("least"))
     marked = materialize(rows.join(least, "class_key").withColumn("kept", order == F.col("least")), "kept-rows")
-    pairs = marked.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "kept", "copies")
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    same = hashed["doc_id"].cast("bigint").eqNullSafe(F.col("_id")) & (hashed["_text_hash"] == F.col("_hash"))
-    result = hashed.join(pairs.filter("NOT kept"), same, "left_anti")
-    repeated = pairs.filter("kept AND copies > 1")
-    if not repeated.isEmpty():
-        once = result.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"])
-        result = result.join(repeated, same, "left_anti").unionByName(once)
-    return result.select(*docs.columns)
+    result = matching_rows(docs, marked.filter("NOT kept"), "left_anti")
+    repeated = marked.filter("kept AND copies > 1")
+    if repeated.isEmpty():
+        return result
+    # Repeated rows are copies as well: one of those with equal id and text stays.
+    once = matching_rows(result, repeated, "left_semi").dropDuplicates(["doc_id", "text"])
+    return matching_rows(result, repeated, "left_anti").unionByName(once)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: a word is a run of digits, ASCII letters (lower case by then) and characters beyond ASCII.
@@ -38,6 +39,23 @@ def word_array(folded: Column) -> Column:
     return F.array_remove(F.split(folded, BETWEEN), "")
 
 
+def row_keys(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, text) of docs: what names a row in the operators' tables."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+
+
+def matching_rows(docs: DataFrame, keys: DataFrame, how: str, few: bool = False) -> DataFrame:
+    """Semi or anti join of docs with keys (doc_id, text_hash), by columns that clash with none of docs.
+
+    Keys that grow with the documents are merged with them at any size. Where they are few, Spark chooses by their size.
+    """
+    own, other, mine = (f"_{uuid.uuid4().hex}" for _ in range(3))
+    hashed = docs.withColumn(mine, F.xxhash64("text"))
+    named = keys.select(F.col("doc_id").alias(own), F.col("text_hash").alias(other)).distinct()
+    same = hashed["doc_id"].cast("bigint").eqNullSafe(named[own]) & (hashed[mine] == named[other])
+    return hashed.join(named if few else named.hint("merge"), same, how).select(*docs.columns)
+
+
 def words_of(text: str | None) -> list[str]:
     """Words of a text, A-Z in lower case; null has none."""
     return _FIND.findall(text.translate(_FOLD) if text and not text.isascii() else (text or "").lower())

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import materialize
-from .text import texts, words_of
+from .text import matching_rows, row_keys, texts, words_of
 
 FIT_ROWS = 20_000
 LEXICON_SIZE, LEAST_SUPPORT, LEAST_LOG_ODDS = 2_000, 3, 2.0
@@ -44,7 +44,7 @@ SECOND_PERSON = frozenset((
 ).split())
 # Signs that stand for letters.
 LOOKALIKE = str.maketrans("013457@$!", "oieastasi")
-_ODD = re.compile(r"[A-Za-z@$][A-Za-z0-9@$!*._\-]*[A-Za-z0-9@$]")
+_ODD = re.compile(r"[A-Za-z0-9@$][A-Za-z0-9@$!*._\-]*[A-Za-z0-9@$]")
 _SHOUT = re.compile(r"[A-Z]{3,}")
 
 FEATURES = (
@@ -153,7 +153,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     or empty text has the features of no words and is scored like others. Too few labels of either kind
     to fit trees leave the fixed lexicon: the score is h / (h + 1) for h insults in a hundred words. Rows are scored each, repeated or not.
     """
-    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    keyed = row_keys(docs)
     # Samples have FIT_ROWS rows at most, so they are broadcast whatever the size of docs.
     parts = [F.broadcast(_sample(labels, *tenths)) for tenths in ((0, 5), (5, 8), (8, 10))]
     learned = learn_lexicon(keyed.join(parts[0], keyed["doc_id"] == parts[0]["_id"]).select("text", "toxic"))
@@ -186,9 +186,5 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of docs that are not predicted toxic; their columns are unchanged."""
-    gone = materialize(score(docs, labels).filter("predicted = 1").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
-    ).distinct(), "toxic")
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    same = hashed["doc_id"].eqNullSafe(gone["_id"]) & (hashed["_text_hash"] == gone["_hash"])
-    return hashed.join(gone, same, "left_anti").select(*docs.columns)
+    gone = score(docs, labels).filter("predicted = 1").select("doc_id", "text_hash").distinct()
+    return matching_rows(docs, materialize(gone, "toxic"), "left_anti")

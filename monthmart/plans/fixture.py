@@ -23,6 +23,7 @@ SPELLINGS = (
 RATE_5D = "Taxa de Resolvidas em 5 dias úteis"
 NO_SENTINEL_FILE = "SMP1996.ods"
 SINGLE_ID_FILE = "SCM1999.ods"
+FOREIGN_MONTH = "1990-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,7 +108,7 @@ def sheet_grid(long: DataFrame) -> DataFrame:
 
     Two title rows, the header row, a row per group and metric, and one repeated
     row at the end. Holds text instead of a number, a negative value, a column that
-    is no period, a sheet without the sentinel and one without a metric column.
+    is no period, one without a header, one of another year, a sheet without the sentinel and one without a metric column.
     """
     name = F.col("arquivo")
     months = [F.max(F.when(F.col("mes") == m, F.col("texto"))).alias(f"m{m}") for m in range(1, 13)]
@@ -124,10 +125,13 @@ def sheet_grid(long: DataFrame) -> DataFrame:
     def ids(group: Column, metric: Column) -> Column:
         return F.when(name == SINGLE_ID_FILE, F.array(group)).otherwise(F.array(group, metric))
 
+    # Under the column that is no period, the blank header and the month of another year.
+    extra = F.array(F.lit("x"), F.lit("7"), F.lit("8"))
+
     def data(r: Column, i: Column) -> Column:
         texts = F.transform(r.textos, lambda t, m: F.when((i == 0) & (m == 0), "n/d")
                             .when((i == 1) & (m == 1), "-5,5").otherwise(t))
-        return F.concat(ids(r.grupo_economico, r.variavel), texts, F.array(F.lit("x")))
+        return F.concat(ids(r.grupo_economico, r.variavel), texts, extra)
 
     year = F.col("ano")
     headers = [
@@ -140,11 +144,12 @@ def sheet_grid(long: DataFrame) -> DataFrame:
     top = F.array(
         F.array(F.lit("Indicadores de Atendimento")),
         F.array(F.concat_ws(" ", "servico", year.cast("string"))),
-        F.concat(ids(sentinel, F.lit("Variável")), F.array(*headers), F.array(F.lit("OUTROS"))),
+        F.concat(ids(sentinel, F.lit("Variável")), F.array(*headers),
+                 F.array(F.lit("OUTROS"), F.when(name == SINGLE_ID_FILE, "OUTROS 2"), F.lit(FOREIGN_MONTH))),
     )
     first = F.get("rows", F.lit(0))
     repeated = F.array(F.concat(ids(first.grupo_economico, first.variavel),
-                                F.array_repeat(F.lit("999"), 12), F.array(F.lit("x"))))
+                                F.array_repeat(F.lit("999"), 12), extra))
     grid = F.concat(top, F.transform("rows", data), repeated)
     return with_status(sheets.select("arquivo", F.posexplode(grid).alias("row_idx", "cells")))
 

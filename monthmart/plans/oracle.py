@@ -89,15 +89,17 @@ CTES = {
       UNION ALL SELECT arquivo, 2, 1, 'Variável' FROM sheets WHERE ids = 2
       UNION ALL SELECT DISTINCT arquivo, 2, ids + mes - 1, periodo FROM m
       UNION ALL SELECT arquivo, 2, ids + 12, 'OUTROS' FROM sheets
+      UNION ALL SELECT arquivo, 2, ids + 13, 'OUTROS 2' FROM sheets WHERE ids = 1
+      UNION ALL SELECT arquivo, 2, ids + 14, '1990-01' FROM sheets
       UNION ALL SELECT DISTINCT arquivo, 2 + rn, 0, grupo_economico FROM m
       UNION ALL SELECT DISTINCT arquivo, 2 + rn, 1, variavel FROM m WHERE ids = 2
       UNION ALL SELECT arquivo, 2 + rn, ids + mes - 1, texto FROM m WHERE texto IS NOT NULL
-      UNION ALL SELECT DISTINCT arquivo, 2 + rn, ids + 12, 'x' FROM m
+      UNION ALL SELECT DISTINCT arquivo, 2 + rn, ids + unnest([12, 13, 14]), unnest(['x', '7', '8']) FROM m
       UNION ALL SELECT DISTINCT arquivo, 3 + n, 0, grupo_economico FROM m JOIN sheets USING (arquivo) WHERE rn = 1
       UNION ALL SELECT DISTINCT arquivo, 3 + n, 1, variavel FROM m JOIN sheets USING (arquivo)
         WHERE rn = 1 AND m.ids = 2
       UNION ALL SELECT arquivo, 3 + n, m.ids + mes - 1, '999' FROM m JOIN sheets USING (arquivo) WHERE rn = 1
-      UNION ALL SELECT arquivo, 3 + n, ids + 12, 'x' FROM sheets""",
+      UNION ALL SELECT arquivo, 3 + n, ids + unnest([12, 13, 14]), unnest(['x', '7', '8']) FROM sheets""",
     "longrows": """SELECT grupo_economico,
         CASE WHEN ids = 1 THEN 'Valor Único' ELSE variavel END AS variavel, periodo,
         coalesce(TRY_CAST(replace(texto, ',', '.') AS DOUBLE), CASE WHEN rn = 1 THEN 999 END) AS valor,

@@ -3,6 +3,10 @@
 The file source remembers in its checkpoint which files it has handed out, so a
 run takes only the new ones. Each micro-batch replaces its own partition, and a
 batch repeated after a failure leaves the same rows.
+
+The source knows a file by its path. A workbook that is replaced under its name, or that could not be read when it
+came, is not taken again: where that can happen, load the folder with the cache (plans.ingest), which knows
+versions and retries unreadable files.
 """
 
 from __future__ import annotations

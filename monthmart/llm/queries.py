@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontamination, extraction, licenses, nearest, neardup, packing, quality, sharding, toxicity
+from .oracle import ORACLE
 
 
 def tokenizer_path() -> str:
@@ -107,4 +108,4 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
-ORACLE: dict[str, str] = {}
+

@@ -35,6 +35,22 @@ _WINDOWS = f"""SELECT DISTINCT {{keys}}, array_to_string(c[k:k + {_LAST}], ' ')
   FROM ({_SPLIT})"""
 
 ORACLE = {
+    "op6_chat": """
+WITH m AS (SELECT conv_id, turn * 4 AS turn, role, text, CAST(NULL AS BIGINT) AS own FROM conversations WHERE role IS NULL OR role <> 'assistant'
+  UNION ALL SELECT conv_id, turn * 4 + CASE WHEN turn % 3 = 0 THEN 2 ELSE 0 END, 'assistant', NULL, turn FROM conversations WHERE role = 'assistant'
+  UNION ALL SELECT conv_id, turn * 4 + 1, 'tool', text, turn FROM conversations WHERE role = 'assistant'),
+  c AS (SELECT conv_id, turn AS own, length(text) AS n FROM conversations WHERE role = 'assistant'),
+  placed AS (SELECT m.conv_id, m.turn, role, text, own, n, own >= 3 AS refers,
+      CASE WHEN role = 'tool' AND own % 3 = 0 THEN m.turn + 1.5 ELSE m.turn END AS pos FROM m LEFT JOIN c USING (conv_id, own))
+SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY pos, turn, role, text) - 1 AS place,
+  CASE WHEN own IS NOT NULL THEN 'c' || own END AS call_ids, CASE WHEN own IS NOT NULL THEN true END AS linked,
+  CAST(NULL AS VARCHAR) AS problem,
+  CASE WHEN role = 'assistant' THEN '{"content":null,"role":"assistant","tool_calls":[{"arguments":{'
+      || CASE WHEN refers THEN '"after":"$c' || (own - 2) || '",' ELSE '' END || '"length":' || n || ',"turn":' || own
+      || '},"id":"c' || own || '","name":"reply"}]}'
+    ELSE '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":' || CAST(to_json(role) AS VARCHAR)
+      || CASE WHEN role = 'tool' THEN ',"tool_call_id":"c' || own || '"' ELSE '' END || '}' END AS json
+FROM placed""",
     "op10_decontamination": f"""
 WITH item_words AS (SELECT DISTINCT item_id, {_words('text')} AS w FROM benchmark),
   doc_words AS (SELECT doc_id, text, {_words('text')} AS w FROM (SELECT DISTINCT doc_id, text FROM documents)),

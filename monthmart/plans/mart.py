@@ -56,7 +56,10 @@ class Mart:
         """(Mes, Operadora, Delta) of every month and group, own minus market; no column for each group is made."""
         return report.report_long(self.variation(), self.dim_grupo)
 
-    def trend(self, surrogate: bool = False) -> DataFrame:
+    def trend(self, surrogate: bool | None = None) -> DataFrame:
+        """By natural keys where the fact table has them, else by surrogate keys, unless told which."""
+        if surrogate is None:
+            surrogate = not {"nome_grupo", "codigo_servico"} <= set(self.fato.columns)
         return report.trend(
             self.fato, self.dim_tempo, self.dim_servico, self.dim_grupo if surrogate else None
         )

@@ -7,7 +7,8 @@ Text blocks of the template are the same on page after page and are no content;
 
 An occurrence vector is kept as the exclusive or of a hash for each page and count, so that it is put together
 from parts in any order and no host's pages are ever brought together. The text of a page is that of its slots within
-the article or main element, or within the body where it has neither, without elements that are no content by their kind.
+the article or main element, or within the body where it has neither. Elements that are no content by their kind or class
+are left out besides.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from html import unescape
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import materialize
@@ -168,7 +169,7 @@ def _hash(*parts: object) -> int:
 def _page_tokens(html: str) -> tuple[Counter, dict[int, tuple[int, bool]]]:
     """Occurrences of the tokens of a page; what each is: (token of the element around it, is text)."""
     counts, about = Counter(), {}
-    for path, text, inside, _ in blocks_of(html):
+    for path, text, _, _ in blocks_of(html):
         around = 0
         step = ""
         for part in path.split("/")[1:]:
@@ -178,39 +179,50 @@ def _page_tokens(html: str) -> tuple[Counter, dict[int, tuple[int, bool]]]:
                 about[token] = (around, False)
             around = token
         counts[around] += 1
-        if not inside:
-            token = _hash(path, text)
-            about[token] = (around, True)
-            counts[token] += 1
+        token = _hash(path, text)
+        about[token] = (around, True)
+        counts[token] += 1
     for token in about:
         counts[token] = counts[token] or 1
     return counts, about
 
 
-def host_of(url: str | None) -> str:
-    match = re.match(r"(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)", url or "", re.I)
-    return match.group(1).lower() if match else ""
+def _host() -> Column:
+    return F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?i:(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*))", 1))
 
 
 TOKEN_SCHEMA = "host string, token bigint, around bigint, is_text boolean, pages bigint, vector bigint"
 
 
+def _different_pages(pages: DataFrame) -> DataFrame:
+    """(host, page, html): one row of each different page of a host, so that copies of one article make no template.
+
+    Only pages that a host has several times are brought together, one of each from a task.
+    """
+    rows = pages.select(_host().alias("host"), F.xxhash64("html").alias("page"), "html")
+    several = rows.groupBy("host", "page").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("host", "page")
+    several = materialize(several, "repeated-pages")
+    if several.isEmpty():
+        return rows
+    alone = rows.join(several, ["host", "page"], "left_anti")
+    return alone.unionByName(rows.join(several, ["host", "page"], "left_semi").dropDuplicates(["host", "page"]))
+
+
 def _occurrences(pages: DataFrame) -> DataFrame:
     """TOKEN_SCHEMA of each host, summed over its pages; token 0 stands for the page and counts them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             totals: dict[tuple[str, int], list] = defaultdict(lambda: [0, False, 0, 0])
-            rows = zip(batch.column("page_id").to_pylist(), batch.column("url").to_pylist(), texts(batch, "html"))
-            for page, url, html in rows:
-                host = host_of(url)
+            rows = zip(batch.column("host").to_pylist(), batch.column("page").to_pylist(), texts(batch, "html"))
+            for host, page, html in rows:
                 counts, about = _page_tokens(html)
                 counts[0], about[0] = 1, (0, False)
                 for token, (around, is_text) in about.items():
                     total = totals[host, token]
                     total[0], total[1] = around, is_text
                     total[2] += 1
-                    total[3] ^= _hash(page, url, counts[token])
+                    total[3] ^= _hash(page, counts[token])
             keys, values = list(totals), list(totals.values())
             columns = [[k[0] for k in keys], [k[1] for k in keys], *[[v[i] for v in values] for i in range(4)]]
             types = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64())
@@ -218,7 +230,7 @@ def _occurrences(pages: DataFrame) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(columns, types)], ["host", "token", "around", "is_text", "pages", "vector"]
             )
 
-    parts = pages.select("page_id", "url", "html").mapInArrow(run, TOKEN_SCHEMA)
+    parts = _different_pages(pages).mapInArrow(run, TOKEN_SCHEMA)
     return parts.groupBy("host", "token").agg(
         F.min("around").alias("around"), F.max("is_text").alias("is_text"), F.sum("pages").alias("pages"),
         F.bit_xor("vector").alias("vector"),
@@ -247,26 +259,24 @@ def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
 
 
 def main_text(html: str, template_texts: set[int]) -> str:
-    """Text of the slots: within article or main, or else of the body without the template's text blocks."""
+    """Text of the slots within article or main, or else within the body: what is no text block of the template."""
     blocks = blocks_of(html)
-    inside = [b for b in blocks if b[2] and not b[3]]
-    if not any(b[2] for b in blocks):
-        inside = [b for b in blocks if not b[3] and _hash(b[0], b[1]) not in template_texts]
-    return "\n\n".join(b[1] for b in inside)
+    anywhere = not any(b[2] for b in blocks)
+    slots = (b for b in blocks if (b[2] or anywhere) and not b[3] and _hash(b[0], b[1]) not in template_texts)
+    return "\n\n".join(b[1] for b in slots)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """One row per row of pages (page_id, url, html): page_id, url, text, n_chars.
 
     Blocks have single spaces and are joined by empty lines. A null or empty page, and one without content, has an
-    empty text. A page whose url is null or has no host belongs to the host without a name. Hosts of fewer than LEAST_PAGES
+    empty text. Copies of a page count as one for the template. A page whose url is null or has no host belongs to the host without a name. Hosts of fewer than LEAST_PAGES
     pages have no template. Repeated rows are extracted each; other columns are passed over.
     """
     found = templates(pages).filter("is_text").groupBy("host").agg(F.collect_set("token").alias("template_texts"))
     # Every token is on a good part of the host's pages, so a host's list is as short as a page.
     found = materialize(found, "templates").withColumnRenamed("host", "_host")
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?i:(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*))", 1))
-    joined = pages.select("page_id", "url", "html", host.alias("host")).join(found, F.col("host") == F.col("_host"), "left")
+    joined = pages.select("page_id", "url", "html", _host().alias("host")).join(found, F.col("host") == F.col("_host"), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

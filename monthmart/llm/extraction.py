@@ -52,6 +52,15 @@ NO_CONTENT_WORDS = frozenset((
     "contentinfo alert alertdialog skip"
 ).split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
+# Of those, words that stand for content as well within an article, where the template decides; and those of readers' comments,
+# which are often articles themselves.
+ARTICLE_WORDS = frozenset("alert notice notices notification notifications".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies".split())
+# Words that say nothing of their own: a name counts if all its other words are marks, so cookie-notice does and share-price not.
+PLAIN_WORDS = frozenset((
+    "left right top bottom box bar area list item items slot link links button buttons container wrapper wrap block section unit "
+    "posts form"
+).split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -63,14 +72,17 @@ _ENDS_RAW = {t: re.compile(rf"</{t}\b[^>]*(?:>|\Z)", re.I) for t in RAW}
 
 
 def _marks(attributes: str) -> tuple[set[str], str, bool]:
-    """(words of class, id and role, the class attribute, hidden)."""
+    """(words of the names in class, id and role that are marks as a whole, the class attribute, hidden)."""
     words, name, hidden = set(), "", False
     for key, value, flag in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if flag:
             hidden = True
         elif key in ("class", "id", "role"):
-            words.update(_NAME_PART.split(value))
+            for parts in (set(filter(None, _NAME_PART.split(v))) for v in value.split()):
+                marks = parts & (NO_CONTENT_WORDS | HEADER_WORDS | {"main"})
+                if all(p in marks or p in PLAIN_WORDS or p.isdigit() for p in parts):
+                    words.update(marks)
             name = value if key == "class" else name
         elif key == "style" and re.search(r"display\s*:\s*none", value):
             hidden = True
@@ -80,8 +92,8 @@ def _marks(attributes: str) -> tuple[set[str], str, bool]:
 def blocks_of(html: str) -> list[tuple[str, str, bool, bool]]:
     """Text blocks of a page in order: (element path, text, inside article or main, no content by its kind)."""
     found: list[tuple[str, str, bool, bool]] = []
-    # Open elements: (tag, path, inside article or main, no content).
-    stack = [("", "", False, False)]
+    # Open elements: (tag, path, inside article or main, no content, only by a class that article or main ends).
+    stack = [("", "", False, False, False)]
     parts: list[str] = []
     place, shown = 0, stack[0]
 
@@ -151,13 +163,20 @@ def blocks_of(html: str) -> list[tuple[str, str, bool, bool]]:
         if tag in BLOCKS:
             flush()
         words, name, hidden = _marks(attributes) if attributes and not attributes.isspace() else (set(), "", False)
-        main = stack[-1][2] or tag in ("article", "main") or "main" in words and tag == "div" and 'role' in attributes
-        whole = tag in ("html", "body", "article", "main")
-        none = (
-            stack[-1][3] or hidden or tag in NO_CONTENT or (not whole or "comment" in words) and bool(words & NO_CONTENT_WORDS)
-            or not main and (tag == "header" or not whole and bool(words & HEADER_WORDS))
-        )
-        stack.append((tag, f"{stack[-1][1]}/{tag}.{name}" if name else f"{stack[-1][1]}/{tag}", main, none))
+        _, above, inside, none, weak = stack[-1]
+        starts = tag in ("article", "main") or "main" in words and tag == "div" and 'role' in attributes
+        main = inside or starts
+        if starts and not inside and weak:
+            none = weak = False
+        marks = words & NO_CONTENT_WORDS - (ARTICLE_WORDS if inside else frozenset())
+        if starts or tag in ("html", "body"):
+            marks = marks & COMMENT_WORDS if tag == "article" else frozenset()
+        firm = hidden or tag in NO_CONTENT or bool(marks & COMMENT_WORDS) or not main and tag == "header"
+        if firm:
+            none, weak = True, False
+        elif not none and (marks or not main and tag not in ("html", "body") and words & HEADER_WORDS):
+            none = weak = True
+        stack.append((tag, f"{above}/{tag}.{name}" if name else f"{above}/{tag}", main, none, weak))
     flush()
     return found
 

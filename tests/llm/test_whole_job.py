@@ -22,3 +22,17 @@ def test_template_reaches_into_articles(spark):
     found = extracted(spark, *pages)
     assert [found[k] for k in range(6)] == [f"{prose(k, 4)}\n\n{prose(k + 50, 20)}" for k in range(6)]
     assert [found[k] for k in range(6, 12)] == ["one article\n\ncrawled often"] * 5 + ["another"]
+
+
+def test_class_marks_end_at_articles_and_count_as_whole_names():
+    def text(html):
+        return extraction.main_text(html, set())
+
+    for name in ("content-sidebar-wrap", "has-sidebar", "no-sidebar", "layout-with-menu", "sidebar", "banner"):
+        assert text(f"<div class='{name}'><article><p>told</p></article></div>") == "told"
+    for name in ("share-price", "search-results", "related-work", "social-policy", "alert", "notice"):
+        assert text(f"<main><div class='{name}'><p>told</p></div></main>") == "told"
+    for name in ("share", "share-buttons", "ad ad-300", "related-posts", "comments", "cookie-notice"):
+        assert text(f"<main><p>told</p><div class='{name}'><p>not</p></div></main>") == "told"
+    for tag in ("nav", "aside", "form", "div hidden", "div id='comments'"):
+        assert text(f"<p>told</p><{tag}><article class='x'><p>not</p></article></{tag.split()[0]}>") == ""

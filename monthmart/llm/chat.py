@@ -87,30 +87,49 @@ def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     return joined.withColumn("problem", problem).drop("_tool", "required", "types")
 
 
-def ordered(calls: DataFrame, most_turns: int = 64) -> DataFrame:
-    """calls with place, a number after that of every call it refers to, and cyclic for calls that wait for themselves.
+def _paths(edges: DataFrame, lengths: bool) -> DataFrame:
+    """(conv_id, a, b, n): all b that a leads to by edges (conv_id, a, b); n is the length of the longest way, or 1 without lengths.
 
-    A call starts at turn * ROOM + seq and moves behind what it refers to until nothing moves; usual logs need no move. Calls on a
-    cycle would move for ever: a call that moved behind the last turn of its conversation that any call in the log
-    could reach, or that still moves after most_turns, keeps its own turn and is called cyclic.
+    Ways double with each join until nothing is added. With lengths there must be no cycle.
+    """
+    paths = materialize(edges.select("conv_id", "a", "b", F.lit(1).cast("bigint").alias("n")).distinct(), "call-paths")
+    size = None
+    while True:
+        found = tuple(paths.agg(F.count(F.lit(1)), F.sum("n")).first())
+        if found == size:
+            return paths
+        size = found
+        first = paths.select("conv_id", "a", F.col("b").alias("mid"), "n")
+        then = paths.select("conv_id", F.col("a").alias("mid"), "b", F.col("n").alias("m"))
+        n = F.col("n") + F.col("m") if lengths else F.lit(1).cast("bigint")
+        joined = first.join(then, ["conv_id", "mid"]).select("conv_id", "a", "b", n.alias("n"))
+        paths = materialize(paths.union(joined).groupBy("conv_id", "a", "b").agg(F.max("n").alias("n")), "call-paths")
+
+
+def ordered(calls: DataFrame) -> DataFrame:
+    """calls with place, a number after that of every call it refers to, and cyclic for calls on a cycle of references.
+
+    A call starts at turn * ROOM + seq and moves behind what it refers to. A call on a cycle keeps its own turn and is called
+    cyclic; calls that refer to it follow it. Only conversations in which a call refers to a later one are looked at, and
+    their ways of references double with each join, so that chains of any length are followed to their end.
     """
     start = (F.col("turn") * ROOM + F.col("seq")).alias("place")
     state = materialize(calls.select("conv_id", "call_id", "turn", "seq", start).filter(F.col("call_id").isNotNull()), "call-places")
     needs = calls.select("conv_id", "call_id", F.explode(F.map_values("arguments")).alias("v")).filter(F.col("v").startswith("$"))
-    needs = materialize(needs.select("conv_id", "call_id", F.substring("v", F.lit(2), F.length("v")).alias("before")).distinct(), "call-references")
-    late = None
-    for _ in range(most_turns):
-        ahead = state.groupBy("conv_id", F.col("call_id").alias("before")).agg(F.max("place").alias("ahead"))
-        due = needs.join(ahead, ["conv_id", "before"]).groupBy("conv_id", "call_id").agg((F.max("ahead") + 1).alias("due"))
-        moved = state.join(due, ["conv_id", "call_id"], "left").withColumn("moved", F.coalesce(F.col("due") > F.col("place"), F.lit(False)))
-        late = materialize(moved.withColumn("place", F.greatest("place", "due")).drop("due"), "call-places")
-        if late.filter("moved").isEmpty():
-            break
-        state = late.drop("moved")
-    cyclic = F.col("moved")
-    return late.select(
-        "conv_id", "call_id", "turn", "seq", F.when(cyclic, F.col("turn") * ROOM + F.col("seq")).otherwise(F.col("place")).alias("place"),
-        cyclic.alias("cyclic"),
+    needs = needs.select("conv_id", F.col("call_id").alias("a"), F.substring("v", F.lit(2), F.length("v")).alias("b")).distinct()
+    ahead = state.groupBy("conv_id", F.col("call_id").alias("b")).agg(F.max("place").alias("ahead"))
+    own = state.groupBy("conv_id", F.col("call_id").alias("a")).agg(F.min("place").alias("own"))
+    edges = materialize(needs.join(ahead, ["conv_id", "b"]).join(own, ["conv_id", "a"]), "call-references")
+    late = edges.filter("ahead >= own").select("conv_id").distinct()
+    if late.isEmpty():
+        return state.withColumn("cyclic", F.lit(False))
+    edges = materialize(edges.join(late, "conv_id", "left_semi"), "call-references")
+    cycles = _paths(edges, lengths=False).filter("a = b").select("conv_id", "a")
+    ways = _paths(edges.join(cycles, ["conv_id", "a"], "left_anti"), lengths=True).join(ahead, ["conv_id", "b"])
+    due = ways.groupBy("conv_id", F.col("a").alias("call_id")).agg(F.max(F.col("ahead") + F.col("n")).alias("due"))
+    cyclic = cycles.select("conv_id", F.col("a").alias("call_id"), F.lit(True).alias("cyclic"))
+    return state.join(due, ["conv_id", "call_id"], "left").join(cyclic, ["conv_id", "call_id"], "left").select(
+        "conv_id", "call_id", "turn", "seq", F.greatest("place", "due").alias("place"), F.coalesce("cyclic", F.lit(False)).alias("cyclic")
     )
 
 

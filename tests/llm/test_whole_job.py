@@ -1,8 +1,11 @@
 """Cases in which an operator once did less than its whole job."""
 
-from monthmart.llm import extraction
+import re
 
-from test_text_operators import prose
+from monthmart.llm import chat, decontamination, extraction, licenses, neardup, toxicity
+from monthmart.llm.license_rules import rules
+
+from test_text_operators import call, chats, docs, plain_classes, prose
 
 
 # --- extraction -------------------------------------------------------------------------
@@ -36,3 +39,14 @@ def test_class_marks_end_at_articles_and_count_as_whole_names():
         assert text(f"<main><p>told</p><div class='{name}'><p>not</p></div></main>") == "told"
     for tag in ("nav", "aside", "form", "div hidden", "div id='comments'"):
         assert text(f"<p>told</p><{tag}><article class='x'><p>not</p></article></{tag.split()[0]}>") == ""
+
+
+# --- chats ------------------------------------------------------------------------------
+
+def test_long_chains_are_ordered_and_only_cycles_are_cyclic(spark):
+    rows = [(1, k, "assistant", call((f"c{k}", "find", {"q": f"$c{k + 1}"} if k < 99 else {"q": "x"}))) for k in range(100)]
+    rows += [(2, 0, "assistant", call(("m", "find", {"q": "$n"}))), (2, 1, "assistant", call(("n", "find", {"q": "$m"}))),
+             (2, 2, "assistant", call(("o", "find", {"q": "$m"}))), (2, 3, "assistant", call(("s", "find", {"q": "$s"})))]
+    found = chats(spark, *rows)
+    assert [(r.turn, r.problem) for r in found if r.conv_id == 1] == [(k, None) for k in range(99, -1, -1)]
+    assert [(r.turn, r.problem) for r in found if r.conv_id == 2] == [(0, "cycle"), (1, "cycle"), (2, None), (3, "cycle")]

@@ -44,7 +44,8 @@ SECOND_PERSON = frozenset((
 ).split())
 # Signs that stand for letters.
 LOOKALIKE = str.maketrans("013457@$!", "oieastasi")
-_ODD = re.compile(r"[A-Za-z0-9@$][A-Za-z0-9@$!*._\-]*[A-Za-z0-9@$]")
+_ODD = re.compile(r"[A-Za-z0-9@$*][A-Za-z0-9@$!*._\-]*[A-Za-z0-9@$*]")
+_ODD_SIGNS = re.compile(r"[0-9@$!*._\-]")
 _SHOUT = re.compile(r"[A-Z]{3,}")
 
 FEATURES = (
@@ -54,6 +55,20 @@ FEATURES = (
 )
 
 
+def _is_hidden(found: str, learned: dict[str, float]) -> bool:
+    """True for a lexicon word in an obfuscated spelling: signs for letters, signs between letters, * for any letter."""
+    lower = found.lower()
+    if found.isalpha() or lower.strip("*") in INSULTS:
+        return False
+    bare = re.sub(r"[._\-]", "", lower.translate(LOOKALIKE))
+    if "*" not in bare:
+        return bare in INSULTS or bare in learned
+    if len(bare) - bare.count("*") < 2 or not any(c.isalpha() for c in lower):
+        return False
+    like = re.compile(re.escape(bare).replace(r"\*", "."))
+    return any(len(w) == len(bare) and like.fullmatch(w) for known in (INSULTS, learned) for w in known)
+
+
 def features(text: str, learned: dict[str, float]) -> list[float]:
     """FEATURES of a text; all 0 for one without words or characters."""
     words = words_of(text.lower())
@@ -75,12 +90,8 @@ def features(text: str, learned: dict[str, float]) -> list[float]:
             before, after = at[np.maximum(k - 1, 0)], at[np.minimum(k, len(at) - 1)]
             near = int((np.minimum(abs(hits - before), abs(after - hits)) <= NEAR).sum())
     hidden = 0
-    if digits or odd:
-        for found in _ODD.findall(text):
-            if not found.isalpha():
-                plain = found.lower().translate(LOOKALIKE)
-                bare = re.sub(r"[._\-]", "", plain)
-                hidden += (bare in INSULTS or bare in learned) and found.lower() not in INSULTS
+    if digits or odd or _ODD_SIGNS.search(text):
+        hidden = sum(_is_hidden(found, learned) for found in _ODD.findall(text))
     shouts = sum(map(len, _SHOUT.findall(text))) if capitals > 2 else 0
     return [
         math.log1p(len(words)), insults / n, math.log1p(insults), len(weights) / n, math.log1p(len(weights)),

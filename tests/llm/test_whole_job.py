@@ -50,3 +50,15 @@ def test_long_chains_are_ordered_and_only_cycles_are_cyclic(spark):
     found = chats(spark, *rows)
     assert [(r.turn, r.problem) for r in found if r.conv_id == 1] == [(k, None) for k in range(99, -1, -1)]
     assert [(r.turn, r.problem) for r in found if r.conv_id == 2] == [(0, "cycle"), (1, "cycle"), (2, None), (3, "cycle")]
+
+
+# --- toxicity ---------------------------------------------------------------------------
+
+def test_every_obfuscated_spelling_counts():
+    at = toxicity.FEATURES.index("obfuscated_rate")
+    for text in ("i.d.i.o.t", "s-t-u-p-i-d", "mo_ron", "id!ot", "st*pid", "1d10t", "$tup1d", "cr*tin", "*diot", "st**id"):
+        assert toxicity.features(text, {})[at] > 0, text
+        assert toxicity.features(f"{text} 7", {})[at] > 0, text
+    assert toxicity.features("zo*gh", {"zorgh": 3.0})[at] > 0
+    for text in ("idiot", "idiot!", "*idiot*", "*****", "2*3", "well-known", "st*ne"):
+        assert toxicity.features(text, {})[at] == 0, text

@@ -120,8 +120,9 @@ TITLES = (
     ("ofl", "font", "(?:sil )?open font licen[cs]e"),
     ("odbl", "database", "open database licen[cs]e"),
     ("odc-by", "commons", "open data commons attribution licen[cs]e"),
-    ("pddl", "commons", "public domain dedication and licen[cs]e"),
-    ("psf", "python", "psf licen[cs]e|python software foundation licen[cs]e"),
+    ("pddl", "dedication", "public domain dedication and licen[cs]e"),
+    ("psf", "psf", "psf licen[cs]e"),
+    ("psf", "python", "python software foundation licen[cs]e"),
     ("zlib", "zlib", "zlib(?: libpng)? licen[cs]e"),
     ("libpng", "libpng", "libpng licen[cs]e"),
     ("openssl", "openssl", "openssl licen[cs]e"),
@@ -134,7 +135,8 @@ TITLES = (
     ("unicode", "unicode", "unicode (?:licen[cs]e agreement|terms of use)"),
     ("unlicense", "unlicense", "(?:the )?unlicense"),
     ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
-    ("wtfpl", "wtfpl", "wtfpl|do what the fuck you want to public licen[cs]e"),
+    ("wtfpl", "wtfpl", "wtfpl"),
+    ("wtfpl", "fuck", "do what the fuck you want to public licen[cs]e"),
     ("beerware", "beer", "beer ?ware licen[cs]e"),
     ("sspl", "server", "server side public licen[cs]e"),
     ("busl", "business", "business source licen[cs]e"),

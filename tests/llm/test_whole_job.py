@@ -62,3 +62,38 @@ def test_every_obfuscated_spelling_counts():
     assert toxicity.features("zo*gh", {"zorgh": 3.0})[at] > 0
     for text in ("idiot", "idiot!", "*idiot*", "*****", "2*3", "well-known", "st*ne"):
         assert toxicity.features(text, {})[at] == 0, text
+
+
+# --- licences ---------------------------------------------------------------------------
+
+def shortest_texts(parsed):
+    """A text of each alternative of a parsed pattern, optional parts left out."""
+    found = [""]
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            own = [chr(value)]
+        elif name == "IN":
+            own = [chr(value[0][1] if str(value[0][0]) == "LITERAL" else value[0][1][0])]
+        elif name == "BRANCH":
+            own = [t for branch in value[1] for t in shortest_texts(branch)]
+        elif name == "SUBPATTERN":
+            own = shortest_texts(value[3])
+        elif name.endswith("REPEAT"):
+            own = [t * value[0] for t in shortest_texts(value[2])]
+        else:
+            assert name in ("ASSERT", "ASSERT_NOT"), name
+            own = [""]
+        found = [a + b for a in found for b in own]
+    return found
+
+
+def test_every_alternative_of_a_rule_holds_its_keyword():
+    for label, _, keyword, pattern in rules():
+        assert all(keyword in t for t in shortest_texts(re._parser.parse(pattern))), (label, keyword, pattern)
+
+
+def test_titles_without_their_short_names(spark):
+    texts = ["Do What The Fuck You Want To Public License", "the PSF license", "Public Domain Dedication and License"]
+    found = {r.doc_id: r.labels for r in licenses.scan(docs(spark, *texts)).collect()}
+    assert found[0] == "wtfpl" and found[1] == "psf" and "pddl" in found[2].split(",")

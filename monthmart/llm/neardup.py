@@ -1,7 +1,7 @@
 """Near duplicates: ProbMinHash signatures, banding, verification, classes.
 
-A document is a weighted set of its shingles (runs of five words; a shorter text is one shingle).
-The weight of a shingle is 1 + ln(its count). ProbMinHash lets each element send points of a Poisson
+A document is the set of its different shingles (runs of five words; a shorter text is one shingle), each of weight 1, as
+links are told by the Jaccard similarity of sets. ProbMinHash lets each element send points of a Poisson
 process of its weight to random components; a component keeps the element of its earliest point, and
 an element stops once its next point would come later than every component's. Two documents agree in a component
 with the probability of their probability Jaccard similarity, which for equal weights is the Jaccard similarity.
@@ -90,9 +90,9 @@ def prob_minhash(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, set
 def _sketches(batches: Iterator[pa.RecordBatch], words: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     hashes, size = _WordHashes(), bands * rows
     for batch in batches:
-        kept = [np.unique(shingle_hashes(t, hashes, words), return_counts=True) for t in texts(batch)]
-        count = np.array([len(s) for s, _ in kept])
-        nodes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s, _ in kept]
+        kept = [np.unique(shingle_hashes(t, hashes, words)) for t in texts(batch)]
+        count = np.array([len(s) for s in kept], np.int64)
+        nodes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in kept]
         band_of: list = [None] * len(kept)
         sketch_of: list = [None] * len(kept)
         # Up to three shingles reach 0.8 with an equal set only. Sets of like size go together, as small ones take more turns.
@@ -102,9 +102,9 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int, bands: int, rows: i
             ends = np.cumsum(count[order[start:]])
             group = order[start : start + max(1, int(np.searchsorted(ends, ELEMENTS_PER_STEP)))]
             start += len(group)
+            element = np.concatenate([kept[i] for i in group])
             signature = prob_minhash(
-                np.repeat(np.arange(len(group)), count[group]), np.concatenate([kept[i][0] for i in group]),
-                1 + np.log(np.concatenate([kept[i][1] for i in group])), len(group), size,
+                np.repeat(np.arange(len(group)), count[group]), element, np.ones(len(element)), len(group), size
             )
             mixed = mix(signature)
             parts = signature.reshape(len(group), bands, rows)

@@ -97,3 +97,21 @@ def test_titles_without_their_short_names(spark):
     texts = ["Do What The Fuck You Want To Public License", "the PSF license", "Public Domain Dedication and License"]
     found = {r.doc_id: r.labels for r in licenses.scan(docs(spark, *texts)).collect()}
     assert found[0] == "wtfpl" and found[1] == "psf" and "pddl" in found[2].split(",")
+
+
+
+# --- near duplicates --------------------------------------------------------------------
+
+def test_repeat_counts_do_not_part_near_duplicates(spark):
+    texts = []
+    for k in range(6):
+        line = prose(300 + k, 104).split()
+        more = prose(400 + k, 10).split()
+        # 24 words again and again: 20 of the shared shingles often, few new ones.
+        texts += [" ".join(line), " ".join(line + more + line[:24] * 50)]
+    found = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs(spark, *texts)).collect()}
+    assert found == dict(enumerate(plain_classes(texts)))
+    assert all(found[k] == found[k + 1] for k in range(0, 12, 2))
+    # Equal sets have one sketch, whatever the counts.
+    rows = neardup.sketches(docs(spark, "a b c d e f g h i a b c d e f g h i", "a b c d e f g h i " * 9)).collect()
+    assert rows[0].node == rows[1].node and rows[0].bands == rows[1].bands

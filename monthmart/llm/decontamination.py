@@ -2,9 +2,8 @@
 
 Words are put in canonical form: numbers, names and units become typed placeholders, so that an item
 whose numbers or names were changed still has the windows of the original. Windows of the items are
-hash-joined with windows of the documents. An item takes windows at every word and a document at
-every ``stride``-th, which is enough to meet every run of window + stride - 1 shared words. Where a document meets an
-item, all its windows are compared: the share of the item that it covers decides, and its slots are
+hash-joined with windows of the documents, both at every word; an item shorter than a window is one window of its own
+length. Where a document meets an item, the share of the item that it covers decides, and its slots are
 checked: a value of the item (a number, say) must stand for one value in the document.
 
 Everything is DataFrame functions.
@@ -19,7 +18,7 @@ from ..sources import materialize
 from .lexicon import NAMES, NUMBERS, UNITS
 from .text import fold, let, matching_rows, row_keys, word_array
 
-WINDOW, STRIDE = 6, 4
+WINDOW = 6
 LEAST_SHARE = 0.5
 NUMBER_SLOT, NAME_SLOT, UNIT_SLOT = "<num>", "<name>", "<unit>"
 # A capital word within a sentence counts as a name; a character of the private area, put before it, carries that over.
@@ -49,26 +48,26 @@ def canonical(word: Column) -> Column:
     )
 
 
-def _starts(words: Column, window: int, stride: int) -> Column:
+def _starts(words: Column, width: Column) -> Column:
     none = F.array().cast("array<int>")
-    return F.when(F.size(words) >= window, F.sequence(F.lit(0), F.size(words) - window, F.lit(stride))).otherwise(none)
+    return F.when(F.size(words) >= width, F.sequence(F.lit(0), F.size(words) - width, F.lit(1))).otherwise(none)
 
 
-def _hashes(words: Column, window: int, stride: int) -> Column:
-    """Hash of the canonical words of a window at every stride-th word."""
-    return let(F.transform(words, canonical), lambda form: F.transform(
-        _starts(form, window, stride), lambda at: F.xxhash64(F.slice(form, at + 1, window))
-    ))
+def _hashes(words: Column, widths: list[Column]) -> Column:
+    """Hash of the canonical words of a window of each width at every word."""
+    return let(F.transform(words, canonical), lambda form: F.concat(*[F.transform(
+        _starts(form, width), lambda at: F.xxhash64(F.slice(form, at + 1, width))
+    ) for width in widths]))
 
 
-def _slots(frame: DataFrame, window: int, value: str) -> DataFrame:
+def _slots(frame: DataFrame, widths: list[Column], value: str) -> DataFrame:
     """All windows of frame (..., words): the hash of each, and the words that are placeholders in it, in order."""
 
     def windows(words: Column) -> Column:
-        hashes = _hashes(words, window, 1)
-        held = F.transform(_starts(words, window, 1), lambda at: F.filter(
-            F.slice(words, at + 1, window), lambda w: canonical(w) != w
-        ))
+        hashes = _hashes(words, widths)
+        held = F.concat(*[F.transform(_starts(words, width), lambda at: F.filter(
+            F.slice(words, at + 1, width), lambda w: canonical(w) != w
+        )) for width in widths])
         return F.arrays_zip(hashes.alias("window_hash"), held.alias(value))
 
     keys = [c for c in frame.columns if c != "words"]
@@ -77,7 +76,7 @@ def _slots(frame: DataFrame, window: int, value: str) -> DataFrame:
 
 
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, stride: int = STRIDE, least_share: float = LEAST_SHARE
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE
 ) -> DataFrame:
     """One row per document and item it holds: doc_id, text_hash, item_id, item_windows, found_windows, share,
     slots, consistent.
@@ -86,29 +85,30 @@ def leaks(
     windows that the document has, at least least_share. slots counts the different placeholder values of the item
     in them, consistent says that each stands for one value in the document, as it does in a copy and in a question
     with new parameters; pairs that are not consistent are reported only where their plain words cover the share.
-    Null and empty texts hold nothing. Items of fewer than ``window`` words are too short to be
-    recognised and give no rows. Repeated rows of docs give one pair, repeated items one pair for each item_id. A null
-    doc_id or item_id stands for itself. Every item that a document holds as a whole is met: the stride
-    is lowered to what the shortest item allows.
+    Null and empty texts hold nothing. An item of fewer than ``window`` words is one window; if all its words are
+    placeholders, it is met by its own values only. Repeated rows of docs give one pair, repeated items one pair for each item_id. A null
+    doc_id or item_id stands for itself.
     """
+    words, width = F.col("words"), F.least(F.size("words"), F.lit(window))
     items = materialize(
-        benchmark.select("item_id", marked_words(F.col("text")).alias("words")).filter(F.size("words") >= window).distinct(),
+        benchmark.select("item_id", marked_words(F.col("text")).alias("words")).filter(F.size("words") > 0).distinct()
+        .withColumn("bare", (F.size(words) < window) & F.forall(words, lambda w: canonical(w) != w)),
         "items",
     )
-    shortest = items.agg(F.min(F.size("words"))).first()[0] or window
-    stride = max(1, min(stride, shortest - window + 1))
-    item_windows = materialize(_slots(items, window, "item_values").distinct(), "item-windows")
+    # As many as the window has words, at most.
+    widths = [F.lit(r["width"]) for r in items.select(width.alias("width")).distinct().orderBy("width").collect()] or [F.lit(window)]
+    item_windows = materialize(_slots(items, [width], "item_values").distinct(), "item-windows")
     anchors = materialize(item_windows.select("window_hash").distinct(), "item-window-hashes")
 
     keyed = row_keys(docs)
-    hashes = let(marked_words(F.col("text")), lambda words: _hashes(words, window, stride))
+    hashes = let(marked_words(F.col("text")), lambda words: _hashes(words, widths))
     met = keyed.select("doc_id", "text_hash", F.explode(hashes).alias("window_hash")).join(anchors, "window_hash", "left_semi")
     held = materialize(met.select("doc_id", "text_hash").distinct(), "documents-that-meet-items")
     again = matching_rows(docs.select("doc_id", "text"), held, "left_semi", few=True).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
         marked_words(F.col("text")).alias("words"),
     )
-    doc_windows = _slots(again, window, "doc_values")
+    doc_windows = _slots(again, widths, "doc_values")
 
     pairs = ["doc_id", "text_hash", "item_id"]
     # A window that an item or a document repeats is taken once with the same values.
@@ -126,7 +126,7 @@ def leaks(
     slots = values.distinct().groupBy(*pairs).agg(
         F.count_distinct("i").alias("slots"), (F.count(F.lit(1)) == F.count_distinct("i")).alias("consistent")
     )
-    sizes = item_windows.groupBy("item_id").agg(F.count_distinct("window_hash").alias("item_windows"))
+    sizes = item_windows.groupBy("item_id").agg(F.count_distinct("window_hash").alias("item_windows"), F.max("bare").alias("bare"))
     item = F.coalesce(F.col("item_id").cast("string"), F.lit(""))
     found, slots, sizes = (f.withColumn("_item", item).withColumn("_no_item", F.col("item_id").isNull()) for f in (found, slots, sizes))
     slots = slots.select(*[F.col(c).alias(f"_s_{c}") for c in pairs], "slots", "consistent")
@@ -138,7 +138,7 @@ def leaks(
     consistent = F.coalesce("consistent", F.lit(True))
     share = F.col("found_windows") / F.col("item_windows")
     plain = F.col("plain_windows") / F.col("item_windows")
-    return joined.filter(F.when(consistent, share).otherwise(plain) >= least_share).select(
+    return joined.filter(F.when(consistent & ~F.col("bare"), share).otherwise(plain) >= least_share).select(
         *pairs, "item_windows", "found_windows", share.alias("share"),
         F.coalesce("slots", F.lit(0)).cast("bigint").alias("slots"), consistent.alias("consistent"),
     )

@@ -115,3 +115,16 @@ def test_repeat_counts_do_not_part_near_duplicates(spark):
     # Equal sets have one sketch, whatever the counts.
     rows = neardup.sketches(docs(spark, "a b c d e f g h i a b c d e f g h i", "a b c d e f g h i " * 9)).collect()
     assert rows[0].node == rows[1].node and rows[0].bands == rows[1].bands
+
+
+# --- decontamination --------------------------------------------------------------------
+
+def test_every_offset_and_short_items_are_met(spark):
+    item, nine = prose(500, 15).split(), prose(501, 9).split()
+    items = [(1, " ".join(item)), (2, " ".join(nine)), (3, "zorgel mepsil kunta"), (4, "42")]
+    inserted, changed = [*item[:8], "zzz", *item[8:]], [*nine[:8], "zzz"]
+    texts = [" ".join(["w"] * k + own + ["w"] * 9) for own in (inserted, changed) for k in range(4)]
+    texts += ["so zorgel mepsil kunta it is", "it is 42 then", "it is 43 then", "zorgel mepsil"]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r.share for r in decontamination.leaks(docs(spark, *texts), bench).collect()}
+    assert found == {**{(k, 1): 0.5 for k in range(4)}, **{(k, 2): 0.75 for k in range(4, 8)}, (8, 3): 1.0, (9, 4): 1.0}

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from . import codes
 from .decontamination import LEAST_SHARE, NAME_MARK, WINDOW
 from .lexicon import NAMES, NUMBERS, UNITS
-from .text import BETWEEN
+from .text import BETWEEN, LOWER, UPPER
 
 
 def _in(word: str, listed: list[str]) -> str:
@@ -34,6 +35,34 @@ _WINDOWS = f"""SELECT DISTINCT {{keys}}, array_to_string(c[k:k + {_LAST}], ' ')
     list_transform(list_filter(range(k, k + {WINDOW}), lambda j: c[j] <> w[j]), lambda j: w[j]) AS {{name}}
   FROM ({_SPLIT})"""
 
+
+# --- vector codes: the rounds written out, distances as whole numbers in doubles -----------------------
+
+_PARTS, _ENTRIES, _ROUNDS, _SCALE = codes.PARTS, codes.ENTRIES, codes.ROUNDS, codes.SCALE
+
+
+def _assigned(entries: str) -> str:
+    distance = "list_inner_product(x, x) + list_inner_product(e, e) - 2 * list_inner_product(x, e)"
+    return f"SELECT r, p, x, min({distance}) AS d, arg_min(i, ({distance}) * {_ENTRIES} + i) AS i FROM part JOIN {entries} USING (p) GROUP BY r, p, x"
+
+
+def _moved(assigned: str, entries: str) -> str:
+    return f"""SELECT p, i, coalesce(m, e) AS e FROM {entries} LEFT JOIN (
+    SELECT p, i, list(floor(s / n) ORDER BY k) AS m FROM (
+      SELECT p, i, k, sum(y) AS s, count(*) AS n FROM (
+        SELECT p, i, unnest(x) AS y, generate_subscripts(x, 1) AS k FROM {assigned}) GROUP BY ALL) GROUP BY p, i) USING (p, i)"""
+
+
+_VECTOR_ROUNDS = "".join(
+    f"  a{t} AS MATERIALIZED ({_assigned(f'e{t}')}),\n  e{t + 1} AS MATERIALIZED ({_moved(f'a{t}', f'e{t}')}),\n" for t in range(_ROUNDS)
+)
+
+# --- spelling -------------------------------------------------------------------------------------------
+
+# One byte of the checksum: eight shifts, each of which folds the polynomial in where a one falls out.
+_CRC = """xor(list_reduce(list_concat([4294967295], bytes), lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
 ORACLE = {
     "op6_chat": """
 WITH m AS (SELECT conv_id, turn * 4 AS turn, role, text, CAST(NULL AS BIGINT) AS own FROM conversations WHERE role IS NULL OR role <> 'assistant'
@@ -68,4 +97,40 @@ SELECT doc_id, item_id, item_windows, found_windows, CAST(found_windows AS DOUBL
   coalesce(slots, 0) AS slots, coalesce(consistent, true) AS consistent
 FROM found JOIN sizes USING (item_id) LEFT JOIN slots USING (doc_id, text, item_id)
 WHERE CASE WHEN coalesce(consistent, true) THEN found_windows ELSE plain END >= {LEAST_SHARE} * item_windows""",
+    "op11_vector_codes": f"""
+WITH kept AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r,
+    list_transform(embedding, lambda y: floor({_SCALE} * CAST(y AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+  part AS MATERIALIZED (SELECT r, p, v[p * len(v) // {_PARTS} + 1:(p + 1) * len(v) // {_PARTS}] AS x
+    FROM kept, range({_PARTS}) AS t(p)),
+  e0 AS MATERIALIZED (SELECT p, r - 1 AS i, x AS e FROM part WHERE r <= {_ENTRIES}),
+{_VECTOR_ROUNDS}  last AS MATERIALIZED ({_assigned(f'e{_ROUNDS}')}),
+  coded AS (SELECT r, string_agg(printf('%02x', i), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM last GROUP BY r),
+  books AS (SELECT sha256(string_agg(array_to_string(list_transform(e, lambda y: CAST(CAST(y AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY p, i)) AS b
+    FROM e{_ROUNDS})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, b AS codebooks_sha256
+FROM kept JOIN coded USING (r), books""",
+    "op13_spelling": f"""
+WITH RECURSIVE runs AS MATERIALIZED (SELECT doc_id, w, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]+')) AS w FROM documents) GROUP BY ALL),
+  summed AS MATERIALIZED (SELECT w, n, {_CRC} AS h FROM (
+    SELECT w, n, list_transform(range(1, octet_length(encode(key)) + 1), lambda j: CAST('0x' || substr(hex(encode(key)), 2 * j - 1, 2) AS BIGINT)) AS bytes
+    FROM (SELECT w, n, doc_id || ':' || w AS key FROM runs))),
+  words AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, CAST(h % length(w) AS INT)) || substr(w, CAST(h % length(w) AS INT) + 2) ELSE w END AS word, n FROM summed)
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+  cut AS MATERIALIZED (SELECT word, n, j, substr(word, 1, j - 1) || substr(word, j + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS j FROM words)),
+  near AS MATERIALIZED (
+    SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.j = b.j AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+  best AS (SELECT word, count(*) AS n_near, max(n) AS most FROM near GROUP BY word),
+  formed AS MATERIALIZED (SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * words.n THEN most END AS form_n,
+      (SELECT min(other) FROM near WHERE near.word = words.word AND near.n = most AND most >= 2 * words.n) AS form
+    FROM words LEFT JOIN best ON best.word = words.word),
+  chain AS (SELECT word, form AS tip FROM formed WHERE form IS NOT NULL
+    UNION ALL SELECT chain.word, formed.form FROM chain JOIN formed ON formed.word = chain.tip WHERE formed.form IS NOT NULL)
+SELECT formed.word, form, coalesce(root, formed.word) AS root, n, n_near, form_n FROM formed LEFT JOIN (
+  SELECT word, tip AS root FROM chain WHERE tip IN (SELECT word FROM formed WHERE form IS NULL)) r ON r.word = formed.word""",
 }

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, extraction, licenses, nearest, neardup, packing, quality, sharding, toxicity
+from ..sources import materialize
+from . import (
+    bpe, chat, codes, decontamination, extraction, licenses, nearest, neardup, packing, quality, sharding, spelling, toxicity,
+)
 from .oracle import ORACLE
 
 
@@ -96,6 +101,51 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "item_windows", "found_windows", "share", "slots", "consistent")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(read(spark, sf_dir, "embeddings"))
+
+
+def vector_codes(vectors: DataFrame) -> DataFrame:
+    found = codes.compress(vectors)
+    if found is None:
+        schema = "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string"
+        return vectors.sparkSession.createDataFrame([], schema)
+    coded = materialize(found.codes, "vector-codes")
+    by_label = coded.groupBy(F.col("label").alias("_label")).agg(F.sum("error").alias("label_error"))
+    entries = hashlib.sha256(",".join(map(str, found.codebooks.ravel().tolist())).encode()).hexdigest()
+    return coded.join(by_label, F.col("label").eqNullSafe(F.col("_label"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(entries).alias("codebooks_sha256")
+    )
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe(read(spark, sf_dir, "documents"))
+
+
+def byte_bpe(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def one_deleted(doc_id: Column, run: Column) -> Column:
+    """The run without one character if 97 divides the checksum of the document's id and the run, which also says which one."""
+    checksum = F.crc32(F.concat(doc_id.cast("string"), F.lit(":"), run).cast("binary"))
+    at = F.pmod(checksum, F.char_length(run)).cast("int")
+    rest = F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.char_length(run)))
+    return F.when(checksum % 97 == 0, rest).otherwise(run)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(read(spark, sf_dir, "documents"), one_deleted))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_probminhash": op2_probminhash,
@@ -107,5 +157,8 @@ QUERIES = {
     "op8_nearest": op8_nearest,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_spelling": op13_spelling,
 }
 

@@ -315,6 +315,15 @@ _SELECTS = {
     "workbook_long": "SELECT * FROM longrows",
     "cache_incremental": """SELECT arquivo_origem, count(*) AS linhas, ano < 1999 AS do_cache FROM longrows
       GROUP BY arquivo_origem, ano""",
+    "cache_choice": """SELECT * FROM (WITH f AS (SELECT arquivo, servico = 'SCM' AS pendente, (ano - 1990) * 365 + length(servico) * 7
+          + ascii(servico) + ascii(servico[2]) AS t FROM sheets
+        UNION ALL SELECT DISTINCT servico || '0000.ods', true, 0 FROM sheets),
+      p AS (SELECT t, lag(t) OVER (ORDER BY t) AS prev FROM (SELECT DISTINCT t FROM f WHERE pendente)),
+      g AS (SELECT *, (SELECT count(*) FROM f WHERE NOT pendente AND f.t BETWEEN prev AND p.t) AS held FROM p),
+      cut AS (SELECT t, prev FROM g WHERE held > 0 ORDER BY held DESC, t LIMIT 2)
+      SELECT arquivo, pendente, t BETWEEN (SELECT min(t) FROM p) AND (SELECT max(t) FROM p)
+        AND NOT EXISTS (SELECT 1 FROM cut WHERE f.t > cut.prev AND f.t < cut.t) AS aberto FROM f)""",
+    "cache_merge": """SELECT arquivo_origem, count(*) AS linhas, CAST(1 AS BIGINT) AS lotes FROM longrows GROUP BY arquivo_origem""",
     "staging_load": f"""SELECT ano, mes, ano_mes, servico, grupo_economico, variavel, {num('valor')} AS valor,
         arquivo_origem FROM staging""",
     "table_inventory": """SELECT 'staging_ida' AS tabela, count(*) AS n FROM staging

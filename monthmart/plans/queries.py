@@ -24,7 +24,7 @@ from ..sources import (
     resource_catalog, save_table, save_view, scratch_path, sheet_rows,
 )
 from . import fixture
-from .ingest import cached_long_rows
+from .ingest import cached_long_rows, files_to_open, merge_runs
 from .mart import ConstraintError, Mart, build_mart, open_mart
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +139,33 @@ def cache_incremental(spark, sf_dir):
     )
 
 
+def cache_choice(spark, sf_dir):
+    """Which files a load opens if those of one service and the broken ones wait, and three ranges of times may be pushed."""
+    year = F.col("ano_arquivo")
+    days = F.when(year > 0, (year - 1990) * 365) + F.octet_length("servico") * 7 + F.ascii("servico") + F.ascii(F.substring("servico", 2, 1))
+    files = file_metadata(_files(spark, sf_dir)).select(
+        "arquivo", (F.lit("1990-01-01").cast("timestamp") + F.make_dt_interval(F.coalesce(days, F.lit(0)))).alias("modificationTime"),
+        ((F.col("servico") == "SCM") | (year == 0)).alias("pendente"),
+    )
+    files = materialize(files, "files")
+    opened = files_to_open(files, files.withColumnRenamed("arquivo", "arquivo_origem"), few=0, most=3)
+    return files.join(opened.select("arquivo", F.lit(True).alias("aberto")), "arquivo", "left").select(
+        "arquivo", "pendente", F.coalesce("aberto", F.lit(False)).alias("aberto")
+    )
+
+
+def cache_merge(spark, sf_dir):
+    """Two runs of like size over one cache, merged: the rows of each file and the number of runs they are in."""
+    path, files = scratch_path(spark, "cache"), materialize(_files(spark, sf_dir), "files")
+    cached_long_rows(file_metadata(files).filter("ano_arquivo < 1996").drop("servico", "ano_arquivo"), path)
+    cached_long_rows(files, path)
+    merge_runs(files, path, tier=1_000_000, least=2)
+    rows = cached_long_rows(files, path)
+    per_file = rows.groupBy("arquivo_origem").agg(F.count(F.lit(1)).alias("linhas"))
+    runs = rows.select("lote").distinct().count()
+    return per_file.withColumn("lotes", F.lit(runs).cast("bigint"))
+
+
 def staging_load(spark, sf_dir):
     path = scratch_path(spark, "staging")
     bulk_load(fixture.staging(spark, sf_dir), path, truncate=False)
@@ -628,7 +655,7 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         headings_catalog, title_parse, workbook_signature, load_count, workbook_cells, load_report,
-        workbook_long, cache_incremental, staging_load, table_inventory,
+        workbook_long, cache_incremental, cache_choice, cache_merge, staging_load, table_inventory,
         grid_to_long, number_parse, period_parse, nonneg_filter,
         group_clean, group_alias, report_name_clean,
         dim_time, dim_group, dim_group_keys, dim_service, dim_insert_absent, dim_upsert,

@@ -1,10 +1,12 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 from test_workbook import row, text, write
 
 from monthmart.operators import grid
+from monthmart.plans import ingest
 from monthmart.plans.ingest import cached_long_rows, compact, empty_long, read_folder
 from monthmart.plans.mart import REPORT_VIEWS, ConstraintError, build_mart, delete_old_versions, load_folder, open_mart
 from monthmart.sources import first_existing, inventory, scan_workbooks, with_status
@@ -212,3 +214,101 @@ def test_versions(spark, tmp_path):
     finally:
         for name in names:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def opened_files(spark, folder, path):
+    """Names of the files that a load would open, and the plan that chooses them."""
+    files = scan_workbooks(spark, str(folder))
+    held = ingest.complete_entries(spark, path)
+    listed = files.select(F.col("arquivo").alias("arquivo_origem"), "length", "modificationTime").join(
+        held, list(ingest.VERSION), "left").withColumn("pendente", F.col("lote").isNull())
+    return files, listed.cache()
+
+
+def scanned(df):
+    """Number of files that the scan of a collected plan opened."""
+    def walk(node):
+        yield node
+        children = node.children()
+        for i in range(children.size()):
+            yield from walk(children.apply(i))
+
+    df = df.select("arquivo", F.length("content"))
+    df.collect()
+    found = [n.metrics().apply("numFiles").value() for n in walk(df._jdf.queryExecution().executedPlan()) if n.metrics().contains("numFiles")]
+    return found[-1]
+
+
+def test_an_old_broken_file_opens_no_others(spark, tmp_path):
+    folder, path = tmp_path / "in", str(tmp_path / "cache")
+    folder.mkdir()
+    for k in range(6):
+        book(folder, f"SMP201{k}.ods", "1", month=f"201{k}-01")
+        os.utime(folder / f"SMP201{k}.ods", (1.5e9 + k * 1000,) * 2)
+    (folder / "BAD2009.ods").write_bytes(b"x")
+    os.utime(folder / "BAD2009.ods", (1.4e9,) * 2)
+    cached_long_rows(scan_workbooks(spark, str(folder)), path)
+    book(folder, "SCM2016.ods", "2", month="2016-01")
+    os.utime(folder / "SCM2016.ods", (1.6e9,) * 2)
+    files, listed = opened_files(spark, folder, path)
+    by_name = ingest.files_to_open(files, listed)
+    assert sorted(r.arquivo for r in by_name.collect()) == ["BAD2009.ods", "SCM2016.ods"] and scanned(by_name) == 2
+    by_time = ingest.files_to_open(files, listed, few=0)
+    assert sorted(r.arquivo for r in by_time.collect()) == ["BAD2009.ods", "SCM2016.ods"]
+    assert "Or(And(GreaterThanOrEqual(modificationTime" in by_time._jdf.queryExecution().executedPlan().toString()
+    assert ingest.files_to_open(files, listed, few=0, most=1).count() == 8
+    assert len(found(cached_long_rows(files, path))) == 7
+    assert ingest.files_to_open(files, listed.withColumn("pendente", F.lit(False))) is None
+
+
+def test_ranges_leave_out_the_most_held_files(spark):
+    rng = random.Random(4)
+    for _ in range(4):
+        marks = [(t, rng.random() < 0.4) for t in rng.sample(range(2000), 60)]
+        table = spark.createDataFrame([(t, p) for t, p in marks], "t int, pendente boolean").select(
+            F.timestamp_seconds("t").alias("modificationTime"), "pendente")
+        waiting = sorted(t for t, p in marks if p)
+        for most in (1, 3, 100):
+            ranges = [tuple(int(x.timestamp()) for x in r) for r in ingest.time_ranges(table, most)]
+            assert len(ranges) <= most and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+            inside = [t for t, _ in marks if any(a <= t <= b for a, b in ranges)]
+            assert set(waiting) <= set(inside)
+            gaps = sorted((sum(not p and a < t < b for t, p in marks) for a, b in zip(waiting, waiting[1:])), reverse=True)
+            assert len(inside) == len(waiting) + sum(gaps) - sum(gaps[: most - 1])
+        assert len(ingest.time_ranges(table, 100, steps=3)) <= 3
+    assert ingest.time_ranges(table.filter("NOT pendente")) == []
+
+
+def test_small_runs_merge_in_place(spark, tmp_path):
+    folder, path = tmp_path / "in", str(tmp_path / "cache")
+    folder.mkdir()
+    counts, before = [], None
+    for k in range(9):
+        book(folder, f"SMP20{k:02}.ods", str(k), month=f"20{k:02}-01")
+        if k == 5:
+            book(folder, "SMP2000.ods", "90", "91", month="2000-01")
+        files = scan_workbooks(spark, str(folder))
+        rows = cached_long_rows(files, path)
+        before = before or rows
+        counts.append(ingest.merge_runs(files, path, tier=3))
+    assert max(counts) <= 5 and counts[-1] <= 4
+    expected = sorted([("SMP2000.ods", "m0", 90.0), ("SMP2000.ods", "m1", 91.0)] + [(f"SMP20{k:02}.ods", "m0", float(k)) for k in range(1, 9)])
+    assert found(cached_long_rows(files, path)) == expected
+    # Whoever reads from before goes on reading until the retired runs are deleted.
+    assert found(before) == [("SMP2000.ods", "m0", 0.0)] and ingest.clean_cache(spark, path) == []
+    assert len(ingest.clean_cache(spark, path, hours=0)) >= 6
+    assert found(cached_long_rows(files, path)) == expected
+
+
+def test_tiers():
+    assert ingest.full_tiers({"a": 1, "b": 2, "c": 3, "d": 70}, 3) == []
+    assert ingest.full_tiers({"a": 1, "b": 2, "c": 1, "d": 70, "e": 0}, 3) == [["a", "b", "c", "e"]]
+    # A hundred loads of one size, merged as they come, never leave more than a tier's worth of runs for each power.
+    sizes, most = {}, 0
+    for k in range(100):
+        sizes[f"r{k}"] = 1
+        while full := ingest.full_tiers(sizes, 4):
+            for runs in full:
+                sizes[f"m{k}{runs[0]}"] = sum(sizes.pop(r) for r in runs)
+        most = max(most, len(sizes))
+    assert most <= 3 * 4 and sum(sizes.values()) == 100

@@ -198,16 +198,16 @@ def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
         held = shared.value
         if "token_of" not in held:
             held["token_of"] = {rank: token for token, rank in parse_ranks(held["file"]).items()}
-        token = held["token_of"].__getitem__
-
-        def joined(ids: list[int] | None) -> bytes | None:
-            try:
-                return None if ids is None else b"".join(map(token, ids))
-            except KeyError:
-                return None
-
+        token_of = held["token_of"].get
         for batch in batches:
-            decoded = [joined(ids.as_py()) for ids in batch.column("ids")]
+            ids, decoded = batch.column("ids"), []
+            numbers = ids.values.to_pylist() if ids.values.null_count else ids.values.to_numpy().tolist()
+            tokens, ends = list(map(token_of, numbers)), ids.offsets.to_pylist()
+            for start, end, known in zip(ends, ends[1:], ids.is_valid().to_pylist()):
+                try:
+                    decoded.append(b"".join(tokens[start:end]) if known else None)
+                except TypeError:  # one of them is no token
+                    decoded.append(None)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], [*names, "decoded"])
 
     fields = ", ".join(f"`{n}` {t}" for n, t in encoded.dtypes)

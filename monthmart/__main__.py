@@ -1,6 +1,7 @@
 """python -m monthmart FOLDER PATH: load the workbooks of a folder into the mart at a path.
 
-Exit 0: loaded, all checks passed; 1: no rows; 2: loaded, some checks fail; 3: refused by a constraint, the mart is as before.
+Exit 0: loaded, all checks passed; 1: no rows; 2: loaded, some checks fail; 3: refused by a constraint, 4: another load came first; the mart is as
+before.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .plans.mart import ConstraintError, load_folder
+from .plans.versions import ConcurrentLoadError
 from .sources import inventory
 
 
@@ -26,6 +28,9 @@ def main() -> int:
     except ConstraintError as broken:
         print(f"load refused: {broken}", file=sys.stderr)
         return 3
+    except ConcurrentLoadError as second:
+        print(f"load refused: {second}", file=sys.stderr)
+        return 4
     if report is not None:
         report.filter("status != 'ok' OR sem_grupo > 0").show(1000, truncate=False)
     if mart is None:

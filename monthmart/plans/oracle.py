@@ -380,6 +380,15 @@ _SELECTS = {
     "ELSE total_solicitacoes END AS total_solicitacoes) FROM fato",
     "mart_reload": """SELECT DISTINCT nome_grupo, nome_grupo IN (SELECT nome_grupo FROM w
           WHERE lower(grupo_economico) < 'm' AND ano < 1996) AS antiga, true AS mantida, true AS no_fato FROM w""",
+    "mart_partial_reload": f"""SELECT tabela, CAST(ano AS INTEGER) AS ano, ano <> 1996 AS da_primeira, true AS inalterada, total, taxas
+      FROM (VALUES ('staging_ida'), ('resumo_ida'), ('fato_ida')) t(tabela), (
+        SELECT ano, CAST(sum(round(q * part)) AS DOUBLE) AS total, {num(f"CAST(sum(CAST({num('x * part', 2)} AS DECIMAL(18,2))) AS DOUBLE)")} AS taxas
+        FROM (SELECT ano, ano_mes, nome_grupo, servico, max(q_tot) AS q, CASE ano WHEN 1996 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS part,
+            max(CASE servico WHEN 'STFC' THEN 200.0::DOUBLE ELSE 100.0::DOUBLE END * q_5d / q_tot) AS x
+          FROM w WHERE ano <> 1997 GROUP BY ALL) GROUP BY ano)""",
+    "published_after_reload": """SELECT CAST(fato.ano AS INTEGER) AS ano, count(*) AS n, count(DISTINCT nome_grupo) AS grupos
+      FROM fato GROUP BY fato.ano""",
+    "dq_mergeable": _constraints(),
     "load_guard": """SELECT passo, tabela, n FROM (VALUES ('antes'), ('vazia'), ('recusada')) p(passo), (
         SELECT 'staging' AS tabela, count(*) AS n FROM staging WHERE valor >= 0
         UNION ALL SELECT 'dim_tempo', count(DISTINCT ano_mes) FROM staging

@@ -6,6 +6,7 @@ order tables once per session and folder; the load itself is a query as well.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -17,7 +18,7 @@ from ..constants import MONTHS, STAGING_COLUMNS
 from ..functions import (
     clean_name, clean_report_name, group_name, nonnegative, parse_number, parse_period, quoted, rounded,
 )
-from ..operators import dimensions, fact, grid, pivot, quality, report, variation
+from ..operators import dimensions, fact, grid, pivot, quality, report, statistics, variation
 from ..operators.quality import AcceptedValues, NotNull, Relationship, Unique
 from ..sources import (
     bulk_load, file_metadata, first_existing, headings, inventory, is_workbook, load_summary, materialize,
@@ -319,6 +320,35 @@ def mart_reload(spark, sf_dir):
     )
 
 
+def mart_partial_reload(spark, sf_dir):
+    """Three loads: all rows, then one year with other values and one left out, then the same again. Who wrote what is read last."""
+    path, staging = scratch_path(spark, "mart"), mart(spark, sf_dir).staging
+    first = build_mart(staging, path)
+    again = staging.filter("ano != 1997").withColumn("valor", F.when(F.col("ano") == 1996, F.col("valor") / 2).otherwise(F.col("valor")))
+    second = build_mart(again, path)
+    third = build_mart(again, path)
+    own = {f.carga for f in first.version.folders}
+    folders = [(f.tabela, f.ano, f.carga in own, third.version == second.version) for f in open_mart(spark, path).version.folders if f.by_year]
+    listed = spark.createDataFrame(folders, "tabela string, ano int, da_primeira boolean, inalterada boolean")
+    sums = second.fato.groupBy("ano").agg(F.sum("total_solicitacoes").cast("double").alias("total"), F.sum(variation.RATE).cast("double").alias("taxas"))
+    return plain(listed.join(sums, "ano").withColumn("taxas", six("taxas")))
+
+
+def published_after_reload(spark, sf_dir):
+    """Rows by year of the fact table by its name in the catalogue, named before the load that they come from."""
+    path, staging = scratch_path(spark, "mart"), mart(spark, sf_dir).staging
+    prefix = f"q{uuid.uuid4().hex}_"
+    names = build_mart(staging.filter("ano < 1998"), path).publish(prefix)
+    build_mart(staging, path)
+    try:
+        fact_rows = spark.newSession().table(f"{prefix}fato_ida").groupBy("ano").agg(
+            F.count(F.lit(1)).alias("n"), F.countDistinct("id_grupo").alias("grupos")).collect()
+    finally:
+        for name in names:
+            spark.sql(f"DROP VIEW IF EXISTS {name}")
+    return spark.createDataFrame([tuple(r) for r in fact_rows], "ano int, n bigint, grupos bigint")
+
+
 def load_guard(spark, sf_dir):
     """Rows of a mart before, after a load without rows, and after one that breaks a constraint."""
     path, staging = scratch_path(spark, "mart"), mart(spark, sf_dir).staging
@@ -651,6 +681,16 @@ def dq_constraints(spark, sf_dir):
     return quality.run_checks(_dirty(spark, sf_dir), quality.table_constraints())
 
 
+def dq_mergeable(spark, sf_dir):
+    """The constraints from statistics of parts: each table cut by its rows' hashes into three, merged two and one."""
+    checks, taken = quality.table_constraints(), []
+    for name, df in _dirty(spark, sf_dir).items():
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(3)).cast("int")
+        taken.append(statistics.part_statistics(df, name, checks, part, F.lit("c")))
+    parts = materialize(reduce(DataFrame.unionByName, taken), "statistics")
+    return statistics.checks_from_statistics(parts, checks)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -659,7 +699,7 @@ QUERIES: dict[str, Query] = {
         grid_to_long, number_parse, period_parse, nonneg_filter,
         group_clean, group_alias, report_name_clean,
         dim_time, dim_group, dim_group_keys, dim_service, dim_insert_absent, dim_upsert,
-        mart_load, mart_reload, load_guard, mart_reopened, staging_truncate, workbook_mart, fact_build, fact_reload, column_defaults, load_gate,
+        mart_load, mart_reload, mart_partial_reload, published_after_reload, load_guard, mart_reopened, staging_truncate, workbook_mart, fact_build, fact_reload, column_defaults, load_gate,
         market_mean_groups, market_mean_flat, variation_market, variation_group,
         variation_group_service, variation_group_mixed, variation_month, variation_row_lag,
         variation_flat_market, long_delta, long_delta_row_lag,
@@ -669,6 +709,6 @@ QUERIES: dict[str, Query] = {
         distinct_values, default_selection, default_trend_selection, ranking, best_worst, latest_row,
         market_kpi, market_column_kpi, kpi_counts, delta_long, heat_matrix, tabular_extract,
         distribution,
-        dq_not_null, dq_unique, dq_accepted, dq_relationships, dq_summary, dq_constraints,
+        dq_not_null, dq_unique, dq_accepted, dq_relationships, dq_summary, dq_constraints, dq_mergeable,
     )
 }

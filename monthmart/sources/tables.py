@@ -61,15 +61,42 @@ def save_view(df: DataFrame, name: str) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """New path in the shared folder, deleted when the application ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    files, hadoop_path = _store(spark, path)
+    files.deleteOnExit(hadoop_path)
     return path
 
 
+def _store(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop knows them."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Removes a table's files, if there are any."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    files, hadoop_path = _store(spark, path)
+    files.delete(hadoop_path, True)
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Creates an empty file that is not there yet; False if it is, so that of several writers one gets it."""
+    files, hadoop_path = _store(spark, path)
+    return files.createNewFile(hadoop_path)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, hidden ones left out; none if it is not there."""
+    files, hadoop_path = _store(spark, path)
+    if not files.exists(hadoop_path):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(hadoop_path)]
+    return sorted(n for n in names if not n.startswith((".", "_")))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, so that it means the same in any session."""
+    files, hadoop_path = _store(spark, path)
+    return files.makeQualified(hadoop_path).toString()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -213,7 +213,7 @@ def test_versions(spark, tmp_path):
         assert spark.newSession().table("teste_fato_ida").count() == 3
     finally:
         for name in names:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            spark.sql(f"DROP VIEW IF EXISTS {name}")
 
 
 def opened_files(spark, folder, path):

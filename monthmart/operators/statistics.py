@@ -43,7 +43,7 @@ def _key_columns(checks: Sequence[Check], table: str) -> list[tuple[str, ...]]:
 
 
 def part_statistics(df: DataFrame, table: str, checks: Sequence[Check], year: Column, load: Column) -> DataFrame:
-    """STATISTICS_SCHEMA of the parts (year, load) that df holds of the table: one pass for all row checks, one for each key.
+    """STATISTICS_SCHEMA of the parts (year, load) that df holds of the table: one pass for all row checks, one for all keys.
 
     Keys are counted within the tasks before they are shuffled. Parts without rows have no statistics.
     """
@@ -57,15 +57,19 @@ def part_statistics(df: DataFrame, table: str, checks: Sequence[Check], year: Co
         *[F.struct(F.lit(_row_measure(c)).alias("medida"), F.lit(c.column).alias("coluna"), F.col(f"_f{i}").alias("n"))
           for i, c in enumerate(row_checks)],
     )
+    none = F.lit(None).cast("string")
     found = counted.select(
         F.lit(table).alias("tabela"), F.col("_ano").alias("ano"), F.col("_carga").alias("carga"), F.inline(measures)
-    ).withColumn("chave", F.lit(None).cast("string"))
-    for columns in _key_columns(checks, table):
-        keys = parts.select("_ano", "_carga", _key(columns).alias("chave")).filter(F.col("chave").isNotNull())
-        found = found.unionByName(keys.groupBy("_ano", "_carga", "chave").agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(table).alias("tabela"), F.col("_ano").alias("ano"), F.col("_carga").alias("carga"),
-            F.lit("chave").alias("medida"), F.lit(",".join(columns)).alias("coluna"), "n", "chave"))
-    return found.select("tabela", "ano", "carga", "medida", "coluna", "chave", "n")
+    ).select("tabela", "ano", "carga", "medida", "coluna", none.alias("chave"), "n")
+    keys = _key_columns(checks, table)
+    if not keys:
+        return found
+    listed = F.array(*[F.struct(F.lit(",".join(k)).alias("coluna"), _key(k).alias("chave")) for k in keys])
+    by_key = parts.select("_ano", "_carga", F.inline(listed)).filter("chave IS NOT NULL").groupBy("_ano", "_carga", "coluna", "chave").agg(
+        F.count(F.lit(1)).alias("n"))
+    return found.unionByName(by_key.select(
+        F.lit(table).alias("tabela"), F.col("_ano").alias("ano"), F.col("_carga").alias("carga"), F.lit("chave").alias("medida"),
+        "coluna", "chave", "n"))
 
 
 def merged(statistics: DataFrame) -> DataFrame:
@@ -78,28 +82,25 @@ def checks_from_statistics(statistics: DataFrame, checks: Sequence[Check]) -> Da
 
     The statistics must have been taken with these checks among theirs; a table without any counts as empty.
     """
-    whole = merged(statistics)
-    spark = statistics.sparkSession
+    spark, whole = statistics.sparkSession, merged(statistics)
     listed = spark.createDataFrame([
-        (i, c.name, c.table, c.column, _row_measure(c) if isinstance(c, (NotNull, MaxLength)) else None) for i, c in enumerate(checks)
-    ], "i int, checagem string, tabela string, coluna string, medida string")
-    # Failures of each check, those without any coming in at the end.
-    row_wise = listed.filter("medida IS NOT NULL").join(whole.filter("chave IS NULL"), ["tabela", "coluna", "medida"]).select("i", F.col("n").alias("failures"))
-    keys = whole.filter("medida = 'chave'")
-    failing = row_wise
-    for i, check in enumerate(checks):
-        if isinstance(check, (NotNull, MaxLength)):
-            continue
-        own = keys.filter((F.col("tabela") == check.table) & (F.col("coluna") == check.column))
-        if isinstance(check, Unique):
-            failed = own.filter("n > 1").agg(F.count(F.lit(1)).alias("failures"))
-        elif isinstance(check, AcceptedValues):
-            accepted = F.from_json("chave", "array<string>")[0].isin(*[str(v) for v in check.values])
-            failed = own.filter(~accepted).agg(F.count(F.lit(1)).alias("failures"))
-        else:
-            parent = keys.filter((F.col("tabela") == check.parent) & (F.col("coluna") == check.field)).select("chave")
-            failed = own.join(parent, "chave", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
-        failing = failing.unionByName(failed.select(F.lit(i).alias("i"), F.col("failures").cast("bigint").alias("failures")))
+        (i, c.name, c.table, c.column, _row_measure(c) if isinstance(c, (NotNull, MaxLength)) else "chave",
+         c.parent if isinstance(c, Relationship) else None, c.field if isinstance(c, Relationship) else None)
+        for i, c in enumerate(checks)
+    ], "i int, checagem string, tabela string, coluna string, medida string, pai string, campo string")
+    accepted = spark.createDataFrame(
+        [(i, str(v)) for i, c in enumerate(checks) if isinstance(c, AcceptedValues) for v in c.values], "i int, valor string")
+    # A row for each check and key, or measure, of its columns; the list of checks is a few rows.
+    own = whole.join(F.broadcast(listed), ["tabela", "coluna", "medida"])
+    rows = own.filter("medida != 'chave'").select("i", F.col("n").alias("failures"))
+    twice = own.filter("checagem = 'unique' AND n > 1").select("i", F.lit(1).cast("bigint").alias("failures"))
+    # Keys that a check refers to may appear; so may accepted values. All others fail, by rows or by values.
+    parents = whole.filter("medida = 'chave'").select(F.col("tabela").alias("pai"), F.col("coluna").alias("campo"), "chave").join(
+        F.broadcast(listed.select("i", "pai", "campo")), ["pai", "campo"]).select("i", "chave")
+    allowed = parents.unionByName(accepted.select("i", F.to_json(F.array("valor")).alias("chave")))
+    strange = own.filter(F.col("checagem").isin(Relationship.name, AcceptedValues.name)).join(allowed, ["i", "chave"], "left_anti").select(
+        "i", F.when(F.col("checagem") == Relationship.name, F.col("n")).otherwise(1).alias("failures"))
+    failing = rows.unionByName(twice).unionByName(strange).groupBy("i").agg(F.sum("failures").alias("failures"))
     count = F.coalesce("failures", F.lit(0).cast("bigint"))
     return listed.join(failing, "i", "left").select(
         "checagem", "tabela", "coluna", count.alias("failures"), (count != 0).alias("should_warn"), (count != 0).alias("should_error")

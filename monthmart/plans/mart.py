@@ -211,7 +211,7 @@ def _write_version(rows: DataFrame, path: str, load: str, before: Version | None
         rows = rows.filter(years | F.col("ano").isNull() if None in changed else years)
     if changed is None or changed:
         versions.write_years(dimensions.with_load_time(rows), path, "staging_ida", load)
-    written = sorted_years(spark, path, "staging_ida", load)
+    written = versions.written_years(spark, path, "staging_ida", load)
     if before is None and not written:
         return None
     if before is None:
@@ -228,21 +228,11 @@ def _write_version(rows: DataFrame, path: str, load: str, before: Version | None
     return versions.commit(spark, path, folders + shared, before)
 
 
-def sorted_years(spark: SparkSession, path: str, table: str, load: str) -> list[Folder]:
-    """The folders of a table that a load has written, by looking for them."""
-    found = []
-    for name in versions.list_names(spark, f"{path}/tabelas/{table}"):
-        year = name.removeprefix("ano=")
-        if name.startswith("ano=") and f"carga={load}" in versions.list_names(spark, f"{path}/tabelas/{table}/{name}"):
-            found.append(Folder(table, int(year) if year.lstrip("-").isdigit() else None, load))
-    return found
-
-
 def _write_derived(spark: SparkSession, path: str, load: str, written: list[Folder], old: Mart | None) -> list[Folder]:
     """Summary, dimensions and fact of the staging years that the load has written; the folders of all three."""
     loaded = versions.read_folders(spark, path, written)
     versions.write_years(fact.summarise_staging(loaded), path, "resumo_ida", load)
-    folders = sorted_years(spark, path, "resumo_ida", load)
+    folders = versions.written_years(spark, path, "resumo_ida", load)
     summary = versions.read_folders(spark, path, folders)
     builds = _dimensions(summary, old)
     with ThreadPoolExecutor(len(builds)) as pool:
@@ -250,7 +240,7 @@ def _write_derived(spark: SparkSession, path: str, load: str, written: list[Fold
     folders += [Folder(name, None, load, by_year=False) for name in builds]
     facts = fact.build_fact(summary, tempo, grupo, servico, with_surrogates=True)
     versions.write_years(dimensions.with_load_time(facts), path, "fato_ida", load)
-    fact_folders = sorted_years(spark, path, "fato_ida", load)
+    fact_folders = versions.written_years(spark, path, "fato_ida", load)
     if strange := {f.ano for f in fact_folders} - {f.ano for f in written}:
         raise ConstraintError(f"months of other years: {sorted(map(str, strange))}")
     return folders + fact_folders

@@ -411,6 +411,7 @@ _SELECTS = {
     "variation_group_mixed": f"""SELECT ano_mes, nome_grupo, codigo_servico,
         {num('var_individual')} AS var_individual FROM vgx""",
     "variation_month": f"SELECT ano_mes, nome_grupo, {VARIED} FROM delta",
+    "variation_carried": f"SELECT ano_mes, nome_grupo, {VARIED}, ano_mes[1:4] IN ('1996', '1997') AS recalculado FROM delta",
     "variation_row_lag": f"SELECT ano_mes, nome_grupo, {VARIED} FROM delta_row",
     "variation_flat_market": f"SELECT ano_mes, nome_grupo, {VARIED} FROM delta_flat",
     "long_delta": "SELECT * FROM ld",

@@ -25,6 +25,7 @@ from ..sources import (
     resource_catalog, save_table, save_view, scratch_path, sheet_rows,
 )
 from . import fixture
+from .carried import read_variation, update_variation
 from .ingest import cached_long_rows, files_to_open, merge_runs
 from .mart import ConstraintError, Mart, build_mart, open_mart
 
@@ -471,6 +472,17 @@ def variation_month(spark, sf_dir):
     return _variation(mart(spark, sf_dir).variation())
 
 
+def variation_carried(spark, sf_dir):
+    """The variation kept from load to load: after a load with one year wrong, then the right one. Which years the second computed."""
+    path, kept, staging = scratch_path(spark, "mart"), scratch_path(spark, "variation"), mart(spark, sf_dir).staging
+    wrong = F.when(F.col("ano") == 1996, F.col("valor") / 2).otherwise(F.col("valor"))
+    update_variation(build_mart(staging.withColumn("valor", wrong), path), kept)
+    right = build_mart(staging, path)
+    computed = update_variation(right, kept)
+    found = read_variation(right, kept).withColumn("recalculado", F.col("ano").isin(computed))
+    return plain(found.select("ano_mes", "nome_grupo", six("var_mercado"), six("var_individual"), six("diferenca"), "recalculado"))
+
+
 def variation_row_lag(spark, sf_dir):
     return _variation(mart(spark, sf_dir).variation(mode="row"))
 
@@ -701,7 +713,7 @@ QUERIES: dict[str, Query] = {
         dim_time, dim_group, dim_group_keys, dim_service, dim_insert_absent, dim_upsert,
         mart_load, mart_reload, mart_partial_reload, published_after_reload, load_guard, mart_reopened, staging_truncate, workbook_mart, fact_build, fact_reload, column_defaults, load_gate,
         market_mean_groups, market_mean_flat, variation_market, variation_group,
-        variation_group_service, variation_group_mixed, variation_month, variation_row_lag,
+        variation_group_service, variation_group_mixed, variation_month, variation_carried, variation_row_lag,
         variation_flat_market, long_delta, long_delta_row_lag,
         pivot_view, pivot_view_row_lag, pivot_avg, pivot_avg_row_lag, pivot_unfilled,
         report_source,

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 PIECES, PAIRS, SHORT = 400_000, 400_000, 32
 LONG_TEXT = 1_000_000
 IDS_PER_BATCH = 1_000_000
+DECODED_AT_ONCE = 256
 
 
 def read_ranks(path: str) -> bytes:
@@ -199,16 +200,19 @@ def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
         if "token_of" not in held:
             held["token_of"] = {rank: token for token, rank in parse_ranks(held["file"]).items()}
         token_of = held["token_of"].get
-        for batch in batches:
-            ids, decoded = batch.column("ids"), []
-            numbers = ids.values.to_pylist() if ids.values.null_count else ids.values.to_numpy().tolist()
-            tokens, ends = list(map(token_of, numbers)), ids.offsets.to_pylist()
-            for start, end, known in zip(ends, ends[1:], ids.is_valid().to_pylist()):
-                try:
-                    decoded.append(b"".join(tokens[start:end]) if known else None)
-                except TypeError:  # one of them is no token
-                    decoded.append(None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], [*names, "decoded"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, DECODED_AT_ONCE):
+                batch = whole.slice(start, DECODED_AT_ONCE)
+                ids, decoded, at = batch.column("ids"), [], 0
+                flat = ids.flatten()
+                tokens = list(map(token_of, flat.to_pylist() if flat.null_count else flat.to_numpy().tolist()))
+                for size in ids.value_lengths().to_pylist():
+                    try:
+                        decoded.append(None if size is None else b"".join(tokens[at : at + size]))
+                    except TypeError:  # one of them is no token
+                        decoded.append(None)
+                    at += size or 0
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], [*names, "decoded"])
 
     fields = ", ".join(f"`{n}` {t}" for n, t in encoded.dtypes)
     return encoded.mapInArrow(run, f"{fields}, decoded binary")

@@ -288,8 +288,7 @@ ORDER_MONTH = f"{MONTHS}[month(o_orderdate)]"
 VARIED = f"{num('var_mercado')} AS var_mercado, {num('var_individual')} AS var_individual, {num('diferenca')} AS diferenca"
 IN_YEAR = f""""Mes" LIKE '2000%' AND "Operadora" IN ({text_list(CHOSEN)})"""
 
-_SELECTS = {
-    "headings_catalog": r"""SELECT page_id, CAST(k - 1 AS INTEGER) AS pos,
+_HEADINGS = r"""SELECT page_id, CAST(k - 1 AS INTEGER) AS pos,
         trim(regexp_replace(replace(replace(replace(replace(replace(inner_html, '&quot;', '"'), '&lt;', '<'),
           '&gt;', '>'), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g')) AS titulo, servico, ano,
         servico || ano || '.ods' AS filename
@@ -297,6 +296,13 @@ _SELECTS = {
           url_parts[4] AS servico, TRY_CAST(regexp_extract(url_parts[5], '^[0-9]+') AS INTEGER) AS ano
         FROM (SELECT *, unnest(range(1, len(parts))) AS k FROM (SELECT page_id, string_split(url, '/') AS url_parts,
           string_split(html, '<h1') AS parts FROM pages)))
+      WHERE servico IN ('en', 'fr', 'de', 'es') AND ano IS NOT NULL"""
+
+_SELECTS = {
+    "headings_catalog": _HEADINGS,
+    "headings_marked": f"""SELECT page_id, pos + 1 AS pos, titulo, servico, ano, filename FROM ({_HEADINGS})
+      UNION ALL SELECT page_id, 0, 'O''Neil & co', servico, ano, servico || ano || '.ods' FROM (
+        SELECT page_id, split_part(url, '/', 4) AS servico, TRY_CAST(regexp_extract(split_part(url, '/', 5), '^[0-9]+') AS INTEGER) AS ano FROM pages)
       WHERE servico IN ('en', 'fr', 'de', 'es') AND ano IS NOT NULL""",
     "title_parse": f"""SELECT titulo, count(*) AS n, servico, ano, servico || ano || '.ods' AS filename
       FROM (SELECT {SVC} AS servico, CAST(year(o_orderdate) AS INTEGER) AS ano, CASE o_orderpriority
@@ -324,6 +330,8 @@ _SELECTS = {
       SELECT arquivo, pendente, t BETWEEN (SELECT min(t) FROM p) AND (SELECT max(t) FROM p)
         AND NOT EXISTS (SELECT 1 FROM cut WHERE f.t > cut.prev AND f.t < cut.t) AS aberto FROM f)""",
     "cache_merge": """SELECT arquivo_origem, count(*) AS linhas, CAST(1 AS BIGINT) AS lotes FROM longrows GROUP BY arquivo_origem""",
+    "staging_append_once": """SELECT ano, CASE WHEN ano < 1997 THEN 'early' ELSE 'late' END AS carga, count(*) AS n, 1 AS feitas
+      FROM staging WHERE valor >= 0 GROUP BY ano""",
     "staging_load": f"""SELECT ano, mes, ano_mes, servico, grupo_economico, variavel, {num('valor')} AS valor,
         arquivo_origem FROM staging""",
     "table_inventory": """SELECT 'staging_ida' AS tabela, count(*) AS n FROM staging

@@ -21,8 +21,8 @@ from ..functions import (
 from ..operators import dimensions, fact, grid, pivot, quality, report, statistics, variation
 from ..operators.quality import AcceptedValues, NotNull, Relationship, Unique
 from ..sources import (
-    bulk_load, file_metadata, first_existing, headings, inventory, is_workbook, load_summary, materialize,
-    resource_catalog, save_table, save_view, scratch_path, sheet_rows,
+    append_once, bulk_load, file_metadata, first_existing, headings, inventory, is_workbook, load_summary, loaded_rows,
+    materialize, resource_catalog, save_table, save_view, scratch_path, sheet_rows, write_load,
 )
 from . import fixture
 from .carried import read_variation, update_variation
@@ -82,6 +82,20 @@ def headings_catalog(spark, sf_dir):
     return resource_catalog(found, "url", PAGE_CODE).drop("url")
 
 
+# What a page shows of this is one heading.
+TRAPS = (
+    "<!-- <h1>old</h1> --><title><h1>none</h1></title><script>var a = '<h1>js</h1>';</script>"
+    "<h1 title='a>b' data-x=\"</h1>\">O&apos;Neil<br>&amp; <!-- not --><b>c&#111;</b></h1><style>h1 > b {}</style>"
+)
+
+
+def headings_marked(spark, sf_dir):
+    """The headings of pages that begin with marks that only look like some."""
+    pages = fixture.table(spark, sf_dir, "pages").withColumn("html", F.concat(F.lit(TRAPS), "html"))
+    found = headings(pages, "page_id", "url", level=1)
+    return resource_catalog(found, "url", PAGE_CODE).drop("url")
+
+
 def title_parse(spark, sf_dir):
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     service = F.when(status == "F", "SMP").when(status == "O", "STFC").otherwise("SCM")
@@ -174,6 +188,17 @@ def staging_load(spark, sf_dir):
     return plain(spark.read.parquet(path).select(*STAGING_COLUMNS).withColumn("valor", six("valor")))
 
 
+def staging_append_once(spark, sf_dir):
+    """Two loads by id, of which one was killed after it wrote other rows; then both again. How often rows of a year are there."""
+    path, staging = scratch_path(spark, "staging"), mart(spark, sf_dir).staging
+    early, late = staging.filter("ano < 1997"), staging.filter("ano >= 1997")
+    append_once(early, path, "early")
+    write_load(staging, path, "late")  # killed before the ledger
+    done = [append_once(rows, path, name) for name, rows in (("late", late), ("early", early), ("late", staging))]
+    rows = loaded_rows(spark, path, staging.select(*STAGING_COLUMNS)._jdf.schema().toDDL())
+    return rows.groupBy("ano", "carga").agg(F.count(F.lit(1)).alias("n")).withColumn("feitas", F.lit(sum(done)))
+
+
 def table_inventory(spark, sf_dir):
     m = mart(spark, sf_dir)
     named = {"staging_ida": m.staging, "fato_ida": m.fato, "view_variacao": m.pivot_view()}
@@ -706,8 +731,8 @@ def dq_mergeable(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
-        headings_catalog, title_parse, workbook_signature, load_count, workbook_cells, load_report,
-        workbook_long, cache_incremental, cache_choice, cache_merge, staging_load, table_inventory,
+        headings_catalog, headings_marked, title_parse, workbook_signature, load_count, workbook_cells, load_report,
+        workbook_long, cache_incremental, cache_choice, cache_merge, staging_load, staging_append_once, table_inventory,
         grid_to_long, number_parse, period_parse, nonneg_filter,
         group_clean, group_alias, report_name_clean,
         dim_time, dim_group, dim_group_keys, dim_service, dim_insert_absent, dim_upsert,

@@ -17,7 +17,8 @@ _REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
 
 def decoded(text: Column) -> Column:
     """Text with its character references decoded; unknown ones stay as they are."""
-    names = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))])
+    known = {**name2codepoint, "apos": ord("'")}
+    names = F.create_map(*[F.lit(x) for name, code in sorted(known.items()) for x in (name, chr(code))])
 
     def character(reference: Column) -> Column:
         body = F.substring(reference, F.lit(2), F.length(reference) - 2)
@@ -35,15 +36,42 @@ def decoded(text: Column) -> Column:
     )
 
 
+# Inside a tag, quotes hold a > only as a value, after =. A tag, comment or value that is not closed runs to the end of the page.
+_ATTRIBUTES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))?+)*+(?:>|\z)"""
+# Elements whose content is no markup, with their content.
+_RAW = "script|style|textarea|title|xmp|iframe|noembed|noframes"
+# A page as tokens, each character in one: comments, raw elements, tags, declarations, text, and a < that opens nothing.
+_TOKEN = (
+    rf"(?is)<!--.*?(?:-->|\z)|<({_RAW})(?=[\s/>]){_ATTRIBUTES}.*?(?:</\1(?=[\s/>])[^>]*+(?:>|\z)|\z)"
+    rf"|</?[a-z]{_ATTRIBUTES}|<[!?/][^>]*+(?:>|\z)|[^<]++|<"
+)
+# Stand for the start and the end of a heading among the text; no page shows these characters.
+_OPEN, _CLOSE = "\x01", "\x02"
+
+
 def headings(pages: DataFrame, *keys: str, html: str = "html", level: int = 4) -> DataFrame:
     """One row per heading of the level, in page order: (keys, pos, titulo).
 
-    The title is as a page shows it: without inner tags, references decoded, blanks of any kind as single spaces.
+    The title is as a page shows it: without inner tags, comments and scripts, references decoded, blanks of any kind and line
+    breaks as single spaces. What stands in comments, scripts and other raw text is no heading. A heading ends
+    at the next tag of a heading of any level, or with the page. A null page has none.
+
+    The page is cut into tokens once, each token is replaced by what it shows, and titles are cut from what they are joined to; each
+    step goes over the page once, whatever the number of tokens.
     """
-    found = F.regexp_extract_all(html, F.lit(rf"(?is)<h{level}\b[^>]*>(.*?)</h{level}>"), F.lit(1))
-    shown = decoded(F.regexp_replace("bruto", r"<[^>]*>", ""))
+    def shown(token: Column) -> Column:
+        name = F.lower(F.regexp_extract(token, "^<(/?[a-zA-Z][^\\s/>]*)", 1))
+        mark = (
+            F.when(name == f"h{level}", _OPEN).when(name.rlike("^/?h[1-6]$"), _CLOSE).when(name == "br", " ").otherwise("")
+        )
+        tag = token.startswith("<") & (F.length(token) > 1)
+        # A tag that the page ends in is none.
+        return F.when(tag, F.when(token.endswith(">"), mark).otherwise("")).otherwise(F.translate(token, _OPEN + _CLOSE, ""))
+
+    text = F.array_join(F.transform(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0)), shown), "")
+    found = F.regexp_extract_all(text, F.lit(f"{_OPEN}([^{_OPEN}{_CLOSE}]*+)"), F.lit(1))
     return pages.select(*keys, F.posexplode(found).alias("pos", "bruto")).select(
-        *keys, "pos", F.trim(F.regexp_replace(shown, r"[\s\u00a0]+", " ")).alias("titulo")
+        *keys, "pos", F.trim(F.regexp_replace(decoded(F.col("bruto")), r"[\s\u00a0]+", " ")).alias("titulo")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -115,12 +116,70 @@ def bulk_load(
 ) -> None:
     """Load the columns into the staging table at path; every task writes its own rows.
 
-    An input without rows leaves the table as it is. It is only looked into where
-    rows could get lost, as that may cost as much as computing it.
+    A truncating load writes beside the table, looks at what it wrote and only then takes the table's place, so the
+    input is computed once, and one without rows leaves the table as it is. A plain append repeats its rows if it is
+    repeated; append_once does not.
     """
-    if truncate and df.isEmpty():
+    chosen = df.select(*columns)
+    if not truncate:
+        chosen.write.mode("append").parquet(path)
         return
-    df.select(*columns).write.mode("overwrite" if truncate else "append").parquet(path)
+    spark, beside = df.sparkSession, f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    chosen.write.parquet(beside)
+    if spark.read.schema(chosen.schema).parquet(beside).isEmpty():
+        delete_path(spark, beside)
+    else:
+        _take_place(spark, beside, path)
+
+
+def _take_place(spark: SparkSession, new: str, path: str) -> None:
+    """Moves the files at new to path; those there before go once that is done."""
+    (files, source), (_, target) = _store(spark, new), _store(spark, path)
+    old = _store(spark, f"{new}-old")[1]
+    before = files.exists(target)
+    if before and not files.rename(target, old):
+        raise OSError(f"{path} could not be moved")
+    if not files.rename(source, target):
+        if before:
+            files.rename(old, target)
+        raise OSError(f"{new} could not be moved to {path}")
+    if before:
+        files.delete(old, True)
+
+
+def _load_folder(path: str, load_id: str) -> str:
+    if not re.fullmatch(r"[\w.-]+", load_id):
+        raise ValueError(f"a load id has letters, digits, _, . and - only: {load_id!r}")
+    return f"{path}/linhas/carga={load_id}"
+
+
+def write_load(df: DataFrame, path: str, load_id: str, columns: Sequence[str] = STAGING_COLUMNS) -> None:
+    """Rows of a load in a folder of its own, in place of what an earlier try left there. They count once the ledger has the load."""
+    df.select(*columns).write.mode("overwrite").parquet(_load_folder(path, load_id))
+
+
+def append_once(df: DataFrame, path: str, load_id: str, columns: Sequence[str] = STAGING_COLUMNS) -> bool:
+    """Appends rows to the table of loads at path as the load of this id; False, and nothing is done, if that load is there.
+
+    Rows first, then the ledger, a file named as the load. A load that is killed between the two, or while it writes, is repeated under its
+    id and gives its rows once. Loads of different ids may run at the same time.
+    """
+    spark = df.sparkSession
+    if load_id in list_names(spark, f"{path}/livro"):
+        return False
+    write_load(df, path, load_id, columns)
+    return create_new(spark, f"{path}/livro/{load_id}")
+
+
+def loaded_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of the loads that the ledger has, with their id as carga, which chooses their folders: no other load is opened.
+
+    schema: the columns of the rows. A table without loads has no rows.
+    """
+    loads = list_names(spark, f"{path}/livro")
+    if not loads:
+        return spark.createDataFrame([], f"{schema}, carga string")
+    return spark.read.schema(f"{schema}, carga string").parquet(f"{path}/linhas").filter(F.col("carga").isin(loads))
 
 
 def first_existing(spark: SparkSession, names: Sequence[str]) -> DataFrame | None:

@@ -36,14 +36,14 @@ def decoded(text: Column) -> Column:
     )
 
 
-# Inside a tag, quotes hold a > only as a value, after =. A tag, comment or value that is not closed runs to the end of the page.
-_ATTRIBUTES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))?+)*+(?:>|\z)"""
+# Inside a tag, quotes hold a > only as a value, after =. A tag or value that is not closed, like a comment, runs to the end of the page.
+_ATTRIBUTES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])))*+>"""
 # Elements whose content is no markup, with their content.
 _RAW = "script|style|textarea|title|xmp|iframe|noembed|noframes"
 # A page as tokens, each character in one: comments, raw elements, tags, declarations, text, and a < that opens nothing.
 _TOKEN = (
     rf"(?is)<!--.*?(?:-->|\z)|<({_RAW})(?=[\s/>]){_ATTRIBUTES}.*?(?:</\1(?=[\s/>])[^>]*+(?:>|\z)|\z)"
-    rf"|</?[a-z]{_ATTRIBUTES}|<[!?/][^>]*+(?:>|\z)|[^<]++|<"
+    rf"|</?[a-z]{_ATTRIBUTES}|</?[a-z].*+|<[!?/][^>]*+(?:>|\z)|[^<]++|<"
 )
 # Stand for the start and the end of a heading among the text; no page shows these characters.
 _OPEN, _CLOSE = "\x01", "\x02"
@@ -61,12 +61,11 @@ def headings(pages: DataFrame, *keys: str, html: str = "html", level: int = 4) -
     """
     def shown(token: Column) -> Column:
         name = F.lower(F.regexp_extract(token, "^<(/?[a-zA-Z][^\\s/>]*)", 1))
-        mark = (
-            F.when(name == f"h{level}", _OPEN).when(name.rlike("^/?h[1-6]$"), _CLOSE).when(name == "br", " ").otherwise("")
-        )
-        tag = token.startswith("<") & (F.length(token) > 1)
         # A tag that the page ends in is none.
-        return F.when(tag, F.when(token.endswith(">"), mark).otherwise("")).otherwise(F.translate(token, _OPEN + _CLOSE, ""))
+        opens = (name == f"h{level}") & token.rlike(f"(?is)^<{_ATTRIBUTES}$")
+        mark = F.when(opens, _OPEN).when(name.rlike("^/?h[1-6]$"), _CLOSE).when(name == "br", " ").otherwise("")
+        tag = token.startswith("<") & (F.length(token) > 1)
+        return F.when(tag, mark).otherwise(F.translate(token, _OPEN + _CLOSE, ""))
 
     text = F.array_join(F.transform(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0)), shown), "")
     found = F.regexp_extract_all(text, F.lit(f"{_OPEN}([^{_OPEN}{_CLOSE}]*+)"), F.lit(1))

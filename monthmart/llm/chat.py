@@ -1,23 +1,27 @@
 """Chat formatting with linked tool calls.
 
 A tool call stands in an assistant's message as JSON, {"tool_calls": [{"id", "name", "arguments"}]}, and its result is
-a message of role tool, {"tool_call_id", "content"}. Results are hash-joined to calls by conversation and identifier. An
+a message of role tool, {"tool_call_id", "content"}. Results are hash-joined to calls by conversation and identifier. A string
 argument "$id" refers to the result of another call. Messages keep their turns, except that a call follows all
 calls that it refers to and a result follows its call. Arguments are checked against the schema of the
-tool, and every message is written as canonical JSON: sorted keys, no spaces, one line.
+tool, and every message is written as canonical JSON: keys sorted at every depth, no spaces, one line. JSON is read as variants, so values keep
+their types: "5" stays a string, 5 a number.
 
-A conversation is not gathered: each message is a row with its place, so a conversation of any length is spread over tasks.
+A conversation is not gathered: each message is a row with its place, so a conversation of any length is spread over tasks. Only the
+identifiers of calls that references connect meet in a task, where they are ordered in time linear in the references.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources import materialize
+from .components import components
 
-_CALLS = "struct<content:string,tool_calls:array<struct<id:string,name:string,arguments:map<string,string>>>>"
-_RESULT = "struct<tool_call_id:string,content:string>"
 # A turn leaves room for this many messages that are moved behind it.
 ROOM = 1 << 20
 SCHEMAS_SCHEMA = "name string, required array<string>, types map<string,string>"
@@ -39,96 +43,161 @@ def _object(fields: dict[str, Column]) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
-def _map_json(values: Column) -> Column:
-    """Canonical JSON of map<string,string> whose values are JSON texts or plain strings."""
-    items = F.transform(F.array_sort(F.map_keys(values)), lambda k: F.concat(
-        quoted(k), F.lit(":"), F.when(_kind(values[k]) == "string", quoted(values[k])).otherwise(F.coalesce(values[k], F.lit("null")))
-    ))
-    return F.concat(F.lit("{"), F.array_join(items, ","), F.lit("}"))
+def _part(parsed: str, path: str, kind: str = "variant") -> Column:
+    """What a parsed JSON column has at a path; null if it has none or of another kind."""
+    return F.expr(f"try_variant_get({parsed}, '{path}', '{kind}')")
 
 
 def _kind(value: Column) -> Column:
-    """JSON type of an argument as it stands in the map: nested values keep their JSON text."""
+    """JSON type of a variant; "reference" for a string that names another call."""
+    schema = F.schema_of_variant(value)
     return (
-        F.when(value.isNull(), "null").when(value.rlike(r"^-?(0|[1-9][0-9]*)$"), "integer")
-        .when(value.rlike(r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"), "number")
-        .when(value.isin("true", "false"), "boolean").when(value.rlike(r"^\{.*\}$"), "object")
-        .when(value.rlike(r"^\[.*\]$"), "array").otherwise("string")
+        F.when(schema == "VOID", "null").when(schema == "BOOLEAN", "boolean").when(schema.startswith("OBJECT"), "object")
+        .when(schema.startswith("ARRAY"), "array").when(schema.rlike(r"^(BIGINT|DECIMAL\([0-9]+,0\))$"), "integer")
+        .when(schema.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "number")
+        .when(value.cast("string").startswith("$"), "reference").otherwise("string")
     )
 
 
 def calls_of(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, seq, call_id, name, arguments): tool calls of the assistant's messages."""
-    parsed = F.from_json("text", _CALLS)
+    """(conv_id, turn, seq, call_id, name, arguments, kinds, refs): tool calls of the assistant's messages.
+
+    arguments is canonical JSON, kinds the types of the arguments by name, null if they are no object, refs the calls they refer to.
+    """
     mine = messages.filter((F.col("role") == "assistant") & F.contains(F.coalesce("text", F.lit("")), F.lit('"tool_calls"')))
-    rows = mine.select("conv_id", "turn", F.posexplode(parsed["tool_calls"]).alias("seq", "c"))
-    return rows.select("conv_id", "turn", "seq", F.col("c.id").alias("call_id"), F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"))
+    parsed = mine.select("conv_id", "turn", F.try_parse_json("text").alias("_v"))
+    rows = parsed.select("conv_id", "turn", F.posexplode(_part("_v", "$.tool_calls", "array<variant>")).alias("seq", "_c"))
+    rows = rows.select("conv_id", "turn", "seq", _part("_c", "$.id", "string").alias("call_id"), _part("_c", "$.name", "string").alias("name"),
+                       _part("_c", "$.arguments").alias("_a"))
+    named = rows.withColumn("_m", _part("_a", "$", "map<string,variant>"))
+    kinds = F.transform_values("_m", lambda k, v: _kind(v))
+    refs = F.transform(F.filter(F.map_values("_m"), lambda v: _kind(v) == "reference"), lambda v: v.cast("string"))
+    return named.select(
+        "conv_id", "turn", "seq", "call_id", "name", F.to_json("_a").alias("arguments"), kinds.alias("kinds"),
+        F.array_distinct(F.transform(refs, lambda r: F.substring(r, F.lit(2), F.length(r)))).alias("refs"),
+    )
 
 
 def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
-    """calls with problem: null, "unknown tool", "missing <argument>" or "type of <argument>", the first in the order of names.
+    """calls with problem: null, "unknown tool", "no object", "missing <argument>" or "type of <argument>", the first in the order of names.
 
-    A reference to another call fits any type, an integer fits number, and arguments that the schema does not name are no problem.
+    A reference to another call fits any type, an integer fits number, a null argument is missing where it is required and fits any type elsewhere, and arguments
+    that the schema does not name are no problem.
     """
     known = schemas.select(F.col("name").alias("_tool"), "required", "types")
     joined = calls.join(known, F.col("name") == F.col("_tool"), "left")
-    given = F.coalesce("arguments", F.create_map().cast("map<string,string>"))
+    given = F.map_filter(F.coalesce("kinds", F.create_map().cast("map<string,string>")), lambda k, v: v != "null")
     missing = F.array_sort(F.filter(F.coalesce("required", F.array().cast("array<string>")), lambda a: given[a].isNull()))
     wrong = F.filter(F.array_sort(F.map_keys(given)), lambda a: (
-        F.col("types")[a].isNotNull() & given[a].isNotNull() & ~given[a].startswith("$") & (_kind(given[a]) != F.col("types")[a])
-        & ~((F.col("types")[a] == "number") & (_kind(given[a]) == "integer"))
-        & ~((F.col("types")[a] == "string") & ~_kind(given[a]).isin("object", "array"))
+        F.col("types")[a].isNotNull() & (given[a] != "reference") & (given[a] != F.col("types")[a])
+        & ~((F.col("types")[a] == "number") & (given[a] == "integer"))
     ))
     problem = (
         F.when(F.col("_tool").isNull(), "unknown tool")
+        .when(F.col("kinds").isNull() & (F.col("arguments") != "null"), "no object")
         .when(F.size(missing) > 0, F.concat(F.lit("missing "), F.try_element_at(missing, F.lit(1))))
         .when(F.size(wrong) > 0, F.concat(F.lit("type of "), F.try_element_at(wrong, F.lit(1))))
     )
     return joined.withColumn("problem", problem).drop("_tool", "required", "types")
 
 
-def _paths(edges: DataFrame, lengths: bool) -> DataFrame:
-    """(conv_id, a, b, n): all b that a leads to by edges (conv_id, a, b); n is the length of the longest way, or 1 without lengths.
+def reference_order(refs: dict[str, list[str]], ahead: dict[str, int]) -> dict[str, tuple[int | None, bool]]:
+    """{call: (first place behind all calls it refers to, whether it lies on a cycle)} of calls and what they refer to.
 
-    Ways double with each join until nothing is added. With lengths there must be no cycle.
+    Strongly connected parts in the order in which they come out, each after all that it refers to; time and memory are linear in calls
+    and references. A call on a cycle keeps its place, ahead, and what refers to it follows that.
     """
-    paths = materialize(edges.select("conv_id", "a", "b", F.lit(1).cast("bigint").alias("n")).distinct(), "call-paths")
-    size = None
-    while True:
-        found = tuple(paths.agg(F.count(F.lit(1)), F.sum("n")).first())
-        if found == size:
-            return paths
-        size = found
-        first = paths.select("conv_id", "a", F.col("b").alias("mid"), "n")
-        then = paths.select("conv_id", F.col("a").alias("mid"), "b", F.col("n").alias("m"))
-        n = F.col("n") + F.col("m") if lengths else F.lit(1).cast("bigint")
-        joined = first.join(then, ["conv_id", "mid"]).select("conv_id", "a", "b", n.alias("n"))
-        paths = materialize(paths.union(joined).groupBy("conv_id", "a", "b").agg(F.max("n").alias("n")), "call-paths")
+    number: dict[str, int] = {}
+    low: dict[str, int] = {}
+    last: dict[str, int] = {}
+    found: dict[str, tuple[int | None, bool]] = {}
+    open_calls: list[str] = []
+    for root in refs:
+        if root in number:
+            continue
+        number[root] = low[root] = len(number)
+        open_calls.append(root)
+        work = [(root, iter(refs[root]))]
+        while work:
+            call, rest = work[-1]
+            for other in rest:
+                if other not in number:
+                    number[other] = low[other] = len(number)
+                    open_calls.append(other)
+                    work.append((other, iter(refs[other])))
+                    break
+                if other not in found:
+                    low[call] = min(low[call], number[other])
+            else:
+                work.pop()
+                if work:
+                    low[work[-1][0]] = min(low[work[-1][0]], low[call])
+                if low[call] == number[call]:
+                    part = [open_calls.pop()]
+                    while part[-1] != call:
+                        part.append(open_calls.pop())
+                    cyclic = len(part) > 1 or call in refs[call]
+                    for member in part:
+                        due = None if cyclic else max((last[o] + 1 for o in refs[member]), default=None)
+                        last[member] = max(ahead[member], due or ahead[member])
+                        found[member] = (due, cyclic)
+    return found
+
+
+_ORDERED = pa.schema([("conv_id", pa.int64()), ("call_id", pa.string()), ("due", pa.int64()), ("cyclic", pa.bool_())])
+
+
+def _ordered_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Orders the parts one after another, as they come sorted; a part is held until its last row."""
+    key, refs, ahead, conv = None, {}, {}, None
+
+    def done() -> pa.RecordBatch:
+        order = reference_order(refs, ahead)
+        columns = [[conv] * len(order), list(order), [d for d, _ in order.values()], [c for _, c in order.values()]]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ORDERED)], schema=_ORDERED)
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["part"] != key:
+                if refs:
+                    yield done()
+                key, refs, ahead, conv = row["part"], {}, {}, row["conv_id"]
+            refs[row["call_id"]], ahead[row["call_id"]] = row["refs"], row["ahead"]
+    if refs:
+        yield done()
 
 
 def ordered(calls: DataFrame) -> DataFrame:
     """calls with place, a number after that of every call it refers to, and cyclic for calls on a cycle of references.
 
     A call starts at turn * ROOM + seq and moves behind what it refers to. A call on a cycle keeps its own turn and is called
-    cyclic; calls that refer to it follow it. Only conversations in which a call refers to a later one are looked at, and
-    their ways of references double with each join, so that chains of any length are followed to their end.
+    cyclic; calls that refer to it follow it. Only conversations in which a call refers to a later one are looked at. Their calls are ordered
+    in tasks by the parts that references connect, a row of identifiers for each call, so neither the length of a conversation nor that of a
+    chain multiplies rows.
     """
     start = (F.col("turn") * ROOM + F.col("seq")).alias("place")
     state = materialize(calls.select("conv_id", "call_id", "turn", "seq", start).filter(F.col("call_id").isNotNull()), "call-places")
-    needs = calls.select("conv_id", "call_id", F.explode(F.map_values("arguments")).alias("v")).filter(F.col("v").startswith("$"))
-    needs = needs.select("conv_id", F.col("call_id").alias("a"), F.substring("v", F.lit(2), F.length("v")).alias("b")).distinct()
+    needs = calls.select("conv_id", F.col("call_id").alias("a"), F.explode("refs").alias("b")).distinct()
     ahead = state.groupBy("conv_id", F.col("call_id").alias("b")).agg(F.max("place").alias("ahead"))
     own = state.groupBy("conv_id", F.col("call_id").alias("a")).agg(F.min("place").alias("own"))
     edges = materialize(needs.join(ahead, ["conv_id", "b"]).join(own, ["conv_id", "a"]), "call-references")
     late = edges.filter("ahead >= own").select("conv_id").distinct()
     if late.isEmpty():
         return state.withColumn("cyclic", F.lit(False))
-    edges = materialize(edges.join(late, "conv_id", "left_semi"), "call-references")
-    cycles = _paths(edges, lengths=False).filter("a = b").select("conv_id", "a")
-    ways = _paths(edges.join(cycles, ["conv_id", "a"], "left_anti"), lengths=True).join(ahead, ["conv_id", "b"])
-    due = ways.groupBy("conv_id", F.col("a").alias("call_id")).agg(F.max(F.col("ahead") + F.col("n")).alias("due"))
-    cyclic = cycles.select("conv_id", F.col("a").alias("call_id"), F.lit(True).alias("cyclic"))
-    return state.join(due, ["conv_id", "call_id"], "left").join(cyclic, ["conv_id", "call_id"], "left").select(
+    edges = materialize(edges.join(late, "conv_id", "left_semi").select("conv_id", "a", "b"), "call-references")
+
+    def node(call: str) -> Column:
+        return F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col(call))
+
+    parts = components(edges.select(node("a").alias("a"), node("b").alias("b")))
+    refs = edges.groupBy("conv_id", F.col("a").alias("call_id")).agg(F.collect_set("b").alias("refs"))  # the arguments of one call
+    nodes = edges.select("conv_id", F.col("a").alias("call_id")).union(edges.select("conv_id", "b")).distinct()
+    rows = nodes.join(refs, ["conv_id", "call_id"], "left").join(ahead.withColumnRenamed("b", "call_id"), ["conv_id", "call_id"]).withColumn(
+        "node", node("call_id")).join(parts, "node", "left")
+    rows = rows.select(F.coalesce("component", "node").alias("part"), "conv_id", "call_id",
+                       F.coalesce("refs", F.array().cast("array<string>")).alias("refs"), "ahead")
+    found = rows.repartition("part").sortWithinPartitions("part").mapInArrow(_ordered_parts, "conv_id bigint, call_id string, due bigint, cyclic boolean")
+    return state.join(found, ["conv_id", "call_id"], "left").select(
         "conv_id", "call_id", "turn", "seq", F.greatest("place", "due").alias("place"), F.coalesce("cyclic", F.lit(False)).alias("cyclic")
     )
 
@@ -140,14 +209,14 @@ def format_chats(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     makes or answers; linked is true for a call message if all its calls have a result and for a result if its
     call is there (identifiers are unique in a conversation; of repeated ones the least turn counts), null for other messages. problem is the
     first problem of a message: of its calls' arguments (see validated), "cycle", or "no call". json is
-    canonical. Null ids, turns, roles and texts are kept: a null text gives a null content, a message with a null conversation links to
-    nothing. A text that is no valid JSON is plain content. Repeated messages are kept; no rows give no rows.
+    canonical; contents that are no strings keep their types as well. Null ids, turns, roles and texts are kept: a null text gives a null content, a message with a null conversation links to
+    nothing. A text that is no valid JSON, or names a key twice, is plain content. Repeated messages are kept; no rows give no rows.
     """
     rows = messages.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text")
     calls = materialize(validated(calls_of(rows), schemas), "calls")
     places = ordered(calls)
-    result = F.from_json("text", _RESULT)
-    answers = rows.filter(F.col("role") == "tool").select("conv_id", "turn", "text", result["tool_call_id"].alias("call_id"))
+    tools = rows.filter(F.col("role") == "tool").select("conv_id", F.try_parse_json("text").alias("_v"))
+    answers = tools.select("conv_id", _part("_v", "$.tool_call_id", "string").alias("call_id"))
     answered = answers.filter(F.col("call_id").isNotNull()).select("conv_id", "call_id").distinct().withColumn("answered", F.lit(True))
     first = places.groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "place", "cyclic")).alias("f")).select("conv_id", "call_id", "f.place", "f.cyclic")
 
@@ -155,7 +224,7 @@ def format_chats(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     described = described.join(answered, ["conv_id", "call_id"], "left")
     fault = F.coalesce(F.when(F.col("cyclic"), "cycle"), F.col("problem"))
     call_json = _object({
-        "arguments": F.coalesce(_map_json(F.col("arguments")), F.lit("{}")), "id": quoted(F.col("call_id")), "name": quoted(F.col("name")),
+        "arguments": F.coalesce("arguments", F.lit("{}")), "id": quoted(F.col("call_id")), "name": quoted(F.col("name")),
     })
     by_message = described.groupBy("conv_id", "turn").agg(
         F.max(F.coalesce("place", F.col("turn") * ROOM + F.col("seq"))).alias("call_place"),
@@ -164,17 +233,20 @@ def format_chats(messages: DataFrame, schemas: DataFrame) -> DataFrame:
         F.min(F.coalesce("answered", F.lit(False))).alias("all_answered"),
     ).withColumnsRenamed({"conv_id": "_conv", "turn": "_turn"})
     makes = (F.col("role") == "assistant") & F.col("made").isNotNull()
-    own_call = F.when(F.col("role") == "tool", result["tool_call_id"])
-    joined = rows.withColumn("own_call", own_call).join(
+    read = rows.withColumn("_v", F.when(F.col("role").isin("assistant", "tool"), F.try_parse_json("text")))
+    read = read.select(
+        "conv_id", "turn", "role", "text", F.to_json(_part("_v", "$.content")).alias("_content"),
+        F.when(F.col("role") == "tool", _part("_v", "$.tool_call_id", "string")).alias("own_call"),
+    )
+    joined = read.join(
         by_message, (F.col("conv_id") == F.col("_conv")) & (F.col("turn") == F.col("_turn")), "left"
     ).join(
         first.withColumnsRenamed({"conv_id": "_c", "call_id": "_id", "place": "its_place", "cyclic": "its_cycle"}),
         (F.col("conv_id") == F.col("_c")) & (F.col("own_call") == F.col("_id")), "left",
     )
-    parsed = F.from_json("text", _CALLS)
-    content = F.when(makes, parsed["content"]).when(F.col("own_call").isNotNull(), result["content"]).otherwise(F.col("text"))
+    content = F.when(makes | F.col("own_call").isNotNull(), F.col("_content")).otherwise(quoted(F.col("text")))
     fields = {
-        "content": F.coalesce(quoted(content), F.lit("null")), "role": F.coalesce(quoted(F.col("role")), F.lit("null")),
+        "content": F.coalesce(content, F.lit("null")), "role": F.coalesce(quoted(F.col("role")), F.lit("null")),
         "tool_call_id": quoted(F.col("own_call")),
         "tool_calls": F.when(makes, F.concat(F.lit("["), F.array_join(F.transform("made", lambda m: m["json"]), ","), F.lit("]"))),
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import codes
+from .chat import ROOM
 from .decontamination import LEAST_SHARE, NAME_MARK, WINDOW
 from .lexicon import NAMES, NUMBERS, UNITS
 from .text import BETWEEN, LOWER, UPPER
@@ -64,22 +65,32 @@ _CRC = """xor(list_reduce(list_concat([4294967295], bytes), lambda c, b: list_re
     lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
 
 ORACLE = {
-    "op6_chat": """
-WITH m AS (SELECT conv_id, turn * 4 AS turn, role, text, CAST(NULL AS BIGINT) AS own FROM conversations WHERE role IS NULL OR role <> 'assistant'
-  UNION ALL SELECT conv_id, turn * 4 + CASE WHEN turn % 3 = 0 THEN 2 ELSE 0 END, 'assistant', NULL, turn FROM conversations WHERE role = 'assistant'
-  UNION ALL SELECT conv_id, turn * 4 + 1, 'tool', text, turn FROM conversations WHERE role = 'assistant'),
-  c AS (SELECT conv_id, turn AS own, length(text) AS n FROM conversations WHERE role = 'assistant'),
-  placed AS (SELECT m.conv_id, m.turn, role, text, own, n, own >= 3 AS refers,
-      CASE WHEN role = 'tool' AND own % 3 = 0 THEN m.turn + 1.5 ELSE m.turn END AS pos FROM m LEFT JOIN c USING (conv_id, own))
+    "op6_chat": f"""
+WITH RECURSIVE c AS (SELECT conv_id, turn AS own, (turn // 2) % 4 AS k, turn * 4 + CASE WHEN turn % 3 = 0 THEN 2 ELSE 0 END AS turn,
+    text, length(text) AS n, conv_id % 3 <> 0 OR (turn // 2) % 4 <> 1 AS answered,
+    turn + CASE (turn // 2) % 4 WHEN 0 THEN 2 WHEN 1 THEN 4 WHEN 2 THEN -2 ELSE CASE WHEN conv_id % 5 = 0 THEN -6 END END AS other
+  FROM conversations WHERE role = 'assistant'),
+  edge AS (SELECT a.conv_id, a.own AS a, b.own AS b, b.turn * {ROOM} AS start FROM c a JOIN c b ON a.conv_id = b.conv_id AND a.other = b.own),
+  reach AS (SELECT conv_id, a, b FROM edge UNION SELECT r.conv_id, r.a, e.b FROM reach r JOIN edge e ON r.conv_id = e.conv_id AND r.b = e.a),
+  cyclic AS (SELECT conv_id, a FROM reach WHERE a = b),
+  way AS (SELECT conv_id, a, b, start + 1 AS due, 1 AS n FROM edge ANTI JOIN cyclic USING (conv_id, a)
+    UNION SELECT w.conv_id, w.a, e.b, e.start + w.n + 1, w.n + 1 FROM way w JOIN edge e ON w.conv_id = e.conv_id AND w.b = e.a
+      WHERE NOT EXISTS (SELECT 1 FROM cyclic y WHERE y.conv_id = e.conv_id AND y.a = e.a)),
+  placed AS (SELECT c.*, greatest(c.turn * {ROOM}, coalesce((SELECT max(due) FROM way w WHERE w.conv_id = c.conv_id AND w.a = c.own), 0)) AS place,
+    EXISTS (SELECT 1 FROM cyclic y WHERE y.conv_id = c.conv_id AND y.a = c.own) AS cyc FROM c),
+  m AS (SELECT conv_id, turn * 4 AS turn, role, text, turn * 4 * {ROOM} AS pos, NULL AS call_ids, NULL AS linked, NULL AS problem,
+      '{{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":' || CAST(to_json(role) AS VARCHAR) || '}}' AS json
+    FROM conversations WHERE role IS NULL OR role <> 'assistant'
+    UNION ALL SELECT conv_id, turn, 'assistant', NULL, place, 'c' || own, answered,
+      CASE WHEN cyc THEN 'cycle' WHEN conv_id % 4 = 2 AND k = 3 THEN 'missing length' WHEN conv_id % 4 = 1 AND k = 2 THEN 'type of length' END,
+      '{{"content":null,"role":"assistant","tool_calls":[{{"arguments":{{' || CASE WHEN other IS NULL THEN '' ELSE '"after":"$c' || other || '",' END
+        || '"code":"' || own || '",' || CASE WHEN conv_id % 4 = 2 AND k = 3 THEN '' WHEN conv_id % 4 = 1 AND k = 2 THEN '"length":"' || n || '",'
+          ELSE '"length":' || n || ',' END || '"meta":{{"a":"[draft] a]","z":[' || own || ',{{"x":null,"y":true}}]}},"quote":'
+        || CAST(to_json(text[1:16]) AS VARCHAR) || ',"turn":' || own || '}},"id":"c' || own || '","name":"reply"}}]}}' FROM placed
+    UNION ALL SELECT conv_id, own * 4 + 1, 'tool', text, greatest((own * 4 + 1) * {ROOM}, place + 1), 'c' || own, true, NULL,
+      '{{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":"tool","tool_call_id":"c' || own || '"}}' FROM placed WHERE answered)
 SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY pos, turn, role, text) - 1 AS place,
-  CASE WHEN own IS NOT NULL THEN 'c' || own END AS call_ids, CASE WHEN own IS NOT NULL THEN true END AS linked,
-  CAST(NULL AS VARCHAR) AS problem,
-  CASE WHEN role = 'assistant' THEN '{"content":null,"role":"assistant","tool_calls":[{"arguments":{'
-      || CASE WHEN refers THEN '"after":"$c' || (own - 2) || '",' ELSE '' END || '"length":' || n || ',"turn":' || own
-      || '},"id":"c' || own || '","name":"reply"}]}'
-    ELSE '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":' || CAST(to_json(role) AS VARCHAR)
-      || CASE WHEN role = 'tool' THEN ',"tool_call_id":"c' || own || '"' ELSE '' END || '}' END AS json
-FROM placed""",
+  CAST(call_ids AS VARCHAR) AS call_ids, CAST(linked AS BOOLEAN) AS linked, CAST(problem AS VARCHAR) AS problem, json FROM m""",
     "op10_decontamination": f"""
 WITH item_words AS (SELECT DISTINCT item_id, {_words('text')} AS w FROM benchmark),
   doc_words AS (SELECT doc_id, text, {_words('text')} AS w FROM (SELECT DISTINCT doc_id, text FROM documents)),

@@ -55,31 +55,40 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tool_log(conversations: DataFrame) -> DataFrame:
     """The conversations as a log with tool calls: every reply becomes the result of a call made for it.
 
-    The assistant's message at turn t turns into a call "c<t>" of tool reply, whose arguments are the turn, the length of
-    the reply, and a reference to the call of two turns before; its text becomes the result. The result of every third
-    call stands before it, as in logs written out of order.
+    The assistant's message at turn t turns into a call "c<t>" of tool reply, its text into the result. The result of every third
+    call stands before it, as in logs written out of order. Of four replies the first refers to the second, the second to the
+    fourth, the third back to the second, and in every fifth conversation the fourth to the first, which closes a cycle.
+    Arguments hold numbers as strings, quoted text and nested values; some calls have a length of the wrong type or none, some have no result.
     """
     replies = conversations.filter("role = 'assistant'")
-    turn = F.col("turn").cast("string")
-    after = F.when(F.col("turn") >= 3, F.concat(F.lit(',"after":"$c'), (F.col("turn") - 2).cast("string"), F.lit('"')))
+    turn, place, conv = F.col("turn").cast("string"), F.floor(F.col("turn") / 2) % 4, F.col("conv_id")
+    other = F.when(place == 0, 2).when(place == 1, 4).when(place == 2, -2).when((place == 3) & (conv % 5 == 0), -6)
+    after = F.when(other.isNotNull(), F.concat(F.lit('"after":"$c'), (F.col("turn") + other).cast("string"), F.lit('",')))
+    size = F.length("text").cast("string")
+    length = F.when((conv % 4 == 1) & (place == 2), F.concat(F.lit('"length":"'), size, F.lit('",'))).when(
+        ~((conv % 4 == 2) & (place == 3)), F.concat(F.lit('"length":'), size, F.lit(",")))
     call = F.concat(
-        F.lit('{"tool_calls":[{"id":"c'), turn, F.lit('","name":"reply","arguments":{"turn":'), turn, F.lit(',"length":'),
-        F.length("text").cast("string"), F.coalesce(after, F.lit("")), F.lit("}}]}"),
+        F.lit('{"tool_calls":[{"id":"c'), turn, F.lit('","name":"reply","arguments":{"turn":'), turn, F.lit(","),
+        F.coalesce(length, F.lit("")), F.coalesce(after, F.lit("")), F.lit('"quote": '), chat.quoted(F.substring("text", 1, 16)),
+        F.lit(',"code":"'), turn, F.lit('","meta":{"z":['), turn, F.lit(',{"y":true,"x":null}],"a":"[draft] a]"}}}]}'),
     )
-    result = F.to_json(F.struct(F.concat(F.lit("c"), turn).alias("tool_call_id"), F.col("text").alias("content")))
+    result = F.concat(F.lit('{"tool_call_id":"c'), turn, F.lit('","content":'), chat.quoted(F.col("text")), F.lit("}"))
     early = (F.col("turn") % 3 == 0).cast("int")
     at = F.col("turn") * 4
     return (
         conversations.filter("role IS NULL OR role != 'assistant'").select("conv_id", at.alias("turn"), "role", "text")
         .unionByName(replies.select("conv_id", (at + early * 2).alias("turn"), "role", F.coalesce(call, F.lit("")).alias("text")))
-        .unionByName(replies.select("conv_id", (at + 1).alias("turn"), F.lit("tool").alias("role"), result.alias("text")))
+        .unionByName(replies.filter(~((conv % 3 == 0) & (place == 1))).select(
+            "conv_id", (at + 1).alias("turn"), F.lit("tool").alias("role"), result.alias("text")))
     )
 
 
+TOOLS = [("reply", ["turn", "length"], {
+    "turn": "integer", "length": "integer", "after": "string", "code": "string", "quote": "string", "meta": "object"})]
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schemas = spark.createDataFrame(
-        [("reply", ["turn", "length"], {"turn": "integer", "length": "integer", "after": "string"})], chat.SCHEMAS_SCHEMA
-    )
+    schemas = spark.createDataFrame(TOOLS, chat.SCHEMAS_SCHEMA)
     formatted = chat.format_chats(tool_log(read(spark, sf_dir, "conversations")), schemas)
     return formatted.withColumn("call_ids", F.array_join("call_ids", ","))
 

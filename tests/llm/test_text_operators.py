@@ -13,7 +13,7 @@ from monthmart.llm import (
     chat, components, decontamination, extraction, licenses, nearest, neardup, packing, quality, sharding, toxicity,
 )
 from monthmart.llm.license_rules import BASE, rules
-from monthmart.llm.queries import tokenizer_path, tool_log
+from monthmart.llm.queries import TOOLS, tokenizer_path, tool_log
 
 DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint, bands string, _id string, label string"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -307,12 +307,62 @@ def test_calls_are_linked_ordered_and_checked(spark):
 
 
 def test_chats_of_the_table(spark, sf_dir):
-    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    table = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/conversations.parquet")
     log = tool_log(table)
-    found = chat.format_chats(log, spark.createDataFrame([("reply", ["turn", "length"], {"turn": "integer"})], chat.SCHEMAS_SCHEMA)).collect()
-    assert len(found) == log.count() and all(r.linked in (None, True) and r.problem is None for r in found)
-    at = {(r.conv_id, r.role, tuple(r.call_ids)): r.place for r in found if r.call_ids}
-    assert all(place < at[c, "tool", ids] for (c, role, ids), place in at.items() if role == "assistant")
+    found = chat.format_chats(log, spark.createDataFrame(TOOLS, chat.SCHEMAS_SCHEMA)).collect()
+    assert len(found) == log.count()
+    assert {r.problem for r in found} == {None, "cycle", "missing length", "type of length"} and {r.linked for r in found} == {None, True, False}
+    places = {(r.conv_id, r.role, i): r.place for r in found for i in r.call_ids or ()}
+    cyclic = {(r.conv_id, i) for r in found if r.problem == "cycle" for i in r.call_ids}
+    moved = 0
+    for r in found:
+        if r.role == "assistant":
+            (one,) = json.loads(r.json)["tool_calls"]
+            assert one["arguments"]["code"] == one["id"][1:] and one["arguments"]["meta"]["z"][0] == one["arguments"]["turn"]
+            key, other = (r.conv_id, one["id"]), one["arguments"].get("after", "")[1:]
+            if (r.conv_id, "assistant", other) in places and key not in cyclic:
+                assert r.place > places[r.conv_id, "assistant", other]
+                moved += int(other[1:]) > one["arguments"]["turn"]
+            assert key in cyclic or places.get((r.conv_id, "tool", one["id"]), 1 << 40) > r.place
+    assert moved and cyclic
+
+
+TYPED = [
+    ({"q": "5"}, None), ({"q": "true"}, None), ({"q": "[draft] a]"}, None), ({"q": "{x}"}, None), ({"q": "null"}, None), ({"q": ""}, None),
+    ({"b": 1, "a": [2, 1, {"z": None, "y": {"d": 1, "c": "\u00e9\n\\\""}}], "q": "x"}, None),
+    ({"q": 5}, "type of q"), ({"q": True}, "type of q"), ({"q": None}, "missing q"), ({"q": ["x"]}, "type of q"), ({"q": "$a"}, None),
+    ({"n": 2.5, "q": "x"}, None), ({"n": 3, "q": "x"}, None), ({"n": "3", "q": "x"}, "type of n"), ([1, "2"], "no object"), ("text", "no object"),
+]
+
+
+def test_arguments_keep_their_types(spark):
+    schemas = spark.createDataFrame([("t", ["q"], {"q": "string", "n": "number"})], chat.SCHEMAS_SCHEMA)
+    rows = [(k, 0, "assistant", json.dumps({"tool_calls": [{"name": "t", "id": f"i{k}", "arguments": a}], "content": [k, {"b": 1, "a": None}]}))
+            for k, (a, _) in enumerate(TYPED)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    for r in chat.format_chats(table, schemas).collect():
+        arguments, problem = TYPED[r.conv_id]
+        expected = {"content": [r.conv_id, {"b": 1, "a": None}], "role": "assistant", "tool_calls": [{"arguments": arguments, "id": f"i{r.conv_id}", "name": "t"}]}
+        assert r.json == json.dumps(expected, sort_keys=True, separators=(",", ":"), ensure_ascii=False) and r.problem == problem
+
+
+def test_references_are_ordered_in_linear_time():
+    long = {f"c{k}": [f"c{k + 1}", f"c{k + 1}"] if k < 200_000 else [] for k in range(200_001)}
+    order = chat.reference_order(long, {c: k for k, c in enumerate(long)})
+    assert order["c0"] == (400_000, False) and order["c200000"] == (None, False)
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        n = int(rng.integers(1, 9))
+        refs = {str(k): [str(x) for x in np.flatnonzero(rng.random(n) < 0.25)] for k in range(n)}
+        ahead = {c: int(rng.integers(0, 50)) for c in refs}
+        reach = {c: set(o) for c, o in refs.items()}
+        for _ in refs:
+            reach = {c: o | {x for y in o for x in reach[y]} for c, o in reach.items()}
+        order = chat.reference_order(refs, ahead)
+        assert {c for c, (_, cyclic) in order.items() if cyclic} == {c for c in refs if c in reach[c]}
+        for c, (due, cyclic) in order.items():
+            ends = [max(ahead[o], order[o][0] or ahead[o]) + 1 for o in refs[c]]
+            assert due == (None if cyclic or not ends else max(ends))
 
 
 # --- quality ----------------------------------------------------------------------------

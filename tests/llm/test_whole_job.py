@@ -45,10 +45,12 @@ def test_class_marks_end_at_articles_and_count_as_whole_names():
 
 def test_long_chains_are_ordered_and_only_cycles_are_cyclic(spark):
     rows = [(1, k, "assistant", call((f"c{k}", "find", {"q": f"$c{k + 1}"} if k < 99 else {"q": "x"}))) for k in range(100)]
+    rows += [(3, k, "assistant", call((f"c{k}", "find", {"q": f"$c{k + 1}"} if k < 9_999 else {"q": "x"}))) for k in range(10_000)]
     rows += [(2, 0, "assistant", call(("m", "find", {"q": "$n"}))), (2, 1, "assistant", call(("n", "find", {"q": "$m"}))),
              (2, 2, "assistant", call(("o", "find", {"q": "$m"}))), (2, 3, "assistant", call(("s", "find", {"q": "$s"})))]
     found = chats(spark, *rows)
-    assert [(r.turn, r.problem) for r in found if r.conv_id == 1] == [(k, None) for k in range(99, -1, -1)]
+    for conv, n in ((1, 100), (3, 10_000)):
+        assert [(r.turn, r.problem) for r in found if r.conv_id == conv] == [(k, None) for k in range(n - 1, -1, -1)]
     assert [(r.turn, r.problem) for r in found if r.conv_id == 2] == [(0, "cycle"), (1, "cycle"), (2, None), (3, "cycle")]
 
 

@@ -3,8 +3,14 @@
 Words are put in canonical form: numbers, names and units become typed placeholders, so that an item
 whose numbers or names were changed still has the windows of the original. Windows of the items are
 hash-joined with windows of the documents, both at every word; an item shorter than a window is one window of its own
-length. Where a document meets an item, the share of the item that it covers decides, and its slots are
-checked: a value of the item (a number, say) must stand for one value in the document.
+length. A window of placeholders only says nothing about an item, so it is met by its own values only. Where a document
+meets an item, the share of the item that it covers decides, and its slots are
+checked: a value of the item (a number, say) must stand for one value in the document, or in an occurrence, as a document may
+hold an item several times with different values.
+
+An occurrence is a group of hits whose place in the document less that in the item differs by less than the item's
+length: such differences are cut into steps of that length twice, half a step apart, so that words put in or left out keep a copy
+together in one of the two, while copies one after the other fall into different steps.
 
 Everything is DataFrame functions.
 """
@@ -53,26 +59,48 @@ def _starts(words: Column, width: Column) -> Column:
     return F.when(F.size(words) >= width, F.sequence(F.lit(0), F.size(words) - width, F.lit(1))).otherwise(none)
 
 
+def _window_hash(words: Column, form: Column, slots: Column, at: Column, width: Column) -> Column:
+    """Hash of the canonical words of a window; of its own words where all are placeholders. slots says which words are."""
+    own = F.get(slots, at) & F.forall(F.slice(slots, at + 1, width), lambda s: s)
+    plain = F.transform(F.slice(words, at + 1, width), lambda w: F.ltrim(w, F.lit(NAME_MARK)))
+    return F.when(own, F.xxhash64(plain, F.lit(True))).otherwise(F.xxhash64(F.slice(form, at + 1, width)))
+
+
 def _hashes(words: Column, widths: list[Column]) -> Column:
-    """Hash of the canonical words of a window of each width at every word."""
-    return let(F.transform(words, canonical), lambda form: F.concat(*[F.transform(
-        _starts(form, width), lambda at: F.xxhash64(F.slice(form, at + 1, width))
-    ) for width in widths]))
+    """Hash of a window of each width at every word."""
+    def of(form: Column) -> Column:
+        return let(F.zip_with(words, form, lambda w, f: w != f), lambda slots: F.concat(*[F.transform(
+            _starts(form, width), lambda at: _window_hash(words, form, slots, at, width)
+        ) for width in widths]))
 
+    return let(F.transform(words, canonical), of)
 
-def _slots(frame: DataFrame, widths: list[Column], value: str) -> DataFrame:
-    """All windows of frame (..., words): the hash of each, and the words that are placeholders in it, in order."""
+
+def _slots(frame: DataFrame, widths: list[Column], value: str, place: str) -> DataFrame:
+    """All windows of frame (..., words): the hash of each, the words that are placeholders in it, in order, and its place."""
 
     def windows(words: Column) -> Column:
         hashes = _hashes(words, widths)
         held = F.concat(*[F.transform(_starts(words, width), lambda at: F.filter(
             F.slice(words, at + 1, width), lambda w: canonical(w) != w
         )) for width in widths])
-        return F.arrays_zip(hashes.alias("window_hash"), held.alias(value))
+        places = F.concat(*[_starts(words, width) for width in widths])
+        return F.arrays_zip(hashes.alias("window_hash"), held.alias(value), places.alias(place))
 
     keys = [c for c in frame.columns if c != "words"]
     exploded = frame.select(*keys, F.explode(let(F.col("words"), windows)).alias("w"))
-    return exploded.select(*keys, "w.window_hash", f"w.{value}")
+    return exploded.select(*keys, "w.window_hash", f"w.{value}", f"w.{place}")
+
+
+def _scopes() -> Column:
+    """Where a hit counts: in the whole document, and in its step of either cut. (scope, step, bucket)"""
+    shift, size = F.col("doc_place") - F.col("item_place"), F.col("size")
+
+    def scope(number: int, step: Column, bucket: Column) -> Column:
+        return F.struct(F.lit(number).alias("scope"), step.cast("int").alias("step"), bucket.cast("bigint").alias("bucket"))
+
+    return F.array(scope(0, F.lit(0), F.lit(0)), scope(1, size, F.floor(shift / size)),
+                   scope(2, size, F.floor((shift + F.floor(size / 2)) / size)))
 
 
 def leaks(
@@ -82,9 +110,9 @@ def leaks(
     slots, consistent.
 
     docs (doc_id, text), benchmark (item_id, text); other columns are passed over. share is the part of the item's
-    windows that the document has, at least least_share. slots counts the different placeholder values of the item
-    in them, consistent says that each stands for one value in the document, as it does in a copy and in a question
-    with new parameters; pairs that are not consistent are reported only where their plain words cover the share.
+    windows that the document, or the occurrence with the most of them, has, at least least_share. slots counts the different placeholder values of the item
+    in them, consistent says that each stands for one value, as it does in a copy and in a question
+    with new parameters; what is not consistent is reported only where its plain words cover the share.
     Null and empty texts hold nothing. An item of fewer than ``window`` words is one window; if all its words are
     placeholders, it is met by its own values only. Repeated rows of docs give one pair, repeated items one pair for each item_id. A null
     doc_id or item_id stands for itself.
@@ -92,12 +120,11 @@ def leaks(
     words, width = F.col("words"), F.least(F.size("words"), F.lit(window))
     items = materialize(
         benchmark.select("item_id", marked_words(F.col("text")).alias("words")).filter(F.size("words") > 0).distinct()
-        .withColumn("bare", (F.size(words) < window) & F.forall(words, lambda w: canonical(w) != w)),
-        "items",
+        .withColumn("size", F.size("words")), "items",
     )
     # As many as the window has words, at most.
     widths = [F.lit(r["width"]) for r in items.select(width.alias("width")).distinct().orderBy("width").collect()] or [F.lit(window)]
-    item_windows = materialize(_slots(items, [width], "item_values").distinct(), "item-windows")
+    item_windows = materialize(_slots(items, [width], "item_values", "item_place"), "item-windows")
     anchors = materialize(item_windows.select("window_hash").distinct(), "item-window-hashes")
 
     keyed = row_keys(docs)
@@ -108,39 +135,39 @@ def leaks(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
         marked_words(F.col("text")).alias("words"),
     )
-    doc_windows = _slots(again, widths, "doc_values")
+    doc_windows = _slots(again, widths, "doc_values", "doc_place")
 
     pairs = ["doc_id", "text_hash", "item_id"]
-    # A window that an item or a document repeats is taken once with the same values.
+    within = [*pairs, "scope", "step", "bucket"]
+    # A window that an item, a document or an occurrence repeats is taken once with the same values.
+    met_items = doc_windows.join(item_windows, "window_hash")
     hits = materialize(
-        doc_windows.join(item_windows, "window_hash").distinct(),
-        "window-hits",
+        met_items.select(*pairs, "window_hash", "item_values", "doc_values", F.inline(_scopes())).distinct(), "window-hits",
     )
-    found = hits.groupBy(*pairs).agg(
+    found = hits.groupBy(*within).agg(
         F.count_distinct("window_hash").alias("found_windows"),
         F.count_distinct(F.when(F.col("doc_values") == F.col("item_values"), F.col("window_hash"))).alias("plain_windows"),
     )
     values = hits.filter(F.size("item_values") > 0).select(
-        *pairs, F.explode(F.arrays_zip("item_values", "doc_values")).alias("v")
-    ).select(*pairs, F.ltrim("v.item_values", F.lit(NAME_MARK)).alias("i"), F.ltrim("v.doc_values", F.lit(NAME_MARK)).alias("d"))
-    slots = values.distinct().groupBy(*pairs).agg(
+        *within, F.explode(F.arrays_zip("item_values", "doc_values")).alias("v")
+    ).select(*within, F.ltrim("v.item_values", F.lit(NAME_MARK)).alias("i"), F.ltrim("v.doc_values", F.lit(NAME_MARK)).alias("d"))
+    slots = values.distinct().groupBy(*within).agg(
         F.count_distinct("i").alias("slots"), (F.count(F.lit(1)) == F.count_distinct("i")).alias("consistent")
     )
-    sizes = item_windows.groupBy("item_id").agg(F.count_distinct("window_hash").alias("item_windows"), F.max("bare").alias("bare"))
+    sizes = item_windows.groupBy("item_id").agg(F.count_distinct("window_hash").alias("item_windows"))
     item = F.coalesce(F.col("item_id").cast("string"), F.lit(""))
-    found, slots, sizes = (f.withColumn("_item", item).withColumn("_no_item", F.col("item_id").isNull()) for f in (found, slots, sizes))
-    slots = slots.select(*[F.col(c).alias(f"_s_{c}") for c in pairs], "slots", "consistent")
-    joined = found.join(sizes.drop("item_id"), ["_item", "_no_item"]).join(
-        slots,
-        found["doc_id"].eqNullSafe(F.col("_s_doc_id")) & (found["text_hash"] == F.col("_s_text_hash"))
-        & found["item_id"].eqNullSafe(F.col("_s_item_id")), "left",
-    )
+    found, sizes = (f.withColumn("_item", item).withColumn("_no_item", F.col("item_id").isNull()) for f in (found, sizes))
+    slots = slots.select(*[F.col(c).alias(f"_s_{c}") for c in within], "slots", "consistent")
+    same = found["doc_id"].eqNullSafe(F.col("_s_doc_id")) & found["item_id"].eqNullSafe(F.col("_s_item_id"))
+    for name in ("text_hash", "scope", "step", "bucket"):
+        same = same & (found[name] == F.col(f"_s_{name}"))
+    joined = found.join(sizes.drop("item_id"), ["_item", "_no_item"]).join(slots, same, "left")
     consistent = F.coalesce("consistent", F.lit(True))
-    share = F.col("found_windows") / F.col("item_windows")
-    plain = F.col("plain_windows") / F.col("item_windows")
-    return joined.filter(F.when(consistent & ~F.col("bare"), share).otherwise(plain) >= least_share).select(
-        *pairs, "item_windows", "found_windows", share.alias("share"),
-        F.coalesce("slots", F.lit(0)).cast("bigint").alias("slots"), consistent.alias("consistent"),
+    told = F.when(consistent, F.col("found_windows")).otherwise(F.col("plain_windows")) / F.col("item_windows") >= least_share
+    best = joined.filter(told).groupBy(*pairs, "item_windows").agg(F.max(F.struct(
+        "found_windows", consistent.alias("consistent"), F.coalesce("slots", F.lit(0)).cast("bigint").alias("slots"))).alias("b"))
+    return best.select(
+        *pairs, "item_windows", "b.found_windows", (F.col("b.found_windows") / F.col("item_windows")).alias("share"), "b.slots", "b.consistent",
     )
 
 

@@ -29,13 +29,12 @@ def _canonical(word: str) -> str:
     )
 
 
-_LAST = WINDOW - 1
-_SPLIT = f"""SELECT *, unnest(range(1, len(w) - {_LAST} + 1)) AS k FROM (
-    SELECT *, list_transform(w, lambda t: {_canonical('t')}) AS c FROM {{source}}) WHERE len(w) >= {WINDOW}"""
-_WINDOWS = f"""SELECT DISTINCT {{keys}}, array_to_string(c[k:k + {_LAST}], ' ') AS h,
-    list_transform(list_filter(range(k, k + {WINDOW}), lambda j: c[j] <> w[j]), lambda j: w[j]) AS {{name}}
-  FROM ({_SPLIT})"""
-
+# Windows of n words of words w with canonical forms c: h is told by the words themselves where all are placeholders.
+_WINDOWS = f"""SELECT {{keys}}, k, list_transform(held, lambda j: w[j]) AS {{name}}, CASE WHEN len(held) = n
+      THEN 'own ' || array_to_string(list_transform(w[k:k + n - 1], lambda t: ltrim(t, '{NAME_MARK}')), ' ')
+      ELSE array_to_string(c[k:k + n - 1], ' ') END AS h
+  FROM (SELECT *, list_filter(range(k, k + n), lambda j: c[j] <> w[j]) AS held FROM (
+    SELECT *, unnest(range(1, len(w) - n + 2)) AS k FROM {{source}}))"""
 
 # --- vector codes: the rounds written out, distances as whole numbers in doubles -----------------------
 
@@ -92,22 +91,29 @@ WITH RECURSIVE c AS (SELECT conv_id, turn AS own, (turn // 2) % 4 AS k, turn * 4
 SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY pos, turn, role, text) - 1 AS place,
   CAST(call_ids AS VARCHAR) AS call_ids, CAST(linked AS BOOLEAN) AS linked, CAST(problem AS VARCHAR) AS problem, json FROM m""",
     "op10_decontamination": f"""
-WITH item_words AS (SELECT DISTINCT item_id, {_words('text')} AS w FROM benchmark),
-  doc_words AS (SELECT doc_id, text, {_words('text')} AS w FROM (SELECT DISTINCT doc_id, text FROM documents)),
-  iw AS ({_WINDOWS.format(keys='item_id', name='iv', source='item_words')}),
+WITH item_words AS (SELECT *, len(w) AS size, least(len(w), {WINDOW}) AS n, list_transform(w, lambda t: {_canonical('t')}) AS c
+    FROM (SELECT DISTINCT item_id, {_words('text')} AS w FROM benchmark) WHERE len(w) > 0),
+  doc_forms AS MATERIALIZED (SELECT *, list_transform(w, lambda t: {_canonical('t')}) AS c
+    FROM (SELECT doc_id, text, {_words('text')} AS w FROM (SELECT DISTINCT doc_id, text FROM documents))),
+  doc_words AS (SELECT * FROM doc_forms, (SELECT DISTINCT n FROM item_words) WHERE len(w) >= n),
+  iw AS ({_WINDOWS.format(keys='item_id, size', name='iv', source='item_words')}),
   dw AS ({_WINDOWS.format(keys='doc_id, text', name='dv', source='doc_words')}),
-  hits AS (SELECT * FROM dw JOIN iw USING (h)),
+  met AS (SELECT dw.doc_id, dw.text, item_id, h, iv, dv, size, dw.k - iw.k AS shift FROM dw JOIN iw USING (h)),
+  hits AS (SELECT DISTINCT doc_id, text, item_id, h, iv, dv, 0 AS scope, 0 AS step, 0 AS bucket FROM met
+    UNION SELECT doc_id, text, item_id, h, iv, dv, 1, size, floor(shift / size) FROM met
+    UNION SELECT doc_id, text, item_id, h, iv, dv, 2, size, floor((shift + size // 2) / size) FROM met),
   sizes AS (SELECT item_id, count(DISTINCT h) AS item_windows FROM iw GROUP BY item_id),
-  found AS (SELECT doc_id, text, item_id, count(DISTINCT h) AS found_windows,
+  found AS (SELECT doc_id, text, item_id, scope, step, bucket, count(DISTINCT h) AS found_windows,
       count(DISTINCT CASE WHEN dv = iv THEN h END) AS plain FROM hits GROUP BY ALL),
-  pairs AS (SELECT DISTINCT doc_id, text, item_id, ltrim(iv[j], '{NAME_MARK}') AS i, ltrim(dv[j], '{NAME_MARK}') AS d
+  pairs AS (SELECT DISTINCT doc_id, text, item_id, scope, step, bucket, ltrim(iv[j], '{NAME_MARK}') AS i, ltrim(dv[j], '{NAME_MARK}') AS d
     FROM (SELECT *, unnest(range(1, len(iv) + 1)) AS j FROM hits)),
-  slots AS (SELECT doc_id, text, item_id, count(DISTINCT i) AS slots, count(*) = count(DISTINCT i) AS consistent
-    FROM pairs GROUP BY ALL)
-SELECT doc_id, item_id, item_windows, found_windows, CAST(found_windows AS DOUBLE) / item_windows AS share,
-  coalesce(slots, 0) AS slots, coalesce(consistent, true) AS consistent
-FROM found JOIN sizes USING (item_id) LEFT JOIN slots USING (doc_id, text, item_id)
-WHERE CASE WHEN coalesce(consistent, true) THEN found_windows ELSE plain END >= {LEAST_SHARE} * item_windows""",
+  slots AS (SELECT doc_id, text, item_id, scope, step, bucket, count(DISTINCT i) AS slots, count(*) = count(DISTINCT i) AS consistent
+    FROM pairs GROUP BY ALL),
+  told AS (SELECT doc_id, text, item_id, item_windows, found_windows, coalesce(slots, 0) AS slots, coalesce(consistent, true) AS consistent
+    FROM found JOIN sizes USING (item_id) LEFT JOIN slots USING (doc_id, text, item_id, scope, step, bucket)
+    WHERE CASE WHEN coalesce(consistent, true) THEN found_windows ELSE plain END >= {LEAST_SHARE} * item_windows)
+SELECT doc_id, item_id, item_windows, found_windows, CAST(found_windows AS DOUBLE) / item_windows AS share, slots, consistent
+FROM told QUALIFY row_number() OVER (PARTITION BY doc_id, text, item_id ORDER BY found_windows DESC, consistent DESC, slots DESC) = 1""",
     "op11_vector_codes": f"""
 WITH kept AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r,
     list_transform(embedding, lambda y: floor({_SCALE} * CAST(y AS DOUBLE))) AS v FROM embeddings

@@ -130,3 +130,94 @@ def test_every_offset_and_short_items_are_met(spark):
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     found = {(r.doc_id, r.item_id): r.share for r in decontamination.leaks(docs(spark, *texts), bench).collect()}
     assert found == {**{(k, 1): 0.5 for k in range(4)}, **{(k, 2): 0.75 for k in range(4, 8)}, (8, 3): 1.0, (9, 4): 1.0}
+
+
+# --- decontamination --------------------------------------------------------------------
+
+QUESTION = "Tom has 5 apples and buys 12 more apples at 3 dollars each so how much does Tom pay for all the apples"
+
+
+def asked(name, a, b, c, unit="dollars", again=None):
+    return (f"{name} has {a} apples and buys {b} more apples at {c} {unit} each so how much does {again or name} pay for all the apples")
+
+
+def leaked(spark, texts, items):
+    table = docs(spark, *texts)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    return {(r.doc_id, r.item_id): r for r in decontamination.leaks(table, bench).collect()}
+
+
+def test_each_occurrence_has_values_of_its_own(spark):
+    mixed = asked("Anna", 8, 90, 7, "euros", again="Peter")
+    texts = [
+        f"{prose(1, 300)} and {asked('Anna', 8, 90, 7, 'euros')} then {prose(2, 50)} so {asked('Paul', 4, 6, 9)} {prose(3, 200)}",
+        f"and {asked('Anna', 8, 90, 7)} {asked('Paul', 4, 6, 9)} {asked('Maria', 1, 2, 3)}", mixed, f"{mixed} {mixed}",
+        asked("Anna", 8, 90, 7).replace("more apples", "more very red apples"),
+        f"{asked('Anna', 8, 90, 7)} {prose(4, 30)} buys 4 more apples at 9 dollars each so how",
+    ]
+    found = leaked(spark, texts, [QUESTION])
+    assert set(found) == {(0, 0), (1, 0), (4, 0), (5, 0)}
+    assert all(r.consistent and r.share >= 0.5 for r in found.values()) and found[0, 0].share == 1.0
+
+
+def test_windows_of_placeholders_are_met_by_their_own_values(spark):
+    numbers = " ".join(str(k * 7 % 100) for k in range(3000))
+    found = leaked(spark, [numbers, "9 8 7 6 5 4", "1 2 3", "3 2 1", f"x {numbers}"], ["1 2 3 4 5 6 7 8 9 10", "1 2 3", "7 14 21 28 35 42 49 56"])
+    assert set(found) == {(0, 2), (2, 1), (4, 2)}
+
+
+def plain_leaks(text, item, window=6):
+    """The definition, hit by hit: best (windows, consistent, slots) of the whole text and of each step of both cuts."""
+    def form(w):
+        low = w.lower()
+        for listed, mark in ((decontamination.NUMBERS, "<num>"), (decontamination.NAMES, "<name>"), (decontamination.UNITS, "<unit>")):
+            if low in listed:
+                return mark
+        return "<num>" if re.fullmatch("[0-9]+(st|nd|rd|th)?", low) else low
+
+    def windows(words, width):
+        for at in range(len(words) - width + 1):
+            part, own = words[at : at + width], [form(w) for w in words[at : at + width]]
+            slots = tuple(w for w, f in zip(part, own) if w != f)
+            yield at, (tuple(part), True) if len(slots) == width else (tuple(own), False), slots
+
+    words, theirs = text.split(), item.split()
+    width, size = min(window, len(theirs)), len(theirs)
+    mine = list(windows(words, width))
+    in_item = list(windows(theirs, width))
+    total, scopes = len({h for _, h, _ in in_item}), {}
+    for at, h, values in mine:
+        for place, other, item_values in in_item:
+            if h == other:
+                for key in ((0, 0), (1, (at - place) // size), (2, (at - place + size // 2) // size)):
+                    scopes.setdefault(key, []).append((h, item_values, values))
+    best = None
+    for hits in scopes.values():
+        pairs = {(i, d) for _, a, b in hits for i, d in zip(a, b)}
+        consistent = len(pairs) == len({i for i, _ in pairs})
+        count = len({h for h, a, b in hits if consistent or a == b})
+        if count >= 0.5 * total:
+            best = max(best or (0, False, 0), (len({h for h, _, _ in hits}), consistent, len({i for i, _ in pairs})))
+    return best and (total, *best)
+
+
+def test_leaks_equal_a_plain_version(spark):
+    import random
+
+    rng = random.Random(8)
+    names = sorted(decontamination.NAMES)[:3]
+    vocabulary = ["has", "and", "buys", "then", "so", "how", "1", "2", "3", "4", *names, sorted(decontamination.UNITS)[0]]
+    items = [" ".join(rng.choice(vocabulary) for _ in range(n)) for n in (2, 5, 8, 12, 20, 30)]
+    texts = []
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randrange(1, 4)):
+            words = rng.choice(items).split()
+            words = [rng.choice("1234") if w.isdigit() and rng.random() < 0.4 else w for w in words]
+            if rng.random() < 0.5:
+                words.insert(rng.randrange(len(words)), rng.choice(vocabulary))
+            parts += words + [rng.choice(vocabulary) for _ in range(rng.randrange(6))]
+        texts.append(" ".join(parts))
+    found = leaked(spark, texts, items)
+    expected = {(d, i): plain_leaks(t, x) for d, t in enumerate(texts) for i, x in enumerate(items)}
+    assert {k: (r.item_windows, r.found_windows, r.consistent, r.slots) for k, r in found.items()} == {k: v for k, v in expected.items() if v}

@@ -6,17 +6,19 @@ counted lengths is found by bin completion; and tasks deal the pieces of each le
 the places that the plan has for it. The plan has a size bound (a row for each length of each
 pattern), however many pieces there are.
 
-Bin completion: the largest piece left opens a sequence, and a branch-and-bound search goes
-through the fillings of the rest that are not dominated (nothing left over would still
-fit, and larger pieces come first, as small ones fit anywhere later). A branch is pruned when
-the waste it must leave is no less than that of the incumbent, the best filling so far, and
-the search ends at no waste. The filling found is used as often as the counts allow.
+Bin completion: the largest piece left opens a sequence, and the search branches over the undominated
+fillings of its rest, those of least waste first. A filling is dominated if a piece that is left
+could take the place of some of its pieces that together are no longer, or of nothing. Best-fit decreasing gives the first
+incumbent and completes partial packings to further ones. A branch ends where its sequences and the L2 bound of what is
+left reach the incumbent, or where a filling wastes more than a better packing may. Fillings are tried in the
+order of limited discrepancy: first the best ones everywhere, each as often as the counts allow, then packings
+that depart from that once, twice and so on. So a plan is never worse than best fit.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -29,7 +31,8 @@ from ..sources import materialize
 from .text import texts
 
 CAPACITY = 2048
-NODES = 3000
+# Work of the search for a packing, in lengths looked at; a branch counts as STEP of them.
+WORK, STEP = 2_000_000, 200
 ROWS_PER_SALT = 50_000
 
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -94,60 +97,211 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, PIECE_SCHEMA)
 
 
-def complete(room: int, lengths: list[int], left: dict[int, int], nodes: int = NODES) -> list[int]:
-    """Best filling of room, longest first, from the lengths (ascending) with so many of each left."""
-    best: list[int] = []
-    best_waste, budget = room, nodes
-    chosen: list[int] = []
-    used: Counter[int] = Counter()
-
-    def search(space: int, top: int) -> bool:
-        """True when no better filling can exist or the nodes are used up."""
-        nonlocal best, best_waste, budget
-        budget -= 1
-        i, maximal = bisect_right(lengths, space, 0, top) - 1, True
-        while i >= 0:
+Pattern = tuple[tuple[int, int], ...]  # (length, pieces of it), longest first
+
+
+def best_fit(left: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
+    """Best-fit decreasing over counted lengths: (pattern, sequences). Each length splits one group of like sequences at most."""
+    groups: dict[int, list[tuple[Pattern, int]]] = {}
+    rooms: list[int] = []
+
+    def add(room: int, pattern: Pattern, times: int) -> None:
+        if times:
+            if room not in groups:
+                insort(rooms, room)
+            groups.setdefault(room, []).append((pattern, times))
+
+    for size in sorted((s for s, n in left.items() if n), reverse=True):
+        n = left[size]
+        while n:
+            i = bisect_left(rooms, size)
+            if i == len(rooms):
+                room, pattern, times = capacity, (), n
+            else:
+                room = rooms[i]
+                pattern, times = groups[room].pop()
+                if not groups[room]:
+                    del groups[room], rooms[i]
+            # The tightest sequence stays the tightest while it holds another piece, so it is filled before the next.
+            each = room // size
+            full = min(times, n // each)
+            add(room - each * size, (*pattern, (size, each)), full)
+            n -= full * each
+            if full < times:
+                if n:
+                    add(room - n * size, (*pattern, (size, n)), 1)
+                    full, n = full + 1, 0
+                if pattern:
+                    add(room, pattern, times - full)
+    return [group for own in groups.values() for group in own]
+
+
+def l2_bound(left: np.ndarray, capacity: int = CAPACITY) -> int:
+    """Sequences that any packing needs, by the L2 bound; left counts the pieces of each length from 0 to capacity.
+
+    For each k up to half the capacity: pieces above the half need a sequence each, those above capacity - k
+    let no piece of k or more join them, and what pieces from k to the half need beyond the room of the others comes on top.
+    """
+    half = capacity // 2
+    number, total = np.cumsum(left), np.cumsum(left * np.arange(capacity + 1))
+    k = np.arange(half + 1)
+    alone = number[capacity] - number[half]
+    open_number, open_total = number[capacity - k] - number[half], total[capacity - k] - total[half]
+    small = total[half] - np.where(k > 0, total[k - 1], 0)
+    return int(alone + max(0, np.max(-((open_number * capacity - open_total - small) // capacity))))
+
+
+def _dominated(filling: Pattern, waste: int, available: int) -> bool:
+    """Whether an available length (a bit each) could replace pieces of the filling that are together no longer, or be added."""
+    if (available >> 1) & ((1 << waste) - 1):
+        return True
+    none, single, several = 1, 0, 0
+    for size, n in filling:
+        if (available >> (size + 1)) & ((1 << waste) - 1):
+            return True
+        for _ in range(n):
+            several |= (several | single) << size
+            single |= none << size
+    width = 1
+    while width <= waste:
+        step = min(width, waste + 1 - width)
+        several |= several << step
+        width += step
+    return bool(several & available)
+
+
+def fillings(room: int, left: dict[int, int], work: list[int] | None = None) -> Iterator[tuple[int, Pattern]]:
+    """(waste, filling) of the undominated fillings of room from the lengths with so many of each left, least waste first.
+
+    Sums within reach are bits of whole numbers, so the search meets no dead end. work[0] is lowered by the lengths looked at.
+    """
+    lengths = sorted(s for s, n in left.items() if n and s <= room)
+    mask = (1 << (room + 1)) - 1
+    reach = [1]
+    for size in lengths:
+        sums, n, part = reach[-1], min(left[size], room // size), 1
+        while n:
+            part = min(part, n)
+            sums |= (sums << (size * part)) & mask
+            n, part = n - part, part * 2
+        reach.append(sums)
+    if work is not None:
+        work[0] -= len(lengths)
+
+    def parts(target: int, top: int) -> Iterator[Pattern]:
+        if target == 0:
+            yield ()
+            return
+        for i in range(top - 1, -1, -1):
+            if not reach[i + 1] >> target & 1:
+                return
             size = lengths[i]
-            if used[size] < left[size]:
-                # What follows can add at most what is still there of this and smaller lengths.
-                maximal = False
-                used[size] += 1
-                chosen.append(size)
-                done = search(space - size, i + 1)
-                chosen.pop()
-                used[size] -= 1
-                if done or budget <= 0:
-                    return True
-                # A filling that starts smaller leaves this much at least, if it holds a single piece more.
-                if i and lengths[0] > space - lengths[i - 1] and space - lengths[i - 1] >= best_waste:
-                    return False
-            i -= 1
-        if maximal and space < best_waste:
-            best, best_waste = chosen.copy(), space
-        return best_waste == 0
-
-    search(room, len(lengths))
-    return best
-
-
-def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[dict[int, int], int]]:
-    """(pieces of each length in a sequence, number of such sequences), for all counted lengths."""
-    left = {size: n for size, n in counts.items() if n > 0}
+            for n in range(min(left[size], target // size), 0, -1):
+                if reach[i] >> (target - n * size) & 1:
+                    for rest in parts(target - n * size, i):
+                        yield ((size, n), *rest)
+
+    every = sum(1 << size for size in lengths)
+    for waste in range(room + 1):
+        if reach[-1] >> (room - waste) & 1:
+            for filling in parts(room - waste, len(lengths)):
+                if work is not None:
+                    work[0] -= 1
+                    if work[0] < 0:
+                        return
+                used_up = sum(1 << size for size, n in filling if n == left[size])
+                if not _dominated(filling, waste, every & ~used_up):
+                    yield waste, filling
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY, work: int = WORK) -> list[tuple[dict[int, int], int]]:
+    """(pieces of each length in a sequence, number of such sequences), for all counted lengths; as few as were found.
+
+    The search ends when it is exhausted, when the incumbent meets the L2 bound of all pieces (both prove it the best), or when
+    so much work is done: lengths and fillings looked at, and STEP for each branch. The first descent is always finished. What
+    is returned then is the incumbent, no worse than best-fit decreasing.
+    """
+    left = {size: n for size, n in sorted(counts.items()) if n > 0}
     if any(not 0 < size <= capacity for size in left):
         raise ValueError("lengths must lie between 1 and the capacity")
-    lengths, patterns = sorted(left), []
-    while lengths:
-        largest = lengths[-1]
-        left[largest] -= 1
-        filling = complete(capacity - largest, lengths, left, nodes)
-        left[largest] += 1
-        pattern = Counter([largest, *filling])
-        times = min(left[size] // n for size, n in pattern.items())
-        patterns.append((dict(pattern), times))
-        for size, n in pattern.items():
+    number = np.zeros(capacity + 1, np.int64)
+    for size, n in left.items():
+        number[size] = n
+    area = np.arange(capacity + 1)
+    bound = l2_bound(number, capacity)
+    best = best_fit(left, capacity)
+    fewest = sum(times for _, times in best)
+    budget = [work]
+
+    def apply(pattern: Pattern, times: int) -> None:
+        for size, n in pattern:
             left[size] -= n * times
-        lengths = [size for size in lengths if left[size]]
-    return patterns
+            number[size] -= n * times
+
+    def options(used: int, first: bool) -> Iterator[tuple[int, Pattern, int]]:
+        """(discrepancy, pattern, sequences) for the largest piece left; a filling is used as often as it can be, then once."""
+        largest = int(np.flatnonzero(number)[-1])
+        left[largest] -= 1
+        offered = fillings(capacity - largest, left, None if first else budget)
+        total, cost = int((number * area).sum()), 0
+        while True:
+            waste, filling = next(offered, (None, ()))
+            left[largest] += 1
+            # A packing better than the incumbent has this much room beside its pieces.
+            if waste is None or waste > (fewest - 1 - used) * capacity - total:
+                return
+            merged = dict([(largest, 1)])
+            for size, n in filling:
+                merged[size] = merged.get(size, 0) + n
+            pattern = tuple(merged.items())
+            most = min(left[size] // n for size, n in pattern)
+            yield cost, pattern, most
+            if most > 1:
+                yield cost + 1, pattern, 1
+            cost += 1
+            left[largest] -= 1
+
+    def descend(allowance: int) -> bool:
+        """Whether packings of more discrepancy than allowed were left out."""
+        nonlocal best, fewest
+        cut, path, used = False, [], 0
+        stack = [(options(0, not allowance), allowance)]
+        while stack:
+            offered, allowed = stack[-1]
+            cost, pattern, times = next(offered, (None, (), 0))
+            if cost is None or cost > allowed:
+                cut |= cost is not None
+                stack.pop()
+                if path:
+                    apply(path[-1][0], -path[-1][1])
+                    used -= path.pop()[1]
+                continue
+            apply(pattern, times)
+            path.append((pattern, times))
+            used += times
+            if allowance:
+                budget[0] -= STEP
+            lower = used + l2_bound(number, capacity)
+            if lower < fewest and (len(path) % 16 == 1 or np.count_nonzero(number) <= 64):
+                rest = best_fit(left, capacity)
+                if used + sum(n for _, n in rest) < fewest:
+                    best, fewest = [*path, *rest], used + sum(n for _, n in rest)
+            if budget[0] < 0 or fewest <= bound:
+                return False
+            if lower < fewest and number.any():
+                stack.append((options(used, not allowance), allowed - cost))
+            else:
+                apply(pattern, -times)
+                path.pop()
+                used -= times
+        return cut
+
+    start, wave = (dict(left), number.copy()), 0
+    while fewest > bound and budget[0] >= 0 and descend(wave):
+        wave += 1
+        left.update(start[0])
+        number[:] = start[1]
+    return [(dict(pattern), times) for pattern, times in best]
 
 
 def _places(patterns: list[tuple[dict[int, int], int]]) -> dict[str, np.ndarray]:
@@ -184,16 +338,17 @@ def ranked(cut_pieces: DataFrame, lengths: DataFrame) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, nodes: int = NODES) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, work: int = WORK) -> DataFrame:
     """One row per piece of docs (doc_id, text): PIECE_SCHEMA plus sequence_id and offset, which is gapless from 0.
 
     A document longer than capacity is cut into full pieces, the first of which may be shorter; all others stay whole.
     Null and empty texts have one id and are packed; rows with equal doc_id are packed each; no rows give no rows.
+    work bounds the search for fewer sequences (see plan); all pieces are packed whatever it is.
     """
     cut_pieces = materialize(pieces(docs, tokenizer_path, capacity), "pieces")
     lengths = materialize(cut_pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")), "piece-lengths")
     # At most `capacity` rows.
-    places = _places(plan({r["length"]: r["n"] for r in lengths.collect()}, capacity, nodes))
+    places = _places(plan({r["length"]: r["n"] for r in lengths.collect()}, capacity, work))
     # Ranks of one length stay below 2 ** 50.
     starts = (places["length"] << 50) + places["rank"]
 

@@ -218,25 +218,77 @@ def test_packing(spark):
     assert packing.pack(docs(spark, "x").limit(0), tokenizer_path()).count() == 0
 
 
-@pytest.mark.parametrize("seed", range(12))
-def test_plan_is_near_the_best(seed):
+def checked_plan(counts, capacity, **options):
+    found = packing.plan(counts, capacity, **options)
+    assert sum((Counter({k: n * t for k, n in p.items()}) for p, t in found), Counter()) == Counter(counts)
+    assert all(sum(k * n for k, n in p.items()) <= capacity for p, _ in found)
+    return sum(t for _, t in found)
+
+
+def plain_best_fit(counts, capacity):
+    rooms = []
+    for size in sorted(Counter(counts).elements(), reverse=True):
+        fitting = [i for i, room in enumerate(rooms) if room >= size]
+        if fitting:
+            rooms[min(fitting, key=rooms.__getitem__)] -= size
+        else:
+            rooms.append(capacity - size)
+    return len(rooms)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_plan_of_few_pieces_is_the_best(seed):
     rng = np.random.default_rng(seed)
-    counts = Counter(int(x) for x in rng.integers(1, 21, 12))
-    found = packing.plan(counts, 20)
-    assert sum((Counter({k: n * t for k, n in p.items()}) for p, t in found), Counter()) == counts
-    assert all(sum(k * n for k, n in p.items()) <= 20 for p, _ in found)
-
-    def fewest(left, bins=()):
-        if not left:
-            return len(bins)
-        best, tried = len(bins) + len(left), set()
-        for k, room in enumerate(bins):
-            if room >= left[0] and room not in tried:
-                tried.add(room)
-                best = min(best, fewest(left[1:], (*bins[:k], room - left[0], *bins[k + 1:])))
-        return min(best, fewest(left[1:], (*bins, 20 - left[0]))) if len(bins) < 9 else best
-
-    assert sum(t for _, t in found) <= fewest(sorted(counts.elements(), reverse=True)[:9]) + math.ceil(max(0, counts.total() - 9) / 2) + 1
+    low = int(rng.integers(1, 7))
+    counts = Counter(int(x) for x in rng.integers(low, 21, 13))
+    left = sorted(counts.elements(), reverse=True)
+    seen = set()
+
+    def fits(at, rooms):
+        """Exhaustive: whether the pieces from at on go into the rooms."""
+        if at == len(left):
+            return True
+        if (at, rooms) in seen:
+            return False
+        seen.add((at, rooms))
+        return any(
+            fits(at + 1, tuple(sorted((*rooms[:k], room - left[at], *rooms[k + 1:]))))
+            for k, room in enumerate(rooms) if room >= left[at] and room not in rooms[:k]
+        )
+
+    best = 1
+    while not fits(0, (20,) * best):
+        best += 1
+        seen.clear()
+    assert checked_plan(counts, 20) == best
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_is_no_worse_than_best_fit(seed):
+    rng = np.random.default_rng(seed)
+    few = Counter(int(x) for x in rng.choice([341, 400, 683, 684, 700, 1024, 1025], 250))
+    many = Counter(int(x) for x in rng.integers(1, 600, 1500))
+    assert checked_plan(few, 2048) < plain_best_fit(few, 2048)
+    assert checked_plan(many, 2048) == math.ceil(sum(k * n for k, n in many.items()) / 2048)
+    for counts in (few, many):
+        assert sum(t for _, t in packing.best_fit(counts)) == plain_best_fit(counts, 2048)
+        number = np.zeros(2049, np.int64)
+        number[list(counts)] = list(counts.values())
+        assert packing.l2_bound(number) <= checked_plan(counts, 2048, work=0) <= plain_best_fit(counts, 2048)
+
+
+def test_plan_of_billions_and_of_nothing():
+    billions = {1025: 3 * 10**9, 1023: 2 * 10**9, 512: 10**9, 1: 7}
+    assert checked_plan(billions, 2048) == 3 * 10**9
+    assert packing.plan({}) == [] and packing.plan({5: 0}) == []
+    with pytest.raises(ValueError):
+        packing.plan({2049: 1})
+
+
+def test_fillings_are_undominated():
+    found = list(packing.fillings(10, {7: 1, 5: 2, 4: 1, 3: 2, 2: 1}))
+    # 5+5 gives way to nothing; 4+3+3 has 7 in place of 4+3, and 5+3+2 has 5 in place of 3+2.
+    assert found == [(0, ((7, 1), (3, 1))), (0, ((5, 2),))]
 
 
 @pytest.mark.parametrize("rows", [1, 2, 3, 5, 16, 17, 1000, 4097])

@@ -173,7 +173,7 @@ def _dominated(filling: Pattern, waste: int, available: int) -> bool:
 def fillings(room: int, left: dict[int, int], work: list[int] | None = None) -> Iterator[tuple[int, Pattern]]:
     """(waste, filling) of the undominated fillings of room from the lengths with so many of each left, least waste first.
 
-    Sums within reach are bits of whole numbers, so the search meets no dead end. work[0] is lowered by the lengths looked at.
+    Sums within reach are bits of whole numbers, so the search meets no dead end. work[0] is lowered by the lengths and fillings looked at.
     """
     lengths = sorted(s for s, n in left.items() if n and s <= room)
     mask = (1 << (room + 1)) - 1
@@ -206,7 +206,7 @@ def fillings(room: int, left: dict[int, int], work: list[int] | None = None) ->
         if reach[-1] >> (room - waste) & 1:
             for filling in parts(room - waste, len(lengths)):
                 if work is not None:
-                    work[0] -= 1
+                    work[0] -= 10 + sum(n for _, n in filling)
                     if work[0] < 0:
                         return
                 used_up = sum(1 << size for size, n in filling if n == left[size])
@@ -218,7 +218,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, work: int = WORK) ->
     """(pieces of each length in a sequence, number of such sequences), for all counted lengths; as few as were found.
 
     The search ends when it is exhausted, when the incumbent meets the L2 bound of all pieces (both prove it the best), or when
-    so much work is done: lengths and fillings looked at, and STEP for each branch. The first descent is always finished. What
+    so much work is done: lengths looked at, the pieces of fillings
+    looked at and ten for each of them, and STEP for each branch. The first descent is always finished. What
     is returned then is the incumbent, no worse than best-fit decreasing.
     """
     left = {size: n for size, n in sorted(counts.items()) if n > 0}
@@ -238,8 +239,11 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, work: int = WORK) ->
             left[size] -= n * times
             number[size] -= n * times
 
-    def options(used: int, first: bool) -> Iterator[tuple[int, Pattern, int]]:
-        """(discrepancy, pattern, sequences) for the largest piece left; a filling is used as often as it can be, then once."""
+    def options(used: int, allowed: int, first: bool) -> Iterator[tuple[int, Pattern, int]]:
+        """(discrepancy, pattern, sequences) for the largest piece left; a filling is used as often as it can be, then once.
+
+        The one that follows those within the allowed discrepancy has no pattern, as it is not looked for.
+        """
         largest = int(np.flatnonzero(number)[-1])
         left[largest] -= 1
         offered = fillings(capacity - largest, left, None if first else budget)
@@ -259,13 +263,16 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, work: int = WORK) ->
             if most > 1:
                 yield cost + 1, pattern, 1
             cost += 1
+            if cost > allowed:
+                yield cost, (), 0
+                return
             left[largest] -= 1
 
     def descend(allowance: int) -> bool:
         """Whether packings of more discrepancy than allowed were left out."""
         nonlocal best, fewest
         cut, path, used = False, [], 0
-        stack = [(options(0, not allowance), allowance)]
+        stack = [(options(0, allowance, not allowance), allowance)]
         while stack:
             offered, allowed = stack[-1]
             cost, pattern, times = next(offered, (None, (), 0))
@@ -289,7 +296,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, work: int = WORK) ->
             if budget[0] < 0 or fewest <= bound:
                 return False
             if lower < fewest and number.any():
-                stack.append((options(used, not allowance), allowed - cost))
+                stack.append((options(used, allowed - cost, not allowance), allowed - cost))
             else:
                 apply(pattern, -times)
                 path.pop()

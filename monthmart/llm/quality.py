@@ -1,10 +1,13 @@
 """Quality by perplexity under an n-gram model of trusted text.
 
-The model is an interpolated modified Kneser-Ney model of characters (trigrams by default). Characters are
-mapped to ``SYMBOLS`` symbols: the most frequent ones of all documents, and one for all
-others. Counts are taken in the tasks, summed by n-gram across the cluster (sharded by the hash of the n-gram), and the
-discounts, continuation counts and interpolation weights come from joins of the count tables. With a fixed alphabet
-the model has at most SYMBOLS ** order rows, whatever the corpus, which is the bound its broadcast relies on.
+The model is an interpolated modified Kneser-Ney model of characters (trigrams by default) over an open alphabet:
+a key holds the code points themselves, and all characters that trusted text lacks share one more symbol's chance. Counts are taken in the
+tasks and summed by n-gram across the cluster; discounts, continuation counts and what contexts leave over come from joins of
+the count tables, sharded by n-gram. The different n-grams of all documents, aggregated in the tasks before they are
+shuffled, are joined with them, order by order, which gives each its log probability. That table grows with the
+text. It goes back to the documents in one of two ways with equal results: up to ``BROADCAST_GRAMS`` rows, which are
+counted, it is broadcast and no text moves; beyond, documents are dealt into blocks of bounded size, each block's
+different n-grams are joined with the table, and a block meets its own n-grams only.
 
 A document's score is its perplexity per character. Documents beyond a quantile of the trusted
 documents of their language are rejected.
@@ -16,22 +19,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import materialize
 from .text import matching_rows, texts
 
-ORDER, SYMBOLS = 3, 128
+ORDER = 3
+# A code point takes so many bits of a key, so three of them make a whole number.
+BITS = 21
+# Rows of (n-gram, log probability) that a broadcast may have: 48 MB.
+BROADCAST_GRAMS = 3_000_000
+# Characters of a block of documents where the table is not broadcast.
+BLOCK_CHARS = 4_000_000
 # A document goes if its perplexity is beyond this quantile of the trusted ones times this margin.
 QUANTILE, MARGIN = 0.98, 1.15
 LEAST_TRUSTED = 50
 # A short text says little: its perplexity is taken together with so many characters of usual trusted text.
 PRIOR_CHARS = 50
-BORDER = 0  # symbol before and after a text
-OTHER = 1
+BORDER = 0x110000  # before and after a text; no code point
 CHARS_PER_STEP = 2_000_000
-_CODES = 0x110000
 
 
 def _codes(text: str) -> np.ndarray:
@@ -46,24 +53,17 @@ def _chunks(all_texts: list[str], order: int) -> Iterator[tuple[np.ndarray, np.n
         while end < len(all_texts) and (end == start or size + len(all_texts[end]) <= CHARS_PER_STEP):
             size += len(all_texts[end]) + order
             end += 1
-        border = np.full(order - 1, _CODES, np.uint32)
-        parts = [x for t in all_texts[start:end] for x in (border, _codes(t), border[:1])]
+        border = np.full(order - 1, BORDER, np.uint32)
+        parts = [x for t in all_texts[start:end] for x in (border, _codes(t), np.full(1, BORDER, np.uint32))]
         yield np.concatenate(parts), np.array([len(t) for t in all_texts[start:end]]), start
         start = end
 
 
-def _symbol_table(alphabet: list[int]) -> np.ndarray:
-    table = np.full(_CODES + 1, OTHER, np.int64)
-    table[alphabet] = np.arange(2, len(alphabet) + 2)
-    table[_CODES] = BORDER
-    return table
-
-
-def _grams(symbols: np.ndarray, lengths: np.ndarray, order: int, base: int) -> np.ndarray:
+def _grams(codes: np.ndarray, lengths: np.ndarray, order: int) -> np.ndarray:
     """Key of the n-gram that ends at each character and at the border after it, text by text."""
-    key = np.zeros(len(symbols) - order + 1, np.int64)
+    key = np.zeros(len(codes) - order + 1, np.int64)
     for k in range(order):
-        key = key * base + symbols[k : len(symbols) - order + 1 + k]
+        key = (key << BITS) + codes[k : len(codes) - order + 1 + k]
     sizes = lengths + order  # borders before and one after
     offsets = np.cumsum(sizes) - sizes
     inside = np.repeat(offsets, lengths + 1) + np.arange(int((lengths + 1).sum())) - np.repeat(
@@ -72,39 +72,31 @@ def _grams(symbols: np.ndarray, lengths: np.ndarray, order: int, base: int) -> n
     return key[inside]
 
 
-def alphabet_of(docs: DataFrame, symbols: int = SYMBOLS) -> list[int]:
-    """Code points of the most frequent characters (ties to the smaller), symbols - 2 at most."""
+def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """(gram, n): counts of all n-grams of the highest order in the texts of docs."""
+    if not 1 <= order <= 63 // BITS:
+        raise ValueError("a key holds one to three characters")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(_CODES, np.int64)
         for batch in batches:
-            for t in texts(batch):
-                code, n = np.unique(_codes(t), return_counts=True)
-                total[code] += n
-        code = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(total[code])], ["code", "n"])
+            for codes, lengths, _ in _chunks(texts(batch), order):
+                gram, n = np.unique(_grams(codes, lengths, order), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], ["gram", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
-    return [r["code"] for r in counts.orderBy(F.desc("n"), "code").limit(symbols - 2).collect()]
+    return docs.select("text").mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def gram_counts(trusted: DataFrame, alphabet: list[int], order: int = ORDER, symbols: int = SYMBOLS) -> DataFrame:
-    """(gram, n): counts of all n-grams of the highest order, a key written in base ``symbols``."""
+def _context(gram: str = "gram") -> Column:
+    return F.shiftright(gram, BITS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, total = _symbol_table(alphabet), np.zeros(symbols**order, np.int64)
-        for batch in batches:
-            for codes, lengths, _ in _chunks(texts(batch), order):
-                gram, n = np.unique(_grams(table[codes], lengths, order, symbols), return_counts=True)
-                total[gram] += n
-        gram = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(total[gram])], ["gram", "n"])
 
-    return trusted.select("text").mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+def _ending(size: int, gram: str = "gram") -> Column:
+    """The last size characters of a gram."""
+    return F.col(gram) % F.lit(1 << (BITS * size)) if size * BITS < 63 else F.col(gram)
 
 
-def _discounted(counts: DataFrame, symbols: int) -> DataFrame:
-    """(gram, context, part, gamma): discounted probability of a gram after its context, and what the context leaves over.
+def _discounted(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gram, part), the discounted probability of a gram after its context, and (context, gamma), what the context leaves over.
 
     Discounts for counts of 1, 2 and more come from the numbers of grams with counts 1 to 4, as in modified Kneser-Ney.
     """
@@ -115,83 +107,102 @@ def _discounted(counts: DataFrame, symbols: int) -> DataFrame:
     ratio = [(a, b) for a, b in ((c1, c2), (c2, c3), (c3, c4))]
     steps = [min(k, max(0.1, k - (k + 1) * y * b / a)) if a else 0.5 * k for k, (a, b) in enumerate(ratio, 1)]
     discount = F.when(F.col("n") == 1, steps[0]).when(F.col("n") == 2, steps[1]).otherwise(steps[2])
-    parts = counts.withColumn("context", F.floor(F.col("gram") / symbols)).withColumn("discount", discount)
+    parts = counts.withColumn("context", _context()).withColumn("discount", discount)
     total = parts.groupBy("context").agg(F.sum("n").alias("total"), F.sum("discount").alias("left"))
-    return parts.join(total, "context").select(
-        "gram", "context", ((F.col("n") - F.col("discount")) / F.col("total")).alias("part"),
-        (F.col("left") / F.col("total")).alias("gamma"),
+    return (
+        parts.join(total, "context").select("gram", ((F.col("n") - F.col("discount")) / F.col("total")).alias("part")),
+        total.select("context", (F.col("left") / F.col("total")).alias("gamma")),
     )
 
 
-def kneser_ney(counts: DataFrame, order: int = ORDER, symbols: int = SYMBOLS) -> list[DataFrame]:
-    """For each order from 1: (gram, context, part, gamma) tables, counts below the highest order being continuations."""
-    levels, current = [_discounted(counts, symbols)], counts
+def kneser_ney(counts: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, DataFrame]]:
+    """Tables (gram, part) and (context, gamma) for each order from 1, counts below the highest order being continuations."""
+    levels, current = [_discounted(counts)], counts
     for size in range(order - 1, 0, -1):
-        # Each different gram of the order above adds one to the gram without its first symbol.
-        current = current.groupBy((F.col("gram") % symbols**size).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
-        levels.append(_discounted(current, symbols))
+        # Each different gram of the order above adds one to the gram without its first character.
+        current = current.groupBy(_ending(size).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        levels.append(_discounted(current))
     return levels[::-1]
 
 
-class Model:
-    """Log probability of a symbol after each context, as tables addressed by the key of the n-gram."""
-
-    def __init__(self, alphabet: list[int], parts: list[np.ndarray], gammas: list[np.ndarray], order: int, symbols: int):
-        self.alphabet, self.order, self.symbols = alphabet, order, symbols
-        chance = np.full(symbols, 1 / symbols)
-        for part, gamma in zip(parts, gammas):
-            # The lower order's chance of a gram without its first symbol, spread over all first symbols.
-            lower = np.tile(chance, len(part) // len(chance))
-            chance = part + np.repeat(gamma, symbols) * lower
-        self.log = np.log(chance).astype(np.float32)
-
+def log_probabilities(wanted: DataFrame, counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(gram, log) for the different grams of wanted: the log probability of the last character after those before it.
 
-def text_perplexities(all_texts: list[str], log: np.ndarray, table: np.ndarray, order: int, symbols: int) -> np.ndarray:
-    """Perplexity per character, the end of a text counting as one."""
+    counts (gram, n) are those of trusted text; without any, every character is certain (log 0).
+    """
+    levels = kneser_ney(counts, order)
+    # One more symbol stands for all characters that trusted text lacks.
+    symbols = counts.select(_ending(1)).distinct().count() + 1
+    lower = None
+    for size, (parts, gammas) in enumerate(levels, 1):
+        grams = wanted.select(_ending(size).alias("gram")).distinct()
+        chance = grams.join(parts, "gram", "left").withColumn("context", _context()).join(gammas, "context", "left")
+        if lower is None:
+            below = F.lit(1 / symbols)
+        else:
+            chance, below = chance.withColumn("ending", _ending(size - 1)).join(lower, "ending"), F.col("below")
+        chance = chance.select("gram", (F.coalesce("part", F.lit(0.0)) + F.coalesce("gamma", F.lit(1.0)) * below).alias("chance"))
+        lower = chance.select(F.col("gram").alias("ending"), F.col("chance").alias("below"))
+    return chance.select("gram", F.log("chance").alias("log"))
+
+
+def text_perplexities(all_texts: list[str], grams: np.ndarray, logs: np.ndarray, order: int) -> np.ndarray:
+    """Perplexity per character, the end of a text counting as one; grams are ascending and hold all of the texts."""
     out = np.zeros(len(all_texts))
     for codes, lengths, first in _chunks(all_texts, order):
-        found = log[_grams(table[codes], lengths, order, symbols)].astype(np.float64)
+        # Looking up each different gram once is faster than each place, as sorted keys are found near each other.
+        gram, place = np.unique(_grams(codes, lengths, order), return_inverse=True)
+        found = logs[np.searchsorted(grams, gram)][place]
         starts = np.cumsum(lengths + 1) - (lengths + 1)
         out[first : first + len(lengths)] = np.add.reduceat(found, starts) / (lengths + 1)
     return np.exp(-out)
 
 
-def train(trusted: DataFrame, alphabet: list[int], order: int = ORDER, symbols: int = SYMBOLS) -> Model:
-    """Model of the texts of trusted, which are read once. Without any text every symbol is as likely as the next."""
-    if symbols**order > 1 << 24:
-        raise ValueError("symbols ** order must stay within 2 ** 24")
-    counts = materialize(gram_counts(trusted, alphabet, order, symbols), "gram-counts")
-    parts, gammas = [], []
-    for size, level in enumerate(kneser_ney(counts, order, symbols), 1):
-        part, gamma = np.zeros(symbols**size), np.ones(symbols ** (size - 1))
-        rows = level.toPandas()  # at most symbols ** size rows
-        part[rows["gram"]] = rows["part"]
-        gamma[rows["context"]] = rows["gamma"]
-        parts.append(part)
-        gammas.append(gamma)
-    return Model(alphabet, parts, gammas, order, symbols)
+def perplexities(docs: DataFrame, counts: DataFrame, order: int = ORDER, broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
+    """docs without text, with perplexity added, under the model of trusted counts (gram, n); one row per row of docs."""
+    logs = materialize(log_probabilities(gram_counts(docs, order).select("gram"), counts, order), "log-probabilities")
+    kept = [n for n in docs.columns if n != "text"]
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in docs.dtypes if n != "text"), "perplexity double"])
 
+    def scored(rows: pa.RecordBatch | pa.Table, grams: np.ndarray, log: np.ndarray) -> list:
+        score = pa.array(text_perplexities(texts(rows), grams, log, order), pa.float64())
+        return [*(rows.column(n) for n in kept), score]
 
-def perplexities(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with perplexity added; only the text is read by the model."""
-    # Plain values, which executors can read without this package.
-    shared = docs.sparkSession.sparkContext.broadcast((model.alphabet, model.log, model.order, model.symbols))
+    if logs.count() <= broadcast_grams:
+        rows = logs.toPandas().sort_values("gram")
+        shared = docs.sparkSession.sparkContext.broadcast((rows["gram"].to_numpy(), rows["log"].to_numpy()))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        alphabet, log, order, symbols = shared.value
-        table = _symbol_table(alphabet)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays(scored(batch, *shared.value), [*kept, "perplexity"])
+
+        return docs.mapInArrow(run, schema)
+
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = chars // BLOCK_CHARS + 1
+    dealt = docs.withColumn("_block", F.pmod(F.xxhash64(*[c for c in docs.columns if c != "text"]), F.lit(blocks)))
+
+    def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = pa.array(text_perplexities(texts(batch), log, table, order, symbols))
-            kept = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), score], [*kept, "perplexity"])
+            block, all_texts = batch.column("_block").to_numpy(), np.array(texts(batch), dtype=object)
+            for own in np.unique(block):
+                for codes, lengths, _ in _chunks(list(all_texts[block == own]), order):
+                    gram = np.unique(_grams(codes, lengths, order))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), own)), pa.array(gram)], ["_block", "gram"])
+
+    asked = dealt.select("_block", "text").mapInArrow(requests, "_block bigint, gram bigint").distinct().join(logs, "gram")
+
+    def meet(rows: pa.Table, own: pa.Table) -> pa.Table:
+        grams, log = own.column("gram").to_numpy(), own.column("log").to_numpy()
+        order_of = np.argsort(grams)
+        return pa.table(scored(rows, grams[order_of], log[order_of]), names=[*kept, "perplexity"])
 
-    fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes if n != "text")
-    return docs.mapInArrow(run, f"{fields}, perplexity double")
+    return dealt.groupBy("_block").cogroup(asked.groupBy("_block")).applyInArrow(meet, schema)
 
 
 def classify(
-    docs: DataFrame, labels: DataFrame, order: int = ORDER, symbols: int = SYMBOLS, quantile: float = QUANTILE,
-    margin: float = MARGIN, least_trusted: int = LEAST_TRUSTED, prior_chars: int = PRIOR_CHARS,
+    docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE, margin: float = MARGIN,
+    least_trusted: int = LEAST_TRUSTED, prior_chars: int = PRIOR_CHARS, broadcast_grams: int = BROADCAST_GRAMS,
 ) -> DataFrame:
     """One row per row of docs (doc_id, text, lang): doc_id, text_hash, lang, perplexity, score, threshold, accepted.
 
@@ -206,8 +217,8 @@ def classify(
     keyed = docs.select("doc_id", "lang", F.xxhash64("text").alias("text_hash"), F.length("text").alias("chars"), "text")
     # Labels grow with the documents, so they are never broadcast; the text of each document is moved once.
     trusted = keyed.select("doc_id", "text").join(good.hint("merge"), keyed["doc_id"] == good["_id"], "left_semi")
-    model = train(trusted, alphabet_of(keyed, symbols), order, symbols)
-    scored = materialize(perplexities(keyed, model), "perplexities")
+    counts = materialize(gram_counts(trusted, order), "gram-counts")
+    scored = materialize(perplexities(keyed, counts, order, broadcast_grams), "perplexities")
     marks = scored.join(good, scored["doc_id"] == good["_id"], "left_semi").filter("chars > 0")
 
     symbols_read = F.col("chars") + 1

@@ -450,23 +450,36 @@ def plain_kneser_ney(texts, order, base):
 
 
 def test_kneser_ney(spark):
-    texts = ["abracadabra", "abba", "cab", "", "aaaa bbbb"]
-    table = docs(spark, *texts)
-    alphabet = quality.alphabet_of(table, 8)
-    model = quality.train(table, alphabet, 3, 8)
-    number = {c: k for k, c in enumerate(alphabet, 2)}
-    symbols = [[number.get(ord(c), 1) for c in t] for t in texts]
-    plain = plain_kneser_ney(symbols, 3, 8)
-    for a in range(8):
-        for b in range(8):
-            row = [plain((a, b, c)) for c in range(8)]
-            assert abs(sum(row) - 1) < 1e-9
-            assert np.allclose(np.exp(model.log[a * 64 + b * 8 : a * 64 + b * 8 + 8]), row, atol=1e-6)
-    found = {r.doc_id: r.perplexity for r in quality.perplexities(table.select("doc_id", "text"), model).collect()}
-    for i, own in enumerate(symbols):
+    texts = ["abracadabra", "abba", "cab", "", "aaaa bbbb", "мама мыла раму", "漢字仮名交じり文 漢字", "αβγ αβγ 🤣"]
+    unseen = ["zebra", "мир", "漢文", "🤣🤣", ""]
+    table = docs(spark, *texts, *unseen)
+    counts = quality.gram_counts(docs(spark, *texts), 3)
+    number = {c: k for k, c in enumerate(sorted(set("".join(texts))), 2)}
+    symbols = [[number.get(c, 1) for c in t] for t in texts + unseen]
+    many = len(number) + 2
+    plain = plain_kneser_ney(symbols[:len(texts)], 3, many)
+    for a in range(0, many, 5):
+        for b in range(0, many, 3):
+            assert abs(sum(plain((a, b, c)) for c in range(many)) - 1) < 1e-9
+    expected = []
+    for own in symbols:
         line = [0, 0, *own, 0]
         logs = [math.log(plain(tuple(line[k : k + 3]))) for k in range(len(own) + 1)]
-        assert abs(found[i] - math.exp(-sum(logs) / len(logs))) < 1e-4
+        expected.append(math.exp(-sum(logs) / len(logs)))
+    for limit in (10**6, 0):  # broadcast, blocks
+        rows = quality.perplexities(table.select("doc_id", "text"), counts, broadcast_grams=limit).collect()
+        assert len(rows) == len(expected) and all(abs(r.perplexity / expected[r.doc_id] - 1) < 1e-9 for r in rows)
+
+
+def test_classify_by_blocks_equals_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BLOCK_CHARS", 500)
+    table = docs(spark, *[prose(k, 40) for k in range(40)], "привет мир " * 9, None, "", "x" * 5000, ids=[*range(42), 3, None])
+    labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(44)], "doc_id bigint, quality int")
+    one, two = (
+        sorted(quality.classify(table, labels, least_trusted=5, broadcast_grams=n).collect(), key=str) for n in (10**6, 0)
+    )
+    assert len(one) == 44 and [tuple(r)[:3] + (r.accepted,) for r in one] == [tuple(r)[:3] + (r.accepted,) for r in two]
+    assert np.allclose([r.perplexity for r in one], [r.perplexity for r in two])
 
 
 def test_quality_rejects_noise(spark):

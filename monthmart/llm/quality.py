@@ -160,7 +160,9 @@ def text_perplexities(all_texts: list[str], grams: np.ndarray, logs: np.ndarray,
 
 def perplexities(docs: DataFrame, counts: DataFrame, order: int = ORDER, broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
     """docs without text, with perplexity added, under the model of trusted counts (gram, n); one row per row of docs."""
-    logs = materialize(log_probabilities(gram_counts(docs, order).select("gram"), counts, order), "log-probabilities")
+    # Each order asks for endings of these, so the texts are read once for all.
+    wanted = materialize(gram_counts(docs, order).select("gram"), "grams")
+    logs = materialize(log_probabilities(wanted, counts, order), "log-probabilities")
     kept = [n for n in docs.columns if n != "text"]
     schema = ", ".join([*(f"`{n}` {t}" for n, t in docs.dtypes if n != "text"), "perplexity double"])
 

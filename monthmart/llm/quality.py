@@ -121,6 +121,7 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, D
     for size in range(order - 1, 0, -1):
         # Each different gram of the order above adds one to the gram without its first character.
         current = current.groupBy(_ending(size).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        current = materialize(current, "continuation-counts")  # asked for several times in each order below
         levels.append(_discounted(current))
     return levels[::-1]
 
@@ -134,6 +135,7 @@ def log_probabilities(wanted: DataFrame, counts: DataFrame, order: int = ORDER)
     # One more symbol stands for all characters that trusted text lacks.
     symbols = counts.select(_ending(1)).distinct().count() + 1
     lower = None
+    # Each order is written before the next one asks for it, so the driver holds the plan of one order at a time.
     for size, (parts, gammas) in enumerate(levels, 1):
         grams = wanted.select(_ending(size).alias("gram")).distinct()
         chance = grams.join(parts, "gram", "left").withColumn("context", _context()).join(gammas, "context", "left")
@@ -142,7 +144,8 @@ def log_probabilities(wanted: DataFrame, counts: DataFrame, order: int = ORDER)
         else:
             chance, below = chance.withColumn("ending", _ending(size - 1)).join(lower, "ending"), F.col("below")
         chance = chance.select("gram", (F.coalesce("part", F.lit(0.0)) + F.coalesce("gamma", F.lit(1.0)) * below).alias("chance"))
-        lower = chance.select(F.col("gram").alias("ending"), F.col("chance").alias("below"))
+        if size < order:
+            lower = materialize(chance.select(F.col("gram").alias("ending"), F.col("chance").alias("below")), "chances")
     return chance.select("gram", F.log("chance").alias("log"))
 
 

@@ -154,6 +154,36 @@ def test_components(spark):
     assert {r.node: r.component for r in found} == {x: label[x] for x in linked} and len(found) == len(linked)
 
 
+def plans_written(monkeypatch, module, work):
+    """(name, number of joins) of each table that module writes on the way, as work runs."""
+    seen, write = [], module.materialize
+
+    def watched(df, name):
+        seen.append((name, len(re.findall(r"\bJoin \w+", df._jdf.queryExecution().optimizedPlan().toString()))))
+        return write(df, name)
+
+    monkeypatch.setattr(module, "materialize", watched)
+    work()
+    return seen
+
+
+def test_a_plan_of_components_holds_one_join(spark, monkeypatch):
+    links = [(f"{k:03d}".encode(), f"{k + 1:03d}".encode()) for k in range(9)] + [(b"000", b"001"), (b"x", None), (b"y", b"y")]
+    found = []
+    seen = plans_written(monkeypatch, components, lambda: found.extend(
+        components.components(spark.createDataFrame(links, "a binary, b binary")).collect()))
+    assert sorted((bytes(r.node), bytes(r.component)) for r in found) == [(f"{k:03d}".encode(), b"000") for k in range(10)]
+    assert seen and max(joins for _, joins in seen) == 1
+
+
+def test_a_plan_of_the_quality_model_holds_one_order(spark, monkeypatch):
+    table = docs(spark, *[prose(k, 20) for k in range(4)])
+    counts = quality.gram_counts(table)
+    seen = plans_written(monkeypatch, quality, lambda: quality.perplexities(table, counts))
+    # The counts with their totals, both with the wanted grams, and the order below.
+    assert dict(seen)["log-probabilities"] == 4
+
+
 # --- extraction -------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body><header>Site</header><nav><a>Home</a></nav>
